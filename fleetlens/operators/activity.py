@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import schema as S
+from fleetlens.functions import expressions as X
 from fleetlens.operators.filters import current_day
 
 
@@ -26,9 +27,8 @@ def hour_hist_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def daily_points(df: DataFrame) -> DataFrame:
-    day = F.to_date("record_time")
     return (
-        df.groupBy(day.alias("day"))
+        df.groupBy(X.day().alias("day"))
         .agg(F.count("*").alias("cnt"))
         .select(F.col("day").cast("string").alias("work_date"), "cnt")
     )
@@ -36,8 +36,9 @@ def daily_points(df: DataFrame) -> DataFrame:
 
 def last_days(df: DataFrame, days: int = 7) -> DataFrame:
     """Fixes of the last `days` dates that have any, in ascending order."""
-    daily = df.groupBy(F.col("dt").alias("date")).agg(F.count("*").alias("value"))
-    return daily.orderBy(F.desc("date")).limit(days).orderBy("date")
+    daily = df.groupBy(X.day().alias("day")).agg(F.count("*").alias("value"))
+    last = daily.orderBy(F.desc("day")).limit(days).orderBy("day")
+    return last.select(F.col("day").cast("string").alias("date"), "value")
 
 
 def monthly_points(df: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def monthly_points(df: DataFrame) -> DataFrame:
 
 
 def days_at_sea(df: DataFrame) -> DataFrame:
-    return df.groupBy("vessel_id").agg(F.countDistinct(F.to_date("record_time")).alias("days_at_sea"))
+    return df.groupBy("vessel_id").agg(F.countDistinct(X.day()).alias("days_at_sea"))
 
 
 def top_days_at_sea(df: DataFrame, k: int = 30) -> DataFrame:

@@ -14,7 +14,7 @@ HISTOGRAM_BINS = 20
 def vessel_days(df: DataFrame) -> DataFrame:
     """Seconds between first and last fix per vessel and day. First and last combine in the map tasks."""
     return (
-        df.groupBy("vessel_id", F.to_date("record_time").alias("day"))
+        df.groupBy("vessel_id", X.day().alias("day"))
         .agg(F.min("record_time").alias("first_time"), F.max("record_time").alias("last_time"))
         .select("vessel_id", "day", X.seconds_between(F.col("first_time"), F.col("last_time")).alias("seconds"))
     )

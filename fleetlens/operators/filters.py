@@ -32,9 +32,8 @@ def current_day(df: DataFrame, as_of: str | None = None) -> DataFrame:
 
 def current_month(df: DataFrame, as_of: str | None = None) -> DataFrame:
     """Rows of the month of the latest date in the data, or of `as_of`."""
-    last = _last_day(df) if as_of is None else F.lit(as_of)
+    month = df.agg(F.substring(F.max("dt"), 1, 7)).scalar() if as_of is None else F.lit(as_of[:7])
     # A range on `dt` itself, so that it prunes partitions: 'yyyy-MM' <= 'yyyy-MM-dd' < 'yyyy-MM~'.
-    month = F.substring(last, 1, 7)
     return df.where((F.col("dt") >= month) & (F.col("dt") < F.concat(month, F.lit("~"))))
 
 
@@ -64,42 +63,33 @@ def replay_prefix(df: DataFrame, n: int) -> DataFrame:
 
 
 def cut_prefix(df: DataFrame, n: int, tie_rows: int = TIE_ROWS) -> DataFrame:
-    timeless = df.where(F.col("record_time").isNull())
-    missing = timeless.count()
-    if n <= missing:
-        return _smallest_ids(timeless, n, tie_rows)
-    second = _cut_second(df.where(F.col("record_time").isNotNull()), n - missing)
-    if second is None:
-        return df
-    time, needed = second
-    # NULL times sort first, so they belong to every prefix that reaches a real time.
-    before = df.where(F.col("record_time").isNull() | (F.col("record_time") < F.lit(time)))
-    return before.unionAll(_smallest_ids(df.where(F.col("record_time") == F.lit(time)), needed, tie_rows))
-
+    """Find the last row's time by counts per day, then per second inside one day.
 
-def _cut_second(df: DataFrame, n: int):
-    """The time that row `n` carries and how many rows of that time belong to the prefix.
-
-    Counts per day, then per second inside one day: each running total is over a table whose length the
-    calendar bounds, whatever the number of fixes.
+    Each running total is over a table whose length the calendar bounds, whatever the number of fixes.
     """
-    day = F.to_date("record_time")
-    found = _first_reaching(df.groupBy(day.alias("step")).count(), n)
-    if found is None:
-        return None
-    date, before = found
-    inside = df.where(day == F.lit(date)).groupBy(F.col("record_time").alias("step")).count()
-    time, before_time = _first_reaching(inside, n - before)
-    return time, n - before - before_time
+    time = F.col("record_time")
+    cut = _first_reaching(df.groupBy(F.to_date(time).alias("step")).count(), n)
+    if cut is None:
+        return df
+    date, needed, _ = cut
+    if date is None:
+        return _smallest_ids(df.where(time.isNull()), needed, tie_rows)
+    seconds = df.where(F.to_date(time) == F.lit(date)).groupBy(time.alias("step")).count()
+    second, needed, size = _first_reaching(seconds, needed)
+    # NULL times sort first, so they belong to every prefix that reaches a real time.
+    if needed == size:
+        return df.where(time.isNull() | (time <= F.lit(second)))
+    before = df.where(time.isNull() | (time < F.lit(second)))
+    return before.unionAll(_smallest_ids(df.where(time == F.lit(second)), needed, tie_rows))
 
 
 def _first_reaching(counts: DataFrame, n: int):
-    """First `step` whose running total reaches `n`, with the total before it."""
+    """The first `step` (NULL first) whose running total reaches `n`: step, rows needed of it, its size."""
     running = counts.withColumn(
         "total", F.sum("count").over(W.orderBy("step").rowsBetween(W.unboundedPreceding, W.currentRow))
     )
-    row = running.where(F.col("total") >= n).orderBy("step").select("step", F.col("total") - F.col("count")).first()
-    return None if row is None else (row[0], row[1])
+    row = running.where(F.col("total") >= n).orderBy("step").first()
+    return None if row is None else (row["step"], n - (row["total"] - row["count"]), row["count"])
 
 
 def _smallest_ids(ties: DataFrame, n: int, tie_rows: int) -> DataFrame:
@@ -116,11 +106,9 @@ def _smallest_ids(ties: DataFrame, n: int, tie_rows: int) -> DataFrame:
         width = (high - low) // steps + 1
         span = ties.where((F.col("point_id") >= low) & (F.col("point_id") <= high))
         slot = F.expr(f"(point_id - {low}L) div {width}L").alias("step")
-        number, before = _first_reaching(span.groupBy(slot).count(), needed)
-        needed -= before
+        number, needed, size = _first_reaching(span.groupBy(slot).count(), needed)
         low = low + number * width
         high = min(high, low + width - 1)
-        size = ties.where((F.col("point_id") >= low) & (F.col("point_id") <= high)).count()
     below = ties.where((F.col("point_id") >= base) & (F.col("point_id") < low))
     inside = ties.where((F.col("point_id") >= low) & (F.col("point_id") <= high))
     return below.unionAll(inside.orderBy("point_id").limit(needed))

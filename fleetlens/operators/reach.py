@@ -115,7 +115,7 @@ def max_range(df: DataFrame, **options: int) -> DataFrame:
 
 def vessel_day_range(df: DataFrame, **options: int) -> DataFrame:
     """Per vessel and day, from the day's first fix that has coordinates (zero counts)."""
-    return farthest(df.where(X.has_point()), ("vessel_id", "dt"), **options)
+    return farthest(df.where(X.has_point()).withColumn("day", X.day()), ("vessel_id", "day"), **options)
 
 
 def max_range_daily(df: DataFrame, **options: int) -> DataFrame:
@@ -132,8 +132,8 @@ def top_range(df: DataFrame, k: int = 20, **options: int) -> DataFrame:
 
 def label_ranges(ranges: DataFrame, k: int = 20) -> DataFrame:
     """The largest vessel-day ranges as `vessel(date)` labels."""
-    top = ranges.orderBy(F.desc("dist"), "vessel_id", "dt").limit(k)
-    label = F.concat(F.col("vessel_id"), F.lit("("), F.col("dt"), F.lit(")"))
+    top = ranges.orderBy(F.desc("dist"), "vessel_id", "day").limit(k)
+    label = F.concat("vessel_id", F.lit("("), F.col("day").cast("string"), F.lit(")"))
     return top.select(label.alias("ship"), X.half_up(F.col("dist"), 2).alias("value"))
 
 

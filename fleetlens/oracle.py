@@ -166,7 +166,7 @@ ORACLES: dict[str, str] = {
     "catalog_tables": f"""{_T} SELECT 'ais_trajectory_raw' AS table_name, count(*) AS row_count FROM f
       UNION ALL SELECT 'ais_trajectory_cleaned', count(*) FROM t""",
     "etl_clean": f"""{_T} SELECT vessel_id, x, y, round(CAST(CAST(speed AS FLOAT) AS DOUBLE), 4) AS speed,
-      direction, {_TIME} AS record_time, operation_type, sea_area, point_id, dt FROM t""",
+      direction, {_TIME} AS record_time, operation_type, sea_area, point_id, {_TIME} AS event_time, dt FROM t""",
     "etl_partition_write": f"""{_T} SELECT dt, count(*) AS row_count, count(DISTINCT vessel_id) AS vessels FROM t GROUP BY dt""",
     "ads_sink": f"""{_T}, c AS (SELECT
         (SELECT count(*) FROM (SELECT DISTINCT sea_area, {_GX}, {_GY} FROM t WHERE {_VALID})) AS r1,

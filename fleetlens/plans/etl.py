@@ -30,6 +30,7 @@ def clean(raw: DataFrame) -> DataFrame:
         "operation_type",
         "sea_area",
         point_id.alias("point_id"),
+        X.parse_time(F.col("record_time")).alias("event_time"),
         X.day_of_text(F.col("record_time")).alias("dt"),
     )
 
@@ -38,7 +39,7 @@ def _laid_out(cleaned: DataFrame) -> DataFrame:
     """One shuffle by day whose partitions are split or merged to a common size, so that a busy day is
     written by many tasks and a quiet one by a single task. Inside a file, a vessel's fixes are together:
     its id compresses well and later per-vessel aggregations combine most rows in the map task."""
-    return cleaned.hint("rebalance", "dt").sortWithinPartitions("dt", "vessel_id", "record_time")
+    return cleaned.hint("rebalance", "dt").sortWithinPartitions("dt", "vessel_id", "event_time")
 
 
 def write_cleaned(cleaned: DataFrame, path: str) -> None:

@@ -60,7 +60,9 @@ def _written_cleaned(spark: SparkSession, sf_dir: str) -> str:
 
 
 def etl_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return etl.clean(events.raw_fixes(spark, sf_dir)).withColumn("speed", F.round(F.col("speed").cast("double"), 4))
+    return etl.clean(events.raw_fixes(spark, sf_dir)).withColumns(
+        {"speed": F.round(F.col("speed").cast("double"), 4), "event_time": X.time_text(F.col("event_time"))}
+    )
 
 
 def clean_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +73,7 @@ def clean_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = session.scratch_path(spark, "cleaned-csv")
     rows = etl.clean(events.raw_fixes(spark, sf_dir)).withColumn("speed", F.round(F.col("speed").cast("double"), 4))
-    rows.drop("point_id").write.option("header", True).csv(path)
+    rows.drop("point_id", "event_time").write.option("header", True).csv(path)
     return _as_text(raw.read_cleaned_csv(spark, path))
 
 
@@ -109,7 +111,7 @@ def ads_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def time_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time texts cut to the hour or the day for some events; malformed ones fall back to their digits."""
-    full = X.time_text(F.date_trunc("SECOND", F.col("ts").cast("timestamp")))
+    full = X.time_text(F.date_trunc("SECOND", "ts"))
     text = (
         F.when(F.col("event_id") % 7 == 0, F.substring(full, 1, 13))
         .when(F.col("event_id") % 7 == 1, F.substring(full, 1, 10))
@@ -304,8 +306,7 @@ QUERIES: dict[str, Query] = {
     "latest_status": _over_trajectories(monitor.latest_status),
     "speed_bands": _over_trajectories(lambda df: monitor.speed_bands(monitor.latest_status(df))),
     "map_positions": _over_trajectories(
-        lambda df: monitor.map_positions(monitor.latest_position(df)), six_digits=("left_pct", "top_pct")
-    ),
+        lambda df: monitor.map_positions(monitor.latest_position(df)), six_digits=("left_pct", "top_pct")),
     # summaries
     "activity_rollup": _over_trajectories(
         lambda df: R.activity_rollup(df).withColumns(

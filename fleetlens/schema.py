@@ -11,7 +11,8 @@ RAW_COLUMNS = ("vessel_id", "x", "y", "speed", "direction", "record_time", "oper
 # Landing layer: every column is text, so that a dirty value never fails a load.
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 
-# Cleaned layer on disk; `dt` is the partition column.
+# Cleaned layer on disk; `dt` is the partition column. The time is kept as text and, parsed once, as
+# `event_time`; readers take the latter.
 CLEANED_SCHEMA = T.StructType(
     [
         T.StructField("vessel_id", T.StringType()),
@@ -23,6 +24,7 @@ CLEANED_SCHEMA = T.StructType(
         T.StructField("operation_type", T.StringType()),
         T.StructField("sea_area", T.StringType()),
         T.StructField("point_id", T.LongType()),
+        T.StructField("event_time", T.TimestampType()),
         T.StructField("dt", T.StringType()),
     ]
 )

@@ -18,7 +18,7 @@ def as_trajectory(cleaned: DataFrame) -> DataFrame:
         "y",
         F.col("speed").cast("double").alias("speed"),
         "direction",
-        X.parse_time(F.col("record_time")).alias("record_time"),
+        F.col("event_time").alias("record_time"),
         "operation_type",
         "sea_area",
         "dt",

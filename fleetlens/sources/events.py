@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from fleetlens import schema as S
 from fleetlens.functions import expressions as X
 
-EVENT_COLUMNS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+# The stored time has no zone; read as a timestamp of the session zone, UTC, it needs no cast per row.
+EVENT_COLUMNS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
 
 # Home waters per area, as x start, x width, y start, y width (km).
 HOME_WATERS = (
@@ -51,7 +52,7 @@ def project(events: DataFrame) -> DataFrame:
         .when(event_type == "error", F.lit(None))
         .otherwise(S.GEARS[2])
     )
-    record_time = F.date_trunc("SECOND", F.col("ts").cast("timestamp"))
+    record_time = F.date_trunc("SECOND", "ts")
     return events.select(
         F.col("event_id").alias("point_id"),
         F.col("user_id").cast("string").alias("vessel_id"),
@@ -62,7 +63,7 @@ def project(events: DataFrame) -> DataFrame:
         record_time.alias("record_time"),
         gear.alias("operation_type"),
         F.when(F.col("event_id") % 50 == 3, F.lit(None)).otherwise(_by_area(0)).alias("sea_area"),
-        F.date_format(record_time, "yyyy-MM-dd").alias("dt"),
+        F.to_date("ts").cast("string").alias("dt"),
     )
 
 

@@ -159,7 +159,7 @@ def vessel_day_range(reach_rows: DataFrame) -> DataFrame:
 
 
 def range_vessel_day(reach_rows: DataFrame, k: int = 20) -> DataFrame:
-    return reach.label_ranges(vessel_day_range(reach_rows), k)
+    return reach.label_ranges(vessel_day_range(reach_rows).withColumnRenamed("dt", "day"), k)
 
 
 def area_violations_today(violations: DataFrame, activity: DataFrame, k: int = 500) -> DataFrame:
