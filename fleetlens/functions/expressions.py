@@ -1,8 +1,10 @@
-"""Column expressions shared by the operators. All of them stay inside whole-stage codegen."""
+"""SQL expressions shared by the operators.
 
-from __future__ import annotations
+They are texts for `selectExpr`, `where` and `exprs`: one call to the JVM per expression instead of one per
+node of its tree, and all of them compile into whole-stage code.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,113 +12,84 @@ from pyspark.sql import functions as F
 from fleetlens import schema as S
 
 
-def half_up(value: Column, digits: int) -> Column:
+def exprs(*texts: str) -> list[Column]:
+    return [F.expr(text) for text in texts]
+
+
+def half_up(value: str, digits: int) -> str:
     """Round through DECIMAL, half up, so that binary near-ties round the way they read.
 
     NaN and infinities have no decimal form and become NULL.
     """
-    return F.round(value.try_cast("decimal(38,6)"), digits).cast("double")
+    return f"CAST(round(try_cast({value} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
 
 
 # --- coordinates ---------------------------------------------------------------------------------
 
+# Both coordinates are known; zero counts as known.
+HAS_POINT = "(x IS NOT NULL AND y IS NOT NULL)"
+# Both are known and non-zero (NULL fails the comparison).
+HAS_VALID_POINT = "(x <> 0D AND y <> 0D)"
 
-def has_point() -> Column:
-    """Both coordinates are known; zero counts as known."""
-    return F.col("x").isNotNull() & F.col("y").isNotNull()
-
-
-def has_valid_point() -> Column:
-    """Both coordinates are known and non-zero (NULL fails the comparison)."""
-    return (F.col("x") != F.lit(0.0)) & (F.col("y") != F.lit(0.0))
 
-
-def grid_index(coordinate: str) -> Column:
+def grid_index(coordinate: str) -> str:
     """Number of the 10 km grid line at or below the coordinate."""
-    return F.floor(F.col(coordinate) / F.lit(S.GRID_KM)).cast("int")
+    return f"CAST(floor({coordinate} / {S.GRID_KM}D) AS INT)"
 
 
-def grid_origin(coordinate: str) -> Column:
+def grid_origin(coordinate: str) -> str:
     """Lower edge, in km, of the 10 km grid cell."""
-    return (F.floor(F.col(coordinate) / F.lit(S.GRID_KM)) * F.lit(int(S.GRID_KM))).cast("int")
-
-
-def distance(x: Column, y: Column, x0: Column, y0: Column) -> Column:
-    dx, dy = x - x0, y - y0
-    return F.sqrt(dx * dx + dy * dy)
+    return f"CAST(floor({coordinate} / {S.GRID_KM}D) * {S.GRID_KM:.0f} AS INT)"
 
 
-def outside_own_area(areas: tuple[S.Area, ...] = S.AREAS) -> Column:
-    """The fix lies outside the rectangle of the area it reports; other areas are never flagged.
-
-    One disjunct of plain comparisons per area, so that the whole predicate reaches the Parquet reader.
-    """
-
-    def outside(area: S.Area) -> Column:
-        x, y = F.col("x"), F.col("y")
-        return (F.col("sea_area") == F.lit(area.name)) & (
-            (x < area.x_min) | (x > area.x_max) | (y < area.y_min) | (y > area.y_max)
-        )
-
-    return reduce(Column.__or__, [outside(area) for area in areas])
+def distance(x: str, y: str, x0: str, y0: str) -> str:
+    return f"sqrt(({x} - {x0}) * ({x} - {x0}) + ({y} - {y0}) * ({y} - {y0}))"
 
 
 # --- speed ---------------------------------------------------------------------------------------
 
-
-def is_slow() -> Column:
-    return F.col("speed") < F.lit(S.SLOW_SPEED)
-
-
-def work_status(speed: Column) -> Column:
-    return F.when(F.coalesce(speed, F.lit(0.0)) > S.WORKING_SPEED, S.WORKING).otherwise(S.RETURNING)
-
-
-def speed_band(speed: Column) -> Column:
-    return F.when(speed > 12, "high").when(speed >= 8, "mid").otherwise("low")
+IS_SLOW = f"(speed < {S.SLOW_SPEED}D)"
+WORK_STATUS = f"IF(coalesce(speed, 0D) > {S.WORKING_SPEED}D, '{S.WORKING}', '{S.RETURNING}')"
+SPEED_BAND = "CASE WHEN speed > 12 THEN 'high' WHEN speed >= 8 THEN 'mid' ELSE 'low' END"
 
 
 # --- labels --------------------------------------------------------------------------------------
 
 
-def label_if_null(column: str) -> Column:
+def label_if_null(column: str) -> str:
     """`未知` for NULL only; an empty text is kept."""
-    return F.coalesce(F.col(column), F.lit(S.UNKNOWN))
+    return f"coalesce({column}, '{S.UNKNOWN}')"
 
 
-def label_if_blank(column: str) -> Column:
+def label_if_blank(column: str) -> str:
     """`未知` for NULL and for the empty text."""
-    return F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit(S.UNKNOWN))
+    return f"coalesce(nullif({column}, ''), '{S.UNKNOWN}')"
 
 
 # --- time ----------------------------------------------------------------------------------------
 
+# Calendar day of a fix as a DATE, which groups and hashes faster than text. A fix whose time did not parse
+# counts on the day that its `dt` text names.
+DAY = "coalesce(to_date(record_time), try_cast(dt AS DATE))"
 
-def parse_time(text: Column) -> Column:
+
+def parse_time(text: str) -> str:
     """Timestamp of a `yyyy-MM-dd HH:mm:ss` text, NULL when it is malformed."""
-    return F.try_to_timestamp(text, F.lit(S.TIME_FORMAT))
+    return f"try_to_timestamp({text}, '{S.TIME_FORMAT}')"
 
 
-def hour_of_text(text: Column) -> Column:
+def hour_of_text(text: str) -> str:
     """Hour of a time text; a malformed text still gives its hour when the digits are in place."""
-    return F.coalesce(F.hour(parse_time(text)), F.substring(text, 12, 2).try_cast("int"))
-
-
-def day() -> Column:
-    """Calendar day of a fix as a DATE, which groups and hashes faster than text.
-
-    A fix whose time did not parse counts on the day that its `dt` text names.
-    """
-    return F.coalesce(F.to_date("record_time"), F.col("dt").try_cast("date"))
+    return f"coalesce(hour({parse_time(text)}), try_cast(substring({text}, 12, 2) AS INT))"
 
 
-def day_of_text(text: Column) -> Column:
-    return F.substring(text, 1, 10)
+def day_of_text(text: str) -> str:
+    return f"substring({text}, 1, 10)"
 
 
-def time_text(timestamp: Column) -> Column:
-    return F.date_format(timestamp, S.TIME_FORMAT)
+def time_text(timestamp: str) -> str:
+    return f"date_format({timestamp}, '{S.TIME_FORMAT}')"
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return F.unix_timestamp(end) - F.unix_timestamp(start)
+def seconds_between(start: str, end: str) -> str:
+    return f"(unix_timestamp({end}) - unix_timestamp({start}))"

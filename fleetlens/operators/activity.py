@@ -12,46 +12,41 @@ from fleetlens.operators.filters import current_day
 
 def hour_hist(df: DataFrame) -> DataFrame:
     """Fixes per hour of day; hours without fixes have no row."""
-    return df.groupBy(F.hour("record_time").alias("hour_val")).agg(F.count("*").alias("cnt")).orderBy("hour_val")
+    hours = df.groupBy(F.expr("hour(record_time) AS hour_val")).agg(F.expr("count(*) AS cnt"))
+    return hours.orderBy("hour_val")
 
 
 def hour_hist_peak(df: DataFrame) -> DataFrame:
-    timed = df.where(F.col("record_time").isNotNull())
-    return hour_hist(timed).withColumn("is_peak", F.col("hour_val").isin(*S.PEAK_HOURS))
+    peak = ", ".join(map(str, S.PEAK_HOURS))
+    return hour_hist(df.where("record_time IS NOT NULL")).selectExpr("*", f"hour_val IN ({peak}) AS is_peak")
 
 
 def hour_hist_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
     """Hours as text, in numeric order."""
-    timed = current_day(df, as_of).where(F.col("record_time").isNotNull())
-    return hour_hist(timed).select(F.col("hour_val").cast("string").alias("hour"), F.col("cnt").alias("value"))
+    timed = current_day(df, as_of).where("record_time IS NOT NULL")
+    return hour_hist(timed).selectExpr("CAST(hour_val AS STRING) AS hour", "cnt AS value")
 
 
 def daily_points(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy(X.day().alias("day"))
-        .agg(F.count("*").alias("cnt"))
-        .select(F.col("day").cast("string").alias("work_date"), "cnt")
-    )
+    daily = df.groupBy(F.expr(f"{X.DAY} AS day")).agg(F.expr("count(*) AS cnt"))
+    return daily.selectExpr("CAST(day AS STRING) AS work_date", "cnt")
 
 
 def last_days(df: DataFrame, days: int = 7) -> DataFrame:
     """Fixes of the last `days` dates that have any, in ascending order."""
-    daily = df.groupBy(X.day().alias("day")).agg(F.count("*").alias("value"))
-    last = daily.orderBy(F.desc("day")).limit(days).orderBy("day")
-    return last.select(F.col("day").cast("string").alias("date"), "value")
+    daily = df.groupBy(F.expr(f"{X.DAY} AS day")).agg(F.expr("count(*) AS value"))
+    recent = daily.orderBy(F.desc("day")).limit(days).orderBy("day")
+    return recent.selectExpr("CAST(day AS STRING) AS date", "value")
 
 
 def monthly_points(df: DataFrame) -> DataFrame:
     """Fixes and active vessels per calendar month number, whatever the year."""
-    return (
-        df.where(F.col("record_time").isNotNull())
-        .groupBy(F.month("record_time").alias("month"))
-        .agg(F.count("*").alias("points"), F.countDistinct("vessel_id").alias("vessels"))
-    )
+    months = df.where("record_time IS NOT NULL").groupBy(F.expr("month(record_time) AS month"))
+    return months.agg(*X.exprs("count(*) AS points", "count(DISTINCT vessel_id) AS vessels"))
 
 
 def days_at_sea(df: DataFrame) -> DataFrame:
-    return df.groupBy("vessel_id").agg(F.countDistinct(X.day()).alias("days_at_sea"))
+    return df.groupBy("vessel_id").agg(F.expr(f"count(DISTINCT {X.DAY}) AS days_at_sea"))
 
 
 def top_days_at_sea(df: DataFrame, k: int = 30) -> DataFrame:
@@ -62,5 +57,5 @@ def top_days_at_sea(df: DataFrame, k: int = 30) -> DataFrame:
 
 def top_vessels(df: DataFrame, k: int = 20) -> DataFrame:
     """The vessels with most fixes."""
-    counts = df.groupBy(F.col("vessel_id").alias("ship")).agg(F.count("*").alias("value"))
+    counts = df.groupBy(F.expr("vessel_id AS ship")).agg(F.expr("count(*) AS value"))
     return counts.orderBy(F.desc("value"), "ship").limit(k)

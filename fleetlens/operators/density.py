@@ -11,33 +11,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens import schema as S
 from fleetlens.functions import expressions as X
-from fleetlens.operators.filters import current_day, valid_points
+from fleetlens.operators.filters import current_day, last, valid_points
 
 # Grid columns of the chart: the sheet of water that the sea areas cover.
 CHART_COLUMNS = tuple(range(0, 600, 10))
 
 
 def grid_density(df: DataFrame) -> DataFrame:
-    return (
-        valid_points(df)
-        .groupBy("sea_area", X.grid_index("x").alias("grid_x"), X.grid_index("y").alias("grid_y"))
-        .agg(F.countDistinct("vessel_id").alias("density"))
-    )
+    cell = X.exprs("sea_area", f"{X.grid_index('x')} AS grid_x", f"{X.grid_index('y')} AS grid_y")
+    return valid_points(df).groupBy(*cell).agg(F.expr("count(DISTINCT vessel_id) AS density"))
 
 
 def grid_density_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    return (
-        valid_points(current_day(df, as_of))
-        .groupBy(X.grid_origin("x").alias("x"), X.grid_origin("y").alias("y"))
-        .agg(F.countDistinct("vessel_id").alias("ship_cnt"))
-    )
+    cell = X.exprs(f"{X.grid_origin('x')} AS x", f"{X.grid_origin('y')} AS y")
+    return valid_points(current_day(df, as_of)).groupBy(*cell).agg(F.expr("count(DISTINCT vessel_id) AS ship_cnt"))
 
 
 def with_scale(density: DataFrame, value: str) -> DataFrame:
     """Put the largest value of the result beside every row, as the upper end of a colour scale."""
-    return density.withColumn("scale_max", density.agg(F.max(value)).scalar())
+    return density.withColumn("scale_max", last(density, f"max({value})"))
 
 
 def grid_density_pivot(df: DataFrame, columns: Sequence[int] = CHART_COLUMNS) -> DataFrame:
@@ -47,14 +40,13 @@ def grid_density_pivot(df: DataFrame, columns: Sequence[int] = CHART_COLUMNS) ->
     kept; rows without an area or a coordinate belong to no matrix.
     """
     gx = X.grid_origin("x")
-    label = F.when(gx.isin(*columns), F.concat(F.lit("gx_"), gx.cast("string"))).otherwise("gx_other")
+    listed = ", ".join(map(str, columns))
     names = [f"gx_{c}" for c in columns] + ["gx_other"]
-    cells = df.where(X.has_point() & F.col("sea_area").isNotNull()).select(
-        "sea_area", X.grid_origin("y").alias("grid_y"), label.alias("grid_x"), "vessel_id"
-    )
-    return (
-        cells.groupBy("sea_area", "grid_y")
-        .pivot("grid_x", names)
-        .agg(F.countDistinct("vessel_id"))
-        .na.fill(0, names)
+    cells = df.where(f"{X.HAS_POINT} AND sea_area IS NOT NULL").selectExpr(
+        "sea_area",
+        f"{X.grid_origin('y')} AS grid_y",
+        f"IF({gx} IN ({listed}), concat('gx_', {gx}), 'gx_other') AS grid_x",
+        "vessel_id",
     )
+    matrix = cells.groupBy("sea_area", "grid_y").pivot("grid_x", names).agg(F.expr("count(DISTINCT vessel_id)"))
+    return matrix.selectExpr("sea_area", "grid_y", *[f"coalesce({name}, 0L) AS {name}" for name in names])

@@ -7,72 +7,47 @@ from pyspark.sql import functions as F
 
 from fleetlens import schema as S
 from fleetlens.functions import expressions as X
+from fleetlens.operators.filters import last
 
 HISTOGRAM_BINS = 20
 
 
 def vessel_days(df: DataFrame) -> DataFrame:
     """Seconds between first and last fix per vessel and day. First and last combine in the map tasks."""
-    return (
-        df.groupBy("vessel_id", X.day().alias("day"))
-        .agg(F.min("record_time").alias("first_time"), F.max("record_time").alias("last_time"))
-        .select("vessel_id", "day", X.seconds_between(F.col("first_time"), F.col("last_time")).alias("seconds"))
-    )
+    seconds = X.seconds_between("min(record_time)", "max(record_time)")
+    return df.groupBy("vessel_id", F.expr(f"{X.DAY} AS day")).agg(F.expr(f"{seconds} AS seconds"))
 
 
 def work_hours(df: DataFrame) -> DataFrame:
-    return vessel_days(df).select(
-        "vessel_id",
-        F.col("day").cast("string").alias("work_date"),
-        (F.col("seconds") / F.lit(3600.0)).alias("work_hours"),
-    )
+    return vessel_days(df).selectExpr("vessel_id", "CAST(day AS STRING) AS work_date", "seconds / 3600D AS work_hours")
 
 
 def work_minutes(df: DataFrame) -> DataFrame:
-    return (
-        vessel_days(df)
-        .where(F.col("day").isNotNull())
-        .select(
-            "vessel_id",
-            F.col("day").cast("string").alias("work_date"),
-            (F.col("seconds") / F.lit(60.0)).alias("work_minutes"),
-        )
-    )
+    days = vessel_days(df).where("day IS NOT NULL")
+    return days.selectExpr("vessel_id", "CAST(day AS STRING) AS work_date", "seconds / 60D AS work_minutes")
 
 
-def _seconds_histogram(df: DataFrame) -> DataFrame:
+def _minutes_histogram(df: DataFrame) -> DataFrame:
     """Vessel-days per duration in whole seconds: at most 86,400 rows, however many vessel-days there are.
 
     Exact quantiles and bins come from this table instead of from the vessel-days themselves.
     """
-    days = vessel_days(df).where(F.col("day").isNotNull())
-    return days.groupBy("seconds").agg(F.count("*").alias("n")).select(
-        (F.col("seconds") / F.lit(60.0)).alias("minutes"), "n"
-    )
+    counts = vessel_days(df).where("seconds IS NOT NULL").groupBy("seconds").agg(F.expr("count(*) AS n"))
+    return counts.selectExpr("seconds / 60D AS minutes", "n")
 
 
 def work_minutes_box(df: DataFrame) -> DataFrame:
     """Quartiles (linear interpolation), whiskers at 1.5 interquartile ranges, and outlier count."""
-    histogram = _seconds_histogram(df)
-    quartiles = histogram.agg(
-        F.percentile("minutes", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q")
-    ).scalar()
-    fenced = histogram.withColumn("q", quartiles).select(
-        "minutes",
-        "n",
-        F.col("q")[0].alias("q1"),
-        F.col("q")[1].alias("median"),
-        F.col("q")[2].alias("q3"),
-    )
-    reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    inside = (F.col("minutes") >= F.col("q1") - reach) & (F.col("minutes") <= F.col("q3") + reach)
-    return fenced.agg(
-        F.first("q1").alias("q1"),
-        F.first("median").alias("median"),
-        F.first("q3").alias("q3"),
-        F.min(F.when(inside, F.col("minutes"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("minutes"))).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
+    histogram = _minutes_histogram(df)
+    quartiles = last(histogram, "percentile(minutes, array(0.25, 0.5, 0.75), n)")
+    inside = "minutes BETWEEN q[0] - 1.5D * (q[2] - q[0]) AND q[2] + 1.5D * (q[2] - q[0])"
+    return histogram.withColumn("q", quartiles).selectExpr(
+        "any_value(q[0]) AS q1",
+        "any_value(q[1]) AS median",
+        "any_value(q[2]) AS q3",
+        f"min(minutes) FILTER (WHERE {inside}) AS whisker_low",
+        f"max(minutes) FILTER (WHERE {inside}) AS whisker_high",
+        f"coalesce(sum(n) FILTER (WHERE NOT ({inside})), 0L) AS outliers",
     )
 
 
@@ -80,51 +55,32 @@ def work_minutes_hist(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram between the smallest and largest value; the last bin is closed.
 
     When all values are equal the range is widened by half a minute each way, as plotting libraries do.
+    Every bin gets a row, also the empty ones.
     """
-    histogram = _seconds_histogram(df)
-    bounds = histogram.agg(F.struct(F.min("minutes").alias("low"), F.max("minutes").alias("high"))).scalar()
-    ranged = histogram.withColumn("b", bounds)
-    low, high = F.col("b.low"), F.col("b.high")
-    flat = low == high
-    ranged = ranged.select(
-        "minutes",
-        "n",
-        F.when(flat, low - 0.5).otherwise(low).alias("low"),
-        F.when(flat, high + 0.5).otherwise(high).alias("high"),
-    )
-    width = (F.col("high") - F.col("low")) / F.lit(float(bins))
-    number = F.least(F.floor(F.try_divide(F.col("minutes") - F.col("low"), width)), F.lit(bins - 1)).cast("int")
-    counts = ranged.groupBy(number.alias("bin")).agg(
-        F.sum("n").alias("cnt"), F.first("low").alias("low"), F.first(width).alias("width")
-    )
-    # Every bin gets a row, also the empty ones: one row is spread over the bin numbers.
-    per_bin = [
-        F.struct(
-            F.lit(i).alias("bin"), F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("cnt"))), F.lit(0)).alias("cnt")
-        )
-        for i in range(bins)
-    ]
-    one_row = counts.agg(F.array(*per_bin).alias("bins"), F.first("low").alias("low"), F.first("width").alias("width"))
-    return one_row.where(F.col("low").isNotNull()).select("low", "width", F.inline("bins")).select(
-        "bin",
-        (F.col("low") + F.col("width") * F.col("bin")).alias("bin_low"),
-        (F.col("low") + F.col("width") * (F.col("bin") + 1)).alias("bin_high"),
-        "cnt",
+    histogram = _minutes_histogram(df)
+    flat = "IF(min(minutes) = max(minutes), 0.5D, 0D)"
+    bounds = f"struct(min(minutes) - {flat} AS low, max(minutes) + {flat} AS high)"
+    ranged = histogram.withColumn("b", last(histogram, bounds)).selectExpr(
+        "minutes", "n", "b.low AS low", f"(b.high - b.low) / {bins}D AS width"
     )
+    bin_of = f"least(floor((minutes - low) / width), {bins - 1})"
+    counts = ", ".join(f"coalesce(sum(n) FILTER (WHERE {bin_of} = {i}), 0L)" for i in range(bins))
+    one_row = ranged.selectExpr(f"array({counts}) AS counts", "any_value(low) AS low", "any_value(width) AS width")
+    rows = one_row.where("low IS NOT NULL").selectExpr("low", "width", "posexplode(counts) AS (bin, cnt)")
+    return rows.selectExpr("bin", "low + width * bin AS bin_low", "low + width * (bin + 1) AS bin_high", "cnt")
 
 
 def duration_buckets(seconds: DataFrame) -> DataFrame:
     """Six right-closed buckets in fixed order, zero-filled, from one row per vessel-day."""
-    hours = F.col("seconds") / F.lit(3600.0)
-    bucket = F.lit(len(S.DURATION_UPPER_HOURS))
-    for number in reversed(range(len(S.DURATION_UPPER_HOURS))):
-        bucket = F.when(hours <= S.DURATION_UPPER_HOURS[number], number).otherwise(bucket)
-    rows = [
-        F.struct(F.lit(i).alias("ord"), F.lit(label).alias("range"), F.count_if(F.col("bucket") == i).alias("value"))
+    upper = [f"seconds <= {3600 * hours:.0f}" for hours in S.DURATION_UPPER_HOURS]
+    cases = " ".join(f"WHEN {test} THEN {i}" for i, test in enumerate(upper))
+    bucket = f"CASE {cases} ELSE {len(upper)} END"
+    rows = ", ".join(
+        f"struct({i} AS ord, '{label}' AS range, count_if(bucket = {i}) AS value)"
         for i, label in enumerate(S.DURATION_LABELS)
-    ]
-    return seconds.select(bucket.alias("bucket")).agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    )
+    return seconds.selectExpr(f"{bucket} AS bucket").selectExpr(f"array({rows}) AS rows").selectExpr("inline(rows)")
 
 
 def work_hours_buckets(df: DataFrame) -> DataFrame:
-    return duration_buckets(vessel_days(df).where(F.col("seconds").isNotNull()))
+    return duration_buckets(vessel_days(df).where("seconds IS NOT NULL"))

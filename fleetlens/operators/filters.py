@@ -15,11 +15,12 @@ TIE_ROWS = 1_000_000
 
 
 def valid_points(df: DataFrame) -> DataFrame:
-    return df.where(X.has_valid_point())
+    return df.where(X.HAS_VALID_POINT)
 
 
-def _last_day(df: DataFrame) -> Column:
-    return df.agg(F.max("dt")).scalar()
+def last(df: DataFrame, text: str = "max(dt)") -> Column:
+    """A one-row aggregate of `df` as a value to compare its rows with."""
+    return df.selectExpr(text).scalar()
 
 
 def current_day(df: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -27,25 +28,25 @@ def current_day(df: DataFrame, as_of: str | None = None) -> DataFrame:
 
     The filter is on `dt`, so on the partitioned table it selects folders, not rows.
     """
-    return df.where(F.col("dt") == (_last_day(df) if as_of is None else F.lit(as_of)))
+    return df.where(F.col("dt") == (last(df) if as_of is None else as_of))
 
 
 def current_month(df: DataFrame, as_of: str | None = None) -> DataFrame:
     """Rows of the month of the latest date in the data, or of `as_of`."""
-    month = df.agg(F.substring(F.max("dt"), 1, 7)).scalar() if as_of is None else F.lit(as_of[:7])
+    month = last(df, "substring(max(dt), 1, 7)") if as_of is None else F.lit(as_of[:7])
     # A range on `dt` itself, so that it prunes partitions: 'yyyy-MM' <= 'yyyy-MM-dd' < 'yyyy-MM~'.
-    return df.where((F.col("dt") >= month) & (F.col("dt") < F.concat(month, F.lit("~"))))
+    return df.where(F.col("dt").between(month, F.concat(month, F.lit("~"))))
 
 
 def latest_date(df: DataFrame) -> DataFrame:
     """One row: the latest date, or today's date when there are no rows."""
-    return df.agg(F.coalesce(F.max("dt"), F.current_date().cast("string")).alias("today"))
+    return df.selectExpr("coalesce(max(dt), CAST(current_date() AS STRING)) AS today")
 
 
 def latest_only(result: DataFrame, time_column: str) -> DataFrame:
     """Rows of a finished result that fall on its own latest date."""
-    last = result.agg(F.max(X.day_of_text(F.col(time_column)))).scalar()
-    return result.where(X.day_of_text(F.col(time_column)) == last)
+    day = X.day_of_text(time_column)
+    return result.where(F.expr(day) == last(result, f"max({day})"))
 
 
 # --- replay prefix -------------------------------------------------------------------------------

@@ -2,66 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from fleetlens.functions import expressions as X
 from fleetlens.operators.filters import current_day
 
 
 def vessels_by_gear(df: DataFrame) -> DataFrame:
-    return df.groupBy(F.col("operation_type").alias("op_type")).agg(F.countDistinct("vessel_id").alias("cnt"))
+    return df.groupBy(F.expr("operation_type AS op_type")).agg(F.expr("count(DISTINCT vessel_id) AS cnt"))
 
 
-def share_percent(count: str, digits: int) -> Column:
+def share_percent(count: str, digits: int) -> str:
     """Share of the total over already aggregated rows, one per gear."""
-    total = F.sum(count).over(W.partitionBy())
-    return X.half_up(F.try_divide(F.col(count) * F.lit(100.0), total.cast("double")), digits)
+    return X.half_up(f"try_divide({count} * 100D, CAST(sum({count}) OVER () AS DOUBLE))", digits)
 
 
 def gear_share(df: DataFrame) -> DataFrame:
     """Fixes per gear with their share in percent; fixes without a gear take no part."""
-    counts = df.where(F.col("operation_type").isNotNull()).groupBy("operation_type").agg(F.count("*").alias("cnt"))
-    return counts.withColumn("share", share_percent("cnt", 1))
+    counts = df.where("operation_type IS NOT NULL").groupBy("operation_type").agg(F.expr("count(*) AS cnt"))
+    return counts.selectExpr("*", f"{share_percent('cnt', 1)} AS share")
+
+
+def gear_counts_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
+    gear = F.expr(f"{X.label_if_blank('operation_type')} AS name")
+    return current_day(df, as_of).groupBy(gear).agg(F.expr("count(*) AS value"))
 
 
 def gear_share_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    counts = (
-        current_day(df, as_of)
-        .groupBy(X.label_if_blank("operation_type").alias("name"))
-        .agg(F.count("*").alias("value"))
-    )
-    return counts.withColumn("share", share_percent("value", 2))
+    return gear_counts_today(df, as_of).selectExpr("*", f"{share_percent('value', 2)} AS share")
 
 
 def speed_by_gear(df: DataFrame) -> DataFrame:
-    return df.groupBy(F.col("operation_type").alias("op_type")).agg(
-        X.half_up(F.avg("speed"), 2).alias("avg_speed"),
-        X.half_up(F.max("speed"), 2).alias("max_speed"),
-        X.half_up(F.min("speed"), 2).alias("min_speed"),
-        F.count("*").alias("cnt"),
+    return df.groupBy(F.expr("operation_type AS op_type")).agg(
+        *X.exprs(
+            f"{X.half_up('avg(speed)', 2)} AS avg_speed",
+            f"{X.half_up('max(speed)', 2)} AS max_speed",
+            f"{X.half_up('min(speed)', 2)} AS min_speed",
+            "count(*) AS cnt",
+        )
     )
 
 
 def speed_stats_gear(df: DataFrame) -> DataFrame:
     """Unrounded mean, minimum, maximum and sample deviation; fixes without a gear take no part."""
     return (
-        df.where(F.col("operation_type").isNotNull())
+        df.where("operation_type IS NOT NULL")
         .groupBy("operation_type")
         .agg(
-            F.avg("speed").alias("mean_speed"),
-            F.min("speed").alias("min_speed"),
-            F.max("speed").alias("max_speed"),
-            F.stddev_samp("speed").alias("std_speed"),
+            *X.exprs(
+                "avg(speed) AS mean_speed",
+                "min(speed) AS min_speed",
+                "max(speed) AS max_speed",
+                "stddev_samp(speed) AS std_speed",
+            )
         )
     )
 
 
 def speed_by_gear_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    return (
-        current_day(df, as_of)
-        .groupBy(X.label_if_blank("operation_type").alias("type"))
-        .agg(X.half_up(F.avg("speed"), 2).alias("value"))
-        .orderBy(F.desc("value"), "type")
-    )
+    gear = F.expr(f"{X.label_if_blank('operation_type')} AS type")
+    means = current_day(df, as_of).groupBy(gear).agg(F.expr(f"{X.half_up('avg(speed)', 2)} AS value"))
+    return means.orderBy(F.desc("value"), "type")

@@ -2,73 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens import schema as S
 from fleetlens.functions import expressions as X
 from fleetlens.operators.alerts import slow_groups
-from fleetlens.operators.filters import current_day, current_month
+from fleetlens.operators.filters import current_day, current_month, last
 
 
-def _figures(rows: DataFrame, prefix: str) -> DataFrame:
-    cell = F.when(X.has_valid_point(), F.struct(X.grid_origin("x"), X.grid_origin("y")))
-    return rows.agg(
-        F.count("*").alias(f"{prefix}points"),
-        F.countDistinct("vessel_id").alias(f"{prefix}ships"),
-        F.coalesce(X.half_up(F.avg("speed"), 1), F.lit(0.0)).alias(f"{prefix}avg_speed"),
-        F.countDistinct(cell).alias(f"{prefix}hot_grid_count"),
+def _figures(rows: DataFrame, points: str, ships: str, speed: str, grids: str) -> DataFrame:
+    cell = f"IF({X.HAS_VALID_POINT}, struct({X.grid_index('x')}, {X.grid_index('y')}), NULL)"
+    return rows.selectExpr(
+        f"count(*) AS {points}",
+        f"count(DISTINCT vessel_id) AS {ships}",
+        f"coalesce({X.half_up('avg(speed)', 1)}, 0D) AS {speed}",
+        f"count(DISTINCT {cell}) AS {grids}",
     )
 
 
 def kpi_day(df: DataFrame, as_of: str | None = None) -> DataFrame:
     day = current_day(df, as_of)
-    stops = slow_groups(day).agg(F.count("*")).scalar()
-    return _figures(day, "total_").withColumnsRenamed(
-        {"total_avg_speed": "avg_speed", "total_hot_grid_count": "hot_grid_count"}
-    ).withColumn("abnormal_count", stops)
+    figures = _figures(day, "total_points", "total_ships", "avg_speed", "hot_grid_count")
+    return figures.withColumn("abnormal_count", last(slow_groups(day), "count(*)"))
 
 
 def kpi_month(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    return _figures(current_month(df, as_of), "monthly_")
+    names = ("monthly_points", "monthly_ships", "monthly_avg_speed", "monthly_hot_grid_count")
+    return _figures(current_month(df, as_of), *names)
 
 
 def latest_fix(df: DataFrame) -> DataFrame:
     """The last fix per vessel by (record_time, point_id). One candidate per vessel leaves each map task."""
-    fix = F.struct("record_time", "x", "y", "speed", "operation_type", "sea_area")
-    return (
-        df.groupBy("vessel_id")
-        .agg(F.max_by(fix, F.struct("record_time", "point_id")).alias("fix"))
-        .select("vessel_id", "fix.*")
-    )
-
-
-def _or_zero(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(0.0))
+    fix = "struct(record_time, x, y, speed, operation_type, sea_area)"
+    newest = df.groupBy("vessel_id").agg(F.expr(f"max_by({fix}, struct(record_time, point_id)) AS fix"))
+    return newest.select("vessel_id", "fix.*")
 
 
 def position_rows(latest: DataFrame, k: int = 500) -> DataFrame:
     return (
         latest.orderBy("vessel_id")
         .limit(k)
-        .select(
-            F.col("vessel_id").alias("ship_id"),
-            _or_zero("x").alias("x"),
-            _or_zero("y").alias("y"),
-            X.label_if_blank("operation_type").alias("work_type"),
-            X.label_if_blank("sea_area").alias("sea_area"),
+        .selectExpr(
+            "vessel_id AS ship_id",
+            "coalesce(x, 0D) AS x",
+            "coalesce(y, 0D) AS y",
+            f"{X.label_if_blank('operation_type')} AS work_type",
+            f"{X.label_if_blank('sea_area')} AS sea_area",
         )
     )
 
 
 def status_rows(latest: DataFrame) -> DataFrame:
     """Latest fixes, newest first."""
-    return latest.orderBy(F.desc("record_time"), "vessel_id").select(
-        F.col("vessel_id").alias("ship"),
-        X.label_if_blank("sea_area").alias("area"),
-        F.coalesce(X.half_up(F.col("speed"), 1), F.lit(0.0)).alias("speed"),
-        X.work_status(F.col("speed")).alias("status"),
-        X.time_text(F.col("record_time")).alias("time"),
+    return latest.orderBy(F.desc("record_time"), "vessel_id").selectExpr(
+        "vessel_id AS ship",
+        f"{X.label_if_blank('sea_area')} AS area",
+        f"coalesce({X.half_up('speed', 1)}, 0D) AS speed",
+        f"{X.WORK_STATUS} AS status",
+        f"{X.time_text('record_time')} AS time",
     )
 
 
@@ -81,7 +72,7 @@ def latest_status(df: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def speed_bands(status: DataFrame) -> DataFrame:
-    return status.select("ship", "speed", X.speed_band(F.col("speed")).alias("band"))
+    return status.selectExpr("ship", "speed", f"{X.SPEED_BAND} AS band")
 
 
 def map_positions(positions: DataFrame) -> DataFrame:
@@ -89,27 +80,20 @@ def map_positions(positions: DataFrame) -> DataFrame:
 
     The extent leaves out (0, 0) unless there is nothing else; a span below 0.1 is widened by 0.5 each way.
     """
-    known = (F.col("x") != 0.0) | (F.col("y") != 0.0)
-
-    def end(function, axis: str) -> Column:
-        return F.coalesce(function(F.when(known, F.col(axis))), function(axis))
-
-    extent = positions.agg(
-        F.struct(
-            end(F.min, "x").alias("x_min"),
-            end(F.max, "x").alias("x_max"),
-            end(F.min, "y").alias("y_min"),
-            end(F.max, "y").alias("y_max"),
-        )
-    ).scalar()
-
-    def percent(axis: str) -> Column:
-        low, high = F.col(f"e.{axis}_min"), F.col(f"e.{axis}_max")
-        flat = high - low < 0.1
-        low, high = F.when(flat, low - 0.5).otherwise(low), F.when(flat, high + 0.5).otherwise(high)
-        pad = (high - low) * 0.1
-        share = F.try_divide(F.col(axis) - (low - pad), (high + pad) - (low - pad)) * 100.0
-        return F.least(F.lit(100.0), F.greatest(F.lit(0.0), share))
-
-    placed = positions.withColumn("e", extent)
-    return placed.select("ship_id", "work_type", percent("x").alias("left_pct"), percent("y").alias("top_pct"))
+    known = "FILTER (WHERE x <> 0D OR y <> 0D)"
+    ends = ", ".join(
+        f"coalesce({end}({axis}) {known}, {end}({axis})) AS {axis}_{end}" for axis in ("x", "y") for end in ("min", "max")
+    )
+    placed = positions.withColumn("e", last(positions, f"struct({ends})"))
+    padded = []
+    for axis in ("x", "y"):
+        low, high = f"e.{axis}_min", f"e.{axis}_max"
+        widen = f"IF({high} - {low} < 0.1D, 0.5D, 0D)"
+        padded += [f"{low} - {widen} AS {axis}0", f"({high} - {low} + 2 * {widen}) AS {axis}_span"]
+    placed = placed.selectExpr("ship_id", "work_type", "x", "y", *padded)
+
+    def percent(axis: str) -> str:
+        share = f"try_divide({axis} - ({axis}0 - {axis}_span * 0.1D), {axis}_span * 1.2D) * 100D"
+        return f"least(100D, greatest(0D, {share}))"
+
+    return placed.selectExpr("ship_id", "work_type", f"{percent('x')} AS left_pct", f"{percent('y')} AS top_pct")

@@ -27,18 +27,16 @@ MAX_SPLIT_GROUPS = 100_000
 
 def first_fixes(points: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Earliest fix and number of fixes per group."""
-    return points.groupBy(*keys).agg(
-        F.min_by(F.struct("x", "y"), F.struct("record_time", "point_id")).alias("origin"),
-        F.count("*").alias("fixes"),
-    )
+    first = "min_by(struct(x, y), struct(record_time, point_id)) AS origin"
+    return points.groupBy(*keys).agg(*X.exprs(first, "count(*) AS fixes"))
 
 
 def same_group(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> Column:
     return reduce(Column.__and__, [left[key].eqNullSafe(right[f"of_{key}"]) for key in keys])
 
 
-def _renamed(df: DataFrame, keys: tuple[str, ...], *others: Column | str) -> DataFrame:
-    return df.select(*[F.col(key).alias(f"of_{key}") for key in keys], *others)
+def _renamed(df: DataFrame, keys: tuple[str, ...], *others: str) -> DataFrame:
+    return df.selectExpr(*[f"{key} AS of_{key}" for key in keys], *others)
 
 
 def broadcast_origins(points: DataFrame, firsts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -54,23 +52,17 @@ def split_origins(
     The list of large groups is broadcast; its length is bounded by `MAX_SPLIT_GROUPS`.
     """
     large = (
-        firsts.where(F.col("fixes") > rows_per_split)
+        firsts.where(f"fixes > {rows_per_split}")
         .orderBy(F.desc("fixes"), *keys)
         .limit(MAX_SPLIT_GROUPS)
-        .withColumn("splits", F.ceil(F.col("fixes") / F.lit(float(rows_per_split))).cast("int"))
+        .selectExpr(*keys, f"CAST(ceil(fixes / {rows_per_split}D) AS INT) AS splits")
     )
     sizes = F.broadcast(_renamed(large, keys, "splits"))
-    of_keys = [f"of_{key}" for key in keys]
-    splits = F.coalesce(F.col("splits"), F.lit(1))
-    spread = (
-        points.join(sizes, same_group(points, sizes, keys), "left")
-        .withColumn("split", F.pmod(F.xxhash64("point_id"), splits).cast("int"))
-        .drop(*of_keys, "splits")
+    spread = points.join(sizes, same_group(points, sizes, keys), "left").selectExpr(
+        *points.columns, "CAST(pmod(xxhash64(point_id), coalesce(splits, 1)) AS INT) AS split"
     )
-    origins = (
-        firsts.join(sizes, same_group(firsts, sizes, keys), "left")
-        .withColumn("of_split", F.explode(F.sequence(F.lit(0), splits - 1)))
-        .drop(*of_keys)
+    origins = firsts.join(sizes, same_group(firsts, sizes, keys), "left").selectExpr(
+        *keys, "origin", "explode(sequence(0, coalesce(splits, 1) - 1)) AS of_split"
     )
     origins = _renamed(origins, keys, "of_split", "origin")
     return spread.join(origins, same_group(spread, origins, keys) & (spread["split"] == origins["of_split"]))
@@ -89,8 +81,7 @@ def join_origins(
     return split_origins(points, firsts, keys, rows_per_split)
 
 
-def away_from_origin() -> Column:
-    return X.distance(F.col("x"), F.col("y"), F.col("origin.x"), F.col("origin.y"))
+AWAY_FROM_ORIGIN = X.distance("x", "y", "origin.x", "origin.y")
 
 
 def farthest(
@@ -103,25 +94,24 @@ def farthest(
     points = df.select(*keys, "record_time", "point_id", "x", "y")
     firsts = checkpointed(first_fixes(points, keys))
     joined = join_origins(points, firsts, keys, broadcast_rows, rows_per_split)
-    return joined.groupBy(*keys).agg(F.max(away_from_origin()).alias("dist"))
+    return joined.groupBy(*keys).agg(F.expr(f"max({AWAY_FROM_ORIGIN}) AS dist"))
 
 
 def max_range(df: DataFrame, **options: int) -> DataFrame:
     """Per vessel, from its first valid fix over all time."""
-    return farthest(valid_points(df), ("vessel_id",), **options).select(
-        "vessel_id", X.half_up(F.col("dist"), 2).alias("max_dist")
-    )
+    ranges = farthest(valid_points(df), ("vessel_id",), **options)
+    return ranges.selectExpr("vessel_id", f"{X.half_up('dist', 2)} AS max_dist")
 
 
 def vessel_day_range(df: DataFrame, **options: int) -> DataFrame:
     """Per vessel and day, from the day's first fix that has coordinates (zero counts)."""
-    return farthest(df.where(X.has_point()).withColumn("day", X.day()), ("vessel_id", "day"), **options)
+    return farthest(df.where(X.HAS_POINT).withColumn("day", F.expr(X.DAY)), ("vessel_id", "day"), **options)
 
 
 def max_range_daily(df: DataFrame, **options: int) -> DataFrame:
     """Per vessel, the largest of its daily ranges (unrounded)."""
-    timed = df.where(F.col("record_time").isNotNull())
-    return vessel_day_range(timed, **options).groupBy("vessel_id").agg(F.max("dist").alias("max_dist"))
+    timed = df.where("record_time IS NOT NULL")
+    return vessel_day_range(timed, **options).groupBy("vessel_id").agg(F.expr("max(dist) AS max_dist"))
 
 
 def top_range(df: DataFrame, k: int = 20, **options: int) -> DataFrame:
@@ -133,8 +123,7 @@ def top_range(df: DataFrame, k: int = 20, **options: int) -> DataFrame:
 def label_ranges(ranges: DataFrame, k: int = 20) -> DataFrame:
     """The largest vessel-day ranges as `vessel(date)` labels."""
     top = ranges.orderBy(F.desc("dist"), "vessel_id", "day").limit(k)
-    label = F.concat("vessel_id", F.lit("("), F.col("day").cast("string"), F.lit(")"))
-    return top.select(label.alias("ship"), X.half_up(F.col("dist"), 2).alias("value"))
+    return top.selectExpr("concat(vessel_id, '(', day, ')') AS ship", f"{X.half_up('dist', 2)} AS value")
 
 
 def range_vessel_day(df: DataFrame, k: int = 20, **options: int) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fleetlens import schema as S
 from fleetlens.functions import expressions as X
@@ -15,23 +14,21 @@ def clean(raw: DataFrame) -> DataFrame:
     Without a `point_id` of its own a fix gets one from its content. Equal ids then mean equal rows,
     whose order among themselves cannot show in any result.
     """
-    speed = F.col("speed").try_cast("double")
-    if "point_id" in raw.columns:
-        point_id = F.col("point_id").cast("long")
-    else:
-        point_id = F.shiftrightunsigned(F.xxhash64(*S.RAW_COLUMNS), 1)
-    return raw.where((speed > F.lit(0.0)) & (speed < F.lit(S.MAX_SPEED))).select(
+    own_id = "CAST(point_id AS BIGINT)" if "point_id" in raw.columns else None
+    content_id = f"shiftrightunsigned(xxhash64({', '.join(S.RAW_COLUMNS)}), 1)"
+    speed = "try_cast(speed AS DOUBLE)"
+    return raw.where(f"{speed} > 0D AND {speed} < {S.MAX_SPEED}D").selectExpr(
         "vessel_id",
-        F.col("x").try_cast("double").alias("x"),
-        F.col("y").try_cast("double").alias("y"),
-        F.col("speed").try_cast("float").alias("speed"),
-        F.col("direction").try_cast("int").alias("direction"),
+        "try_cast(x AS DOUBLE) AS x",
+        "try_cast(y AS DOUBLE) AS y",
+        "try_cast(speed AS FLOAT) AS speed",
+        "try_cast(direction AS INT) AS direction",
         "record_time",
         "operation_type",
         "sea_area",
-        point_id.alias("point_id"),
-        X.parse_time(F.col("record_time")).alias("event_time"),
-        X.day_of_text(F.col("record_time")).alias("dt"),
+        f"{own_id or content_id} AS point_id",
+        f"{X.parse_time('record_time')} AS event_time",
+        f"{X.day_of_text('record_time')} AS dt",
     )
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from fleetlens.operators import activity, alerts, density, duration, gear, monitor, reach
+from fleetlens.operators.filters import last
 
 # An array payload is one row. Its inputs are charts of at most a few dozen points; a longer one is an error.
 MAX_ARRAY_ROWS = 10_000
@@ -15,33 +15,32 @@ MAX_ARRAY_ROWS = 10_000
 
 def row_payload(df: DataFrame) -> DataFrame:
     """One JSON object per row: stays distributed, and an array file of any length can be written from it."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("payload"))
+    return df.selectExpr(f"to_json(struct({', '.join(df.columns)})) AS payload")
 
 
-def array_payload(df: DataFrame, order: Sequence[Column], **arrays: str) -> DataFrame:
+def array_payload(df: DataFrame, order: Sequence[str], **arrays: str) -> DataFrame:
     """One JSON object of parallel arrays, `name=column`, in the given order."""
-    entry = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], *[F.col(c) for c in arrays.values()])
+    entry = ", ".join([f"{text} AS o{i}" for i, text in enumerate(order)] + list(arrays.values()))
+    columns = ", ".join(f"rows.{column} AS {name}" for name, column in arrays.items())
     # One row past the bound is enough to tell that it is exceeded; then the query fails instead of cutting.
-    listed = df.limit(MAX_ARRAY_ROWS + 1).agg(F.sort_array(F.collect_list(entry)).alias("rows"))
-    too_long = F.raise_error(F.lit(f"more than {MAX_ARRAY_ROWS} rows in one array payload"))
-    rows = F.when(F.size("rows") > MAX_ARRAY_ROWS, too_long).otherwise(F.col("rows"))
-    columns = [F.col("rows")[column].alias(name) for name, column in arrays.items()]
-    return listed.select(rows.alias("rows")).select(F.to_json(F.struct(*columns)).alias("payload"))
+    listed = df.limit(MAX_ARRAY_ROWS + 1).selectExpr(f"sort_array(collect_list(struct({entry}))) AS rows")
+    too_long = f"raise_error('more than {MAX_ARRAY_ROWS} rows in one array payload')"
+    checked = listed.selectExpr(f"IF(size(rows) > {MAX_ARRAY_ROWS}, {too_long}, rows) AS rows")
+    return checked.selectExpr(f"to_json(struct({columns})) AS payload")
 
 
 def summary(df: DataFrame) -> DataFrame:
     """Day and month figures side by side, from the same rows."""
     month = monitor.kpi_month(df)
-    both = monitor.kpi_day(df).withColumn("m", month.select(F.struct(*month.columns)).scalar())
-    return both.select("*", "m.*").drop("m")
+    figures = last(month, f"any_value(struct({', '.join(month.columns)}))")
+    return monitor.kpi_day(df).withColumn("m", figures).select("*", "m.*").drop("m")
 
 
 def row_payloads(df: DataFrame) -> dict[str, DataFrame]:
     """The payloads that are lists of objects, by name."""
-    today = gear.gear_share_today(df).select("name", "value")
     frames = {
         "sea-grid-heatmap": density.grid_density_today(df),
-        "worktype-ratio": today,
+        "worktype-ratio": gear.gear_counts_today(df),
         "abnormal-stop-points": alerts.abnormal_stop_today(df),
         "cross-border": alerts.area_violations_today(df),
         "ship-locations": monitor.latest_position(df),
@@ -53,26 +52,20 @@ def row_payloads(df: DataFrame) -> dict[str, DataFrame]:
 
 def array_payloads(df: DataFrame) -> dict[str, DataFrame]:
     """The payloads that are objects of parallel arrays, by name."""
-    largest = [-F.col("value"), F.col("ship")]
+    ships = {"ships": "ship", "values": "value"}
     return {
-        "peak-hour": array_payload(
-            activity.hour_hist_today(df), [F.col("hour").cast("int")], hours="hour", values="value"
-        ),
-        "work-duration-dist": array_payload(
-            duration.work_hours_buckets(df), [F.col("ord")], ranges="range", values="value"
-        ),
-        "ship-top20": array_payload(activity.top_vessels(df), largest, ships="ship", values="value"),
-        "avg-speed": array_payload(
-            gear.speed_by_gear_today(df), [-F.col("value"), F.col("type")], types="type", values="value"
-        ),
-        "daily-points": array_payload(activity.last_days(df), [F.col("date")], dates="date", values="value"),
-        "max-distance-top20": array_payload(reach.range_vessel_day(df), largest, ships="ship", values="value"),
+        "peak-hour": array_payload(activity.hour_hist_today(df), ["CAST(hour AS INT)"], hours="hour", values="value"),
+        "work-duration-dist": array_payload(duration.work_hours_buckets(df), ["ord"], ranges="range", values="value"),
+        "ship-top20": array_payload(activity.top_vessels(df), ["-value", "ship"], **ships),
+        "avg-speed": array_payload(gear.speed_by_gear_today(df), ["-value", "type"], types="type", values="value"),
+        "daily-points": array_payload(activity.last_days(df), ["date"], dates="date", values="value"),
+        "max-distance-top20": array_payload(reach.range_vessel_day(df), ["-value", "ship"], **ships),
     }
 
 
 def tagged(payloads: dict[str, DataFrame]) -> DataFrame:
     """All payloads in one frame, with their names beside them."""
-    parts = [frame.select(F.lit(name).alias("name"), "payload") for name, frame in payloads.items()]
+    parts = [frame.selectExpr(f"'{name}' AS name", "payload") for name, frame in payloads.items()]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionAll(part)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fleetlens.operators import alerts, reach
 from fleetlens.plans import rollup as R
@@ -69,7 +68,7 @@ def run_offline(df: DataFrame, path: str) -> dict[str, DataFrame]:
 
 def sink_audit(written: dict[str, DataFrame]) -> DataFrame:
     """Rows per result folder."""
-    counts = [frame.agg(F.lit(name).alias("result"), F.count("*").alias("row_count")) for name, frame in written.items()]
+    counts = [frame.selectExpr(f"'{name}' AS result", "count(*) AS row_count") for name, frame in written.items()]
     audit = counts[0]
     for count in counts[1:]:
         audit = audit.unionAll(count)

@@ -7,52 +7,52 @@ the same functions read either.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import schema as S
 from fleetlens.functions import expressions as X
-from fleetlens.operators import duration, gear
-from fleetlens.operators.filters import current_day, current_month
+from fleetlens.operators import alerts, duration, gear
+from fleetlens.operators.filters import current_day, current_month, last
+
+MEAN_SPEED = "try_divide(sum(speed_sum), CAST(sum(speeds) AS DOUBLE))"
+MEAN_SLOW_X = "try_divide(sum(slow_x_sum), CAST(sum(slow_points) AS DOUBLE))"
+MEAN_SLOW_Y = "try_divide(sum(slow_y_sum), CAST(sum(slow_points) AS DOUBLE))"
 
 
 def activity_rollup(df: DataFrame) -> DataFrame:
     """Fixes per day, hour, vessel, gear and area."""
-    slow = X.is_slow()
-    stopped = slow & X.has_point()
-    return df.groupBy("dt", F.hour("record_time").alias("hour"), "vessel_id", "operation_type", "sea_area").agg(
-        F.count("*").alias("fixes"),
-        F.count("speed").alias("speeds"),
-        F.sum("speed").alias("speed_sum"),
-        F.min("speed").alias("speed_min"),
-        F.max("speed").alias("speed_max"),
-        F.min("record_time").alias("first_time"),
-        F.max("record_time").alias("last_time"),
-        F.count_if(slow).alias("slow_fixes"),
-        F.count_if(stopped).alias("slow_points"),
-        F.sum(F.when(stopped, F.col("x"))).alias("slow_x_sum"),
-        F.sum(F.when(stopped, F.col("y"))).alias("slow_y_sum"),
+    stopped = f"{X.IS_SLOW} AND {X.HAS_POINT}"
+    hour = F.expr("hour(record_time) AS hour")
+    return df.groupBy("dt", hour, "vessel_id", "operation_type", "sea_area").agg(
+        *X.exprs(
+            "count(*) AS fixes",
+            "count(speed) AS speeds",
+            "sum(speed) AS speed_sum",
+            "min(speed) AS speed_min",
+            "max(speed) AS speed_max",
+            "min(record_time) AS first_time",
+            "max(record_time) AS last_time",
+            f"count_if({X.IS_SLOW}) AS slow_fixes",
+            f"count_if({stopped}) AS slow_points",
+            f"sum(x) FILTER (WHERE {stopped}) AS slow_x_sum",
+            f"sum(y) FILTER (WHERE {stopped}) AS slow_y_sum",
+        )
     )
 
 
 def grid_rollup(df: DataFrame) -> DataFrame:
     """Which vessels were in which valid grid cell, per day and area."""
-    return (
-        df.where(X.has_valid_point())
-        .groupBy("dt", "sea_area", X.grid_index("x").alias("grid_x"), X.grid_index("y").alias("grid_y"), "vessel_id")
-        .agg(F.count("*").alias("fixes"))
-    )
-
-
-def _mean(total: str, count: str) -> Column:
-    return F.try_divide(F.sum(total), F.sum(count).cast("double"))
+    cell = X.exprs(f"{X.grid_index('x')} AS grid_x", f"{X.grid_index('y')} AS grid_y")
+    visits = df.where(X.HAS_VALID_POINT).groupBy("dt", "sea_area", *cell, "vessel_id")
+    return visits.agg(F.expr("count(*) AS fixes"))
 
 
 # --- offline indicators --------------------------------------------------------------------------
 
 
 def grid_density(grid: DataFrame) -> DataFrame:
-    return grid.groupBy("sea_area", "grid_x", "grid_y").agg(F.countDistinct("vessel_id").alias("density"))
+    return grid.groupBy("sea_area", "grid_x", "grid_y").agg(F.expr("count(DISTINCT vessel_id) AS density"))
 
 
 def vessels_by_gear(rollup: DataFrame) -> DataFrame:
@@ -60,65 +60,58 @@ def vessels_by_gear(rollup: DataFrame) -> DataFrame:
 
 
 def hour_hist(rollup: DataFrame) -> DataFrame:
-    return rollup.groupBy(F.col("hour").alias("hour_val")).agg(F.sum("fixes").alias("cnt")).orderBy("hour_val")
+    return rollup.groupBy(F.expr("hour AS hour_val")).agg(F.expr("sum(fixes) AS cnt")).orderBy("hour_val")
 
 
 def vessel_days(rollup: DataFrame) -> DataFrame:
-    return rollup.groupBy("vessel_id", "dt").agg(
-        X.seconds_between(F.min("first_time"), F.max("last_time")).alias("seconds")
-    )
+    seconds = X.seconds_between("min(first_time)", "max(last_time)")
+    return rollup.groupBy("vessel_id", "dt").agg(F.expr(f"{seconds} AS seconds"))
 
 
 def work_hours(rollup: DataFrame) -> DataFrame:
-    return vessel_days(rollup).select(
-        "vessel_id", F.col("dt").alias("work_date"), (F.col("seconds") / F.lit(3600.0)).alias("work_hours")
-    )
+    return vessel_days(rollup).selectExpr("vessel_id", "dt AS work_date", "seconds / 3600D AS work_hours")
 
 
 def days_at_sea(rollup: DataFrame) -> DataFrame:
-    return rollup.groupBy("vessel_id").agg(F.countDistinct("dt").alias("days_at_sea"))
+    return rollup.groupBy("vessel_id").agg(F.expr("count(DISTINCT dt) AS days_at_sea"))
 
 
 def speed_by_gear(rollup: DataFrame) -> DataFrame:
-    return rollup.groupBy(F.col("operation_type").alias("op_type")).agg(
-        X.half_up(_mean("speed_sum", "speeds"), 2).alias("avg_speed"),
-        X.half_up(F.max("speed_max"), 2).alias("max_speed"),
-        X.half_up(F.min("speed_min"), 2).alias("min_speed"),
-        F.sum("fixes").alias("cnt"),
+    return rollup.groupBy(F.expr("operation_type AS op_type")).agg(
+        *X.exprs(
+            f"{X.half_up(MEAN_SPEED, 2)} AS avg_speed",
+            f"{X.half_up('max(speed_max)', 2)} AS max_speed",
+            f"{X.half_up('min(speed_min)', 2)} AS min_speed",
+            "sum(fixes) AS cnt",
+        )
     )
 
 
 def daily_points(rollup: DataFrame) -> DataFrame:
-    return rollup.groupBy(F.col("dt").alias("work_date")).agg(F.sum("fixes").alias("cnt"))
+    return rollup.groupBy(F.expr("dt AS work_date")).agg(F.expr("sum(fixes) AS cnt"))
 
 
 def abnormal_stop(rollup: DataFrame) -> DataFrame:
-    return (
-        rollup.where(F.col("slow_points") > 0)
-        .groupBy("vessel_id", X.label_if_null("sea_area").alias("sea_area"))
-        .agg(
-            F.sum("slow_points").alias("cnt"),
-            _mean("slow_x_sum", "slow_points").alias("avg_x"),
-            _mean("slow_y_sum", "slow_points").alias("avg_y"),
-        )
-        .where(F.col("cnt") >= S.MIN_STOP_FIXES)
-    )
+    area = F.expr(f"{X.label_if_null('sea_area')} AS sea_area")
+    stops = rollup.where("slow_points > 0").groupBy("vessel_id", area)
+    means = stops.agg(*X.exprs("sum(slow_points) AS cnt", f"{MEAN_SLOW_X} AS avg_x", f"{MEAN_SLOW_Y} AS avg_y"))
+    return means.where(f"cnt >= {S.MIN_STOP_FIXES}")
 
 
 # --- cumulative views ----------------------------------------------------------------------------
 
 
 def work_hours_buckets(rollup: DataFrame) -> DataFrame:
-    return duration.duration_buckets(vessel_days(rollup).where(F.col("seconds").isNotNull()))
+    return duration.duration_buckets(vessel_days(rollup).where("seconds IS NOT NULL"))
 
 
 def top_vessels(rollup: DataFrame, k: int = 20) -> DataFrame:
-    counts = rollup.groupBy(F.col("vessel_id").alias("ship")).agg(F.sum("fixes").alias("value"))
+    counts = rollup.groupBy(F.expr("vessel_id AS ship")).agg(F.expr("sum(fixes) AS value"))
     return counts.orderBy(F.desc("value"), "ship").limit(k)
 
 
 def last_days(rollup: DataFrame, days: int = 7) -> DataFrame:
-    daily = rollup.groupBy(F.col("dt").alias("date")).agg(F.sum("fixes").alias("value"))
+    daily = rollup.groupBy(F.expr("dt AS date")).agg(F.expr("sum(fixes) AS value"))
     return daily.orderBy(F.desc("date")).limit(days).orderBy("date")
 
 
@@ -126,82 +119,54 @@ def last_days(rollup: DataFrame, days: int = 7) -> DataFrame:
 
 
 def gear_counts_today(rollup: DataFrame) -> DataFrame:
-    day = current_day(rollup)
-    return day.groupBy(X.label_if_blank("operation_type").alias("name")).agg(F.sum("fixes").alias("value"))
+    name = F.expr(f"{X.label_if_blank('operation_type')} AS name")
+    return current_day(rollup).groupBy(name).agg(F.expr("sum(fixes) AS value"))
 
 
 def speed_by_gear_today(rollup: DataFrame) -> DataFrame:
-    return (
-        current_day(rollup)
-        .groupBy(X.label_if_blank("operation_type").alias("type"))
-        .agg(X.half_up(_mean("speed_sum", "speeds"), 2).alias("value"))
-        .orderBy(F.desc("value"), "type")
-    )
+    name = F.expr(f"{X.label_if_blank('operation_type')} AS type")
+    means = current_day(rollup).groupBy(name).agg(F.expr(f"{X.half_up(MEAN_SPEED, 2)} AS value"))
+    return means.orderBy(F.desc("value"), "type")
 
 
 def hour_hist_today(rollup: DataFrame) -> DataFrame:
-    timed = current_day(rollup).where(F.col("hour").isNotNull())
-    return hour_hist(timed).select(F.col("hour_val").cast("string").alias("hour"), F.col("cnt").alias("value"))
+    hours = hour_hist(current_day(rollup).where("hour IS NOT NULL"))
+    return hours.selectExpr("CAST(hour_val AS STRING) AS hour", "cnt AS value")
 
 
 def grid_density_today(grid: DataFrame) -> DataFrame:
-    return (
-        current_day(grid)
-        .groupBy((F.col("grid_x") * 10).alias("x"), (F.col("grid_y") * 10).alias("y"))
-        .agg(F.countDistinct("vessel_id").alias("ship_cnt"))
-    )
+    cell = X.exprs("grid_x * 10 AS x", "grid_y * 10 AS y")
+    return current_day(grid).groupBy(*cell).agg(F.expr("count(DISTINCT vessel_id) AS ship_cnt"))
 
 
 def _slow_groups(day: DataFrame) -> DataFrame:
-    return (
-        day.where(F.col("slow_fixes") > 0)
-        .groupBy(F.col("vessel_id").alias("ship_id"), X.label_if_blank("sea_area").alias("sea_area"))
-        .agg(
-            F.sum("slow_fixes").alias("cnt"),
-            _mean("slow_x_sum", "slow_points").alias("x"),
-            _mean("slow_y_sum", "slow_points").alias("y"),
-        )
-        .where(F.col("cnt") >= S.MIN_STOP_FIXES)
-    )
+    keys = X.exprs("vessel_id AS ship_id", f"{X.label_if_blank('sea_area')} AS sea_area")
+    groups = day.where("slow_fixes > 0").groupBy(*keys)
+    means = groups.agg(*X.exprs("sum(slow_fixes) AS cnt", f"{MEAN_SLOW_X} AS x", f"{MEAN_SLOW_Y} AS y"))
+    return means.where(f"cnt >= {S.MIN_STOP_FIXES}")
 
 
 def abnormal_stop_today(rollup: DataFrame, k: int = 30) -> DataFrame:
     day = current_day(rollup)
-    top = _slow_groups(day).orderBy(F.desc("cnt"), "ship_id", "sea_area").limit(k)
-    return top.select(
-        "ship_id",
-        "sea_area",
-        F.coalesce(X.half_up(F.col("x"), 2), F.lit(0.0)).alias("x"),
-        F.coalesce(X.half_up(F.col("y"), 2), F.lit(0.0)).alias("y"),
-        "cnt",
-        X.time_text(day.agg(F.max("last_time")).scalar()).alias("time"),
-    )
+    return alerts.largest_stops(_slow_groups(day), k).withColumn("time", last(day, X.time_text("max(last_time)")))
 
 
-def _figures(rows: DataFrame, cells: DataFrame, prefix: str) -> DataFrame:
-    return rows.agg(
-        F.coalesce(F.sum("fixes"), F.lit(0)).alias(f"{prefix}points"),
-        F.countDistinct("vessel_id").alias(f"{prefix}ships"),
-        F.coalesce(X.half_up(_mean("speed_sum", "speeds"), 1), F.lit(0.0)).alias(f"{prefix}avg_speed"),
-    ).withColumn(f"{prefix}hot_grid_count", cells.agg(F.countDistinct("grid_x", "grid_y")).scalar())
-
-
-def _last_day(rollup: DataFrame) -> Column:
-    return rollup.agg(F.max("dt")).scalar()
+def _figures(rows: DataFrame, cells: DataFrame, points: str, ships: str, speed: str, grids: str) -> DataFrame:
+    return rows.selectExpr(
+        f"coalesce(sum(fixes), 0L) AS {points}",
+        f"count(DISTINCT vessel_id) AS {ships}",
+        f"coalesce({X.half_up(MEAN_SPEED, 1)}, 0D) AS {speed}",
+    ).withColumn(grids, last(cells, "count(DISTINCT grid_x, grid_y)"))
 
 
 def kpi_day(rollup: DataFrame, grid: DataFrame) -> DataFrame:
     """Day figures. The day is the last one with fixes, which may be one without a single valid cell."""
-    day, cells = current_day(rollup), grid.where(F.col("dt") == _last_day(rollup))
-    return (
-        _figures(day, cells, "total_")
-        .withColumnsRenamed({"total_avg_speed": "avg_speed", "total_hot_grid_count": "hot_grid_count"})
-        .withColumn("abnormal_count", _slow_groups(day).agg(F.count("*")).scalar())
-    )
+    day, cells = current_day(rollup), grid.where(F.col("dt") == last(rollup))
+    figures = _figures(day, cells, "total_points", "total_ships", "avg_speed", "hot_grid_count")
+    return figures.withColumn("abnormal_count", last(_slow_groups(day), "count(*)"))
 
 
 def kpi_month(rollup: DataFrame, grid: DataFrame) -> DataFrame:
-    month = F.substring(_last_day(rollup), 1, 7)
-    return _figures(current_month(rollup), grid.where(F.substring("dt", 1, 7) == month), "monthly_")
-
-
+    cells = grid.where(F.expr("substring(dt, 1, 7)") == last(rollup, "substring(max(dt), 1, 7)"))
+    names = ("monthly_points", "monthly_ships", "monthly_avg_speed", "monthly_hot_grid_count")
+    return _figures(current_month(rollup), cells, *names)

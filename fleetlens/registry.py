@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens import session
@@ -22,7 +22,7 @@ DATABASE = "fleet"
 
 def _as_text(df: DataFrame) -> DataFrame:
     """Times as text, so that results compare across engines."""
-    return df.withColumn("record_time", X.time_text(F.col("record_time"))) if "record_time" in df.columns else df
+    return df.withColumn("record_time", F.expr(X.time_text("record_time"))) if "record_time" in df.columns else df
 
 
 def _over_trajectories(operator: Callable[[DataFrame], DataFrame], *, six_digits: tuple[str, ...] = ()) -> Query:
@@ -61,7 +61,7 @@ def _written_cleaned(spark: SparkSession, sf_dir: str) -> str:
 
 def etl_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return etl.clean(events.raw_fixes(spark, sf_dir)).withColumns(
-        {"speed": F.round(F.col("speed").cast("double"), 4), "event_time": X.time_text(F.col("event_time"))}
+        {"speed": F.round(F.col("speed").cast("double"), 4), "event_time": F.expr(X.time_text("event_time"))}
     )
 
 
@@ -111,31 +111,25 @@ def ads_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def time_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time texts cut to the hour or the day for some events; malformed ones fall back to their digits."""
-    full = X.time_text(F.date_trunc("SECOND", "ts"))
-    text = (
-        F.when(F.col("event_id") % 7 == 0, F.substring(full, 1, 13))
-        .when(F.col("event_id") % 7 == 1, F.substring(full, 1, 10))
-        .otherwise(full)
-    )
-    fixes = events.read_events(spark, sf_dir).select("event_id", text.alias("text"))
-    return fixes.select(
-        F.col("event_id").alias("point_id"),
-        X.time_text(X.parse_time(F.col("text"))).alias("record_time"),
-        X.hour_of_text(F.col("text")).alias("hour"),
-        X.day_of_text(F.col("text")).alias("dt"),
+    full = X.time_text("date_trunc('SECOND', ts)")
+    text = f"substring({full}, 1, CASE event_id % 7 WHEN 0 THEN 13 WHEN 1 THEN 10 ELSE 19 END) AS text"
+    return events.read_events(spark, sf_dir).selectExpr("event_id AS point_id", text).selectExpr(
+        "point_id",
+        f"{X.time_text(X.parse_time('text'))} AS record_time",
+        f"{X.hour_of_text('text')} AS hour",
+        f"{X.day_of_text('text')} AS dt",
     )
 
 
 def label_defaults(df: DataFrame) -> DataFrame:
     """Labels with an empty text among the values: gear `流刺网` is blanked first."""
-    blanked = df.withColumn(
-        "operation_type", F.when(F.col("operation_type") == "流刺网", "").otherwise(F.col("operation_type"))
+    blanked = df.selectExpr("IF(operation_type = '流刺网', '', operation_type) AS gear", "sea_area")
+    labels = X.exprs(
+        f"{X.label_if_null('gear')} AS null_label",
+        f"{X.label_if_blank('gear')} AS blank_label",
+        f"{X.label_if_blank('sea_area')} AS area_label",
     )
-    return blanked.groupBy(
-        X.label_if_null("operation_type").alias("null_label"),
-        X.label_if_blank("operation_type").alias("blank_label"),
-        X.label_if_blank("sea_area").alias("area_label"),
-    ).agg(F.count("*").alias("cnt"))
+    return blanked.groupBy(*labels).agg(F.expr("count(*) AS cnt"))
 
 
 def half_prefix(df: DataFrame) -> DataFrame:
@@ -171,10 +165,8 @@ def _maintained(spark: SparkSession, sf_dir: str, *parts: str) -> list[DataFrame
     return [views.read_part(spark, path, part) for part in parts]
 
 
-def _entries(df: DataFrame, result: str, label: Column | str, value: Column | str) -> DataFrame:
-    label = F.col(label) if isinstance(label, str) else label
-    value = F.col(value) if isinstance(value, str) else value
-    return df.select(F.lit(result).alias("result"), label.alias("label"), value.cast("double").alias("value"))
+def _entries(df: DataFrame, result: str, label: str, value: str) -> DataFrame:
+    return df.selectExpr(f"'{result}' AS result", f"{label} AS label", f"CAST({value} AS DOUBLE) AS value")
 
 
 def _stacked(frames: list[DataFrame]) -> DataFrame:
@@ -199,22 +191,18 @@ def stream_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_current_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup, grid, violations = _maintained(spark, sf_dir, "activity", "grid", "violations")
     kpi = R.kpi_day(rollup, grid)
-    figures = kpi.select(F.inline(F.array(*[F.struct(F.lit(c), F.col(c).cast("double")) for c in kpi.columns])))
-    ship_area = F.concat_ws("|", "ship_id", "sea_area")
+    figures = ", ".join(f"struct('{name}' AS name, CAST({name} AS DOUBLE) AS value)" for name in kpi.columns)
+    ship_area = "concat_ws('|', ship_id, sea_area)"
+    crossings = views.area_violations_today(violations, rollup)
     return _stacked(
         [
-            _entries(figures, "summary", "col1", "col2"),
+            _entries(kpi.selectExpr(f"inline(array({figures}))"), "summary", "name", "value"),
             _entries(R.gear_counts_today(rollup), "worktype-ratio", "name", "value"),
             _entries(R.speed_by_gear_today(rollup), "avg-speed", "type", "value"),
             _entries(R.hour_hist_today(rollup), "peak-hour", "hour", "value"),
-            _entries(R.grid_density_today(grid), "sea-grid-heatmap", F.concat_ws("|", "x", "y"), "ship_cnt"),
+            _entries(R.grid_density_today(grid), "sea-grid-heatmap", "concat_ws('|', x, y)", "ship_cnt"),
             _entries(R.abnormal_stop_today(rollup), "abnormal-stop-points", ship_area, "cnt"),
-            _entries(
-                views.area_violations_today(violations, rollup),
-                "cross-border",
-                F.concat_ws("|", "ship_id", "sea_area", "time"),
-                F.round("x", 6),
-            ),
+            _entries(crossings, "cross-border", "concat_ws('|', ship_id, sea_area, time)", "round(x, 6)"),
         ]
     )
 
@@ -310,7 +298,7 @@ QUERIES: dict[str, Query] = {
     # summaries
     "activity_rollup": _over_trajectories(
         lambda df: R.activity_rollup(df).withColumns(
-            {c: X.time_text(F.col(c)) for c in ("first_time", "last_time")}
+            {c: F.expr(X.time_text(c)) for c in ("first_time", "last_time")}
         ),
         six_digits=("speed_sum", "speed_min", "speed_max", "slow_x_sum", "slow_y_sum"),
     ),

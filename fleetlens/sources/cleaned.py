@@ -11,18 +11,8 @@ from fleetlens.functions import expressions as X
 
 def as_trajectory(cleaned: DataFrame) -> DataFrame:
     """Cleaned rows as the frame the operators take: double speed, parsed time."""
-    return cleaned.select(
-        "point_id",
-        "vessel_id",
-        "x",
-        "y",
-        F.col("speed").cast("double").alias("speed"),
-        "direction",
-        F.col("event_time").alias("record_time"),
-        "operation_type",
-        "sea_area",
-        "dt",
-    )
+    computed = {"speed": "CAST(speed AS DOUBLE) AS speed", "record_time": "event_time AS record_time"}
+    return cleaned.selectExpr(*[computed.get(name, name) for name in S.TRAJECTORY_COLUMNS])
 
 
 def read_cleaned(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
@@ -33,13 +23,12 @@ def read_cleaned(spark: SparkSession, path: str, dt: str | None = None) -> DataF
 
 def ordered_extract(trajectory: DataFrame) -> DataFrame:
     """All fixes in time order: a range-partitioned sort. `point_id` makes ties splittable and stable."""
-    columns = [c for c in S.TRAJECTORY_COLUMNS if c in trajectory.columns]
-    return trajectory.select(*columns).orderBy("record_time", "point_id")
+    return trajectory.select(*S.TRAJECTORY_COLUMNS).orderBy("record_time", "point_id")
 
 
 def load_audit(trajectory: DataFrame) -> DataFrame:
-    return trajectory.agg(
-        F.count("*").alias("row_count"),
-        X.time_text(F.min("record_time")).alias("first_time"),
-        X.time_text(F.max("record_time")).alias("last_time"),
+    return trajectory.selectExpr(
+        "count(*) AS row_count",
+        f"{X.time_text('min(record_time)')} AS first_time",
+        f"{X.time_text('max(record_time)')} AS last_time",
     )

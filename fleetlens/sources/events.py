@@ -6,8 +6,7 @@ vessel's area by the event number. Some coordinates are NULL or zero, and some g
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens import schema as S
 from fleetlens.functions import expressions as X
@@ -25,51 +24,46 @@ HOME_WATERS = (
 )
 
 
-def _by_area(position: int) -> Column:
-    area = F.col("user_id") % 5
-    result = F.when(area == 0, HOME_WATERS[0][position])
-    for number in (1, 2, 3):
-        result = result.when(area == number, HOME_WATERS[number][position])
-    return result.otherwise(HOME_WATERS[4][position])
+def _by_area(position: int) -> str:
+    """Lookup in a constant array: compact code, however often Catalyst repeats the expression in a filter."""
+    values = [water[position] for water in HOME_WATERS]
+    literals = ", ".join(f"'{v}'" if isinstance(v, str) else f"{v}D" for v in values)
+    return f"get(array({literals}), CAST(user_id % 5 AS INT))"
 
 
-def _coordinate(start: int, width: int, stride: int) -> Column:
-    step = F.col("event_id") % 100
-    thousandths = (F.col("event_id") * stride % 1000).cast("double")
-    return (
-        F.when(step == 0, F.lit(None).cast("double"))
-        .when(step == 1, F.lit(0.0))
-        .otherwise(_by_area(start) + _by_area(width) * thousandths / F.lit(1000.0))
-    )
+def _coordinate(start: int, width: int, stride: int) -> str:
+    thousandths = f"CAST(event_id * {stride} % 1000 AS DOUBLE)"
+    inside = f"{_by_area(start)} + {_by_area(width)} * {thousandths} / 1000D"
+    return f"CASE event_id % 100 WHEN 0 THEN NULL WHEN 1 THEN 0D ELSE {inside} END"
+
+
+_GEAR = (
+    f"CASE event_type WHEN 'click' THEN '{S.GEARS[0]}' WHEN 'view' THEN '{S.GEARS[1]}' "
+    f"WHEN 'error' THEN NULL ELSE '{S.GEARS[2]}' END"
+)
+
+_PROJECTION = (
+    "event_id AS point_id",
+    "CAST(user_id AS STRING) AS vessel_id",
+    f"{_coordinate(1, 2, 37)} AS x",
+    f"{_coordinate(3, 4, 61)} AS y",
+    "value / 10D AS speed",
+    "CAST(event_id * 7 % 360 AS INT) AS direction",
+    "date_trunc('SECOND', ts) AS record_time",
+    f"{_GEAR} AS operation_type",
+    f"IF(event_id % 50 = 3, NULL, {_by_area(0)}) AS sea_area",
+    "CAST(to_date(ts) AS STRING) AS dt",
+)
 
 
 def project(events: DataFrame) -> DataFrame:
     """All events as fixes, before the cleaning rule."""
-    event_type = F.col("event_type")
-    gear = (
-        F.when(event_type == "click", S.GEARS[0])
-        .when(event_type == "view", S.GEARS[1])
-        .when(event_type == "error", F.lit(None))
-        .otherwise(S.GEARS[2])
-    )
-    record_time = F.date_trunc("SECOND", "ts")
-    return events.select(
-        F.col("event_id").alias("point_id"),
-        F.col("user_id").cast("string").alias("vessel_id"),
-        _coordinate(1, 2, 37).alias("x"),
-        _coordinate(3, 4, 61).alias("y"),
-        (F.col("value") / F.lit(10.0)).alias("speed"),
-        (F.col("event_id") * 7 % 360).cast("int").alias("direction"),
-        record_time.alias("record_time"),
-        gear.alias("operation_type"),
-        F.when(F.col("event_id") % 50 == 3, F.lit(None)).otherwise(_by_area(0)).alias("sea_area"),
-        F.to_date("ts").cast("string").alias("dt"),
-    )
+    return events.selectExpr(*_PROJECTION)
 
 
 def clean_events(events: DataFrame) -> DataFrame:
     """The cleaning rule 0 < speed < 20, put on the stored column so that Parquet can skip row groups."""
-    return events.where((F.col("value") > 0.0) & (F.col("value") < 10.0 * S.MAX_SPEED))
+    return events.where(f"value > 0D AND value < {10 * S.MAX_SPEED}D")
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,15 +77,6 @@ def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The uncleaned fixes as landing-layer text columns, with `point_id` beside them."""
-    fixes = project(read_events(spark, sf_dir))
-    return fixes.select(
-        "point_id",
-        "vessel_id",
-        F.col("x").cast("string").alias("x"),
-        F.col("y").cast("string").alias("y"),
-        F.col("speed").cast("string").alias("speed"),
-        F.col("direction").cast("string").alias("direction"),
-        X.time_text(F.col("record_time")).alias("record_time"),
-        "operation_type",
-        "sea_area",
-    )
+    texts = {"record_time": f"{X.time_text('record_time')} AS record_time"}
+    columns = [texts.get(name, f"CAST({name} AS STRING) AS {name}") for name in S.RAW_COLUMNS]
+    return project(read_events(spark, sf_dir)).selectExpr("point_id", *columns)

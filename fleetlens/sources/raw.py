@@ -22,4 +22,4 @@ def read_cleaned_csv(spark: SparkSession, path: str) -> DataFrame:
     types = ("string", "double", "double", "double", "int", "string", "string", "string", "string")
     declared = ", ".join(f"{name} {kind}" for name, kind in zip(names, types, strict=True))
     df = spark.read.schema(declared).option("header", True).option("enforceSchema", True).csv(path)
-    return df.toDF(*names).withColumn("record_time", X.parse_time(F.col("record_time")))
+    return df.withColumn("record_time", F.expr(X.parse_time("record_time")))

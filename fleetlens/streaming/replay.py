@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from fleetlens.operators.filters import last
 from fleetlens.session import scratch_path
 from fleetlens.sources import events as E
 
@@ -70,4 +71,4 @@ def replay(stream: DataFrame, path: str, trigger: dict | None = None) -> Streami
 
 def replay_status(replayed: DataFrame, source: DataFrame) -> DataFrame:
     """How many of the source's rows have been replayed."""
-    return replayed.agg(F.count("*").alias("current")).withColumn("total", source.agg(F.count("*")).scalar())
+    return replayed.selectExpr("count(*) AS current").withColumn("total", last(source, "count(*)"))

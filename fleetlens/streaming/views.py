@@ -17,11 +17,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions import expressions as X
 from fleetlens.operators import alerts, monitor, reach
-from fleetlens.operators.filters import current_day
+from fleetlens.operators.filters import current_day, last
 from fleetlens.plans import rollup as R
 from fleetlens.session import scratch_path
 
 GROUP = ("vessel_id", "dt")
+NEWEST = (
+    "max_by(struct(record_time, point_id, x, y, speed, operation_type, sea_area, dt), struct(record_time, point_id))"
+)
 
 
 def read_part(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -64,9 +67,8 @@ def write_violations(batch: DataFrame, path: str, batch_id: int) -> None:
 
 def write_latest(batch: DataFrame, path: str, batch_id: int) -> None:
     """Latest fix per vessel and day of this batch."""
-    fix = F.struct("record_time", "point_id", "x", "y", "speed", "operation_type", "sea_area")
-    newest = batch.groupBy("dt", "vessel_id").agg(F.max_by(fix, F.struct("record_time", "point_id")).alias("fix"))
-    _replace(newest.select("dt", "vessel_id", "fix.*"), path, "latest", batch_id)
+    newest = batch.groupBy("dt", "vessel_id").agg(F.expr(f"{NEWEST} AS fix"))
+    _replace(newest.select("vessel_id", "fix.*"), path, "latest", batch_id)
 
 
 def write_reach(batch: DataFrame, path: str, batch_id: int) -> None:
@@ -75,23 +77,22 @@ def write_reach(batch: DataFrame, path: str, batch_id: int) -> None:
     A row carries the first fix it was measured from. When a late fix becomes the new first one, the
     vessel-day's earlier fixes are measured again from it; readers keep the rows of the earliest first fix.
     """
-    points = batch.where(X.has_point()).select(*GROUP, "record_time", "point_id", "x", "y")
+    points = batch.where(X.HAS_POINT).select(*GROUP, "record_time", "point_id", "x", "y")
     points = _stored(points, path, "points", batch_id)
     firsts = points.groupBy(*GROUP).agg(
-        F.min(F.struct("record_time", "point_id", "x", "y")).alias("origin"), F.count("*").alias("fixes")
+        *X.exprs("min(struct(record_time, point_id, x, y)) AS origin", "count(*) AS fixes")
     )
     earlier = _before(batch.sparkSession, path, "reach", batch_id)
     if earlier is None:
         _replace(_measure(points, _stored(firsts, path, "first", batch_id)), path, "reach", batch_id)
         return
-    known = earlier.groupBy(*GROUP).agg(F.min("origin").alias("known"))
-    known = known.select(*[F.col(key).alias(f"of_{key}") for key in GROUP], "known")
+    known = earlier.groupBy(*[F.expr(f"{key} AS of_{key}") for key in GROUP]).agg(F.expr("min(origin) AS known"))
     firsts = firsts.join(known, reach.same_group(firsts, known, GROUP), "left")
-    firsts = firsts.select(*GROUP, F.least("origin", "known").alias("origin"), "fixes", "known")
+    firsts = firsts.selectExpr(*GROUP, "least(origin, known) AS origin", "fixes", "known")
     firsts = _stored(firsts, path, "first", batch_id)
     measured = _measure(points, firsts)
-    moved = firsts.where(F.col("known").isNotNull() & (F.col("origin") < F.col("known")))
-    days = moved.agg(F.min("dt").alias("low"), F.max("dt").alias("high"), F.count("*").alias("n")).first()
+    moved = firsts.where("origin < known")
+    days = moved.selectExpr("min(dt) AS low", "max(dt) AS high", "count(*) AS n").first()
     if days["n"]:
         history = _before(batch.sparkSession, path, "points", batch_id)
         history = history.where(F.col("dt").between(days["low"], days["high"]))
@@ -101,7 +102,7 @@ def write_reach(batch: DataFrame, path: str, batch_id: int) -> None:
 
 def _measure(points: DataFrame, firsts: DataFrame) -> DataFrame:
     joined = reach.join_origins(points, firsts.select(*GROUP, "origin", "fixes"), GROUP)
-    return joined.groupBy(*GROUP, "origin").agg(F.max(reach.away_from_origin()).alias("dist"))
+    return joined.groupBy(*GROUP, "origin").agg(F.expr(f"max({reach.AWAY_FROM_ORIGIN}) AS dist"))
 
 
 PARTS: dict[str, Callable[[DataFrame, str, int], None]] = {
@@ -134,8 +135,7 @@ def maintain(stream: DataFrame, path: str, parts: Sequence[str] = tuple(PARTS),
 
 def keep_latest(stream: DataFrame, path: str, trigger: dict | None = None) -> StreamingQuery:
     """Keep the latest fix per vessel as streaming state (one row per vessel), writing the changed ones."""
-    fix = F.struct("record_time", "point_id", "x", "y", "speed", "operation_type", "sea_area", "dt")
-    newest = stream.groupBy("vessel_id").agg(F.max_by(fix, F.struct("record_time", "point_id")).alias("fix"))
+    newest = stream.groupBy("vessel_id").agg(F.expr(f"{NEWEST} AS fix"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         _replace(batch.select("vessel_id", "fix.*"), path, "latest", batch_id)
@@ -154,8 +154,8 @@ def keep_latest(stream: DataFrame, path: str, trigger: dict | None = None) -> St
 
 def vessel_day_range(reach_rows: DataFrame) -> DataFrame:
     """Per vessel-day: among rows of the earliest first fix, the largest distance."""
-    best = F.min(F.struct("origin", (-F.col("dist")).alias("nearness")))
-    return reach_rows.groupBy(*GROUP).agg(best.alias("best")).select(*GROUP, (-F.col("best.nearness")).alias("dist"))
+    best = reach_rows.groupBy(*GROUP).agg(F.expr("min(struct(origin, -dist AS nearness)) AS best"))
+    return best.selectExpr(*GROUP, "-best.nearness AS dist")
 
 
 def range_vessel_day(reach_rows: DataFrame, k: int = 20) -> DataFrame:
@@ -164,11 +164,7 @@ def range_vessel_day(reach_rows: DataFrame, k: int = 20) -> DataFrame:
 
 def area_violations_today(violations: DataFrame, activity: DataFrame, k: int = 500) -> DataFrame:
     """The first violations of the last day that has fixes, which may be a day without violations."""
-    day = violations.where(F.col("dt") == activity.agg(F.max("dt")).scalar())
-    first = day.orderBy("record_time", "point_id").limit(k)
-    return first.select(
-        F.col("vessel_id").alias("ship_id"), "sea_area", "x", "y", X.time_text(F.col("record_time")).alias("time")
-    )
+    return alerts.first_violations(violations.where(F.col("dt") == last(activity)), k)
 
 
 def latest_status(latest: DataFrame) -> DataFrame:
