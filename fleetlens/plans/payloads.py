@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from fleetlens.operators import activity, alerts, density, duration, gear, monitor, reach
-from fleetlens.operators.filters import last
+from fleetlens.operators import activity, alerts, density, gear, monitor, reach
+from fleetlens.operators.filters import current_day, last
+from fleetlens.plans import rollup as R
+from fleetlens.session import checkpointed
 
 # An array payload is one row. Its inputs are charts of at most a few dozen points; a longer one is an error.
 MAX_ARRAY_ROWS = 10_000
@@ -29,36 +31,44 @@ def array_payload(df: DataFrame, order: Sequence[str], **arrays: str) -> DataFra
     return checked.selectExpr(f"to_json(struct({columns})) AS payload")
 
 
-def summary(df: DataFrame) -> DataFrame:
+def summary(df: DataFrame, day: DataFrame) -> DataFrame:
     """Day and month figures side by side, from the same rows."""
     month = monitor.kpi_month(df)
     figures = last(month, f"any_value(struct({', '.join(month.columns)}))")
-    return monitor.kpi_day(df).withColumn("m", figures).select("*", "m.*").drop("m")
+    return monitor.kpi_day(day).withColumn("m", figures).select("*", "m.*").drop("m")
 
 
 def row_payloads(df: DataFrame) -> dict[str, DataFrame]:
-    """The payloads that are lists of objects, by name."""
+    """The payloads that are lists of objects, by name.
+
+    The current day's rows are stored once; only the month figures go back to the whole table.
+    """
+    day = checkpointed(current_day(df))
     frames = {
-        "sea-grid-heatmap": density.grid_density_today(df),
-        "worktype-ratio": gear.gear_counts_today(df),
-        "abnormal-stop-points": alerts.abnormal_stop_today(df),
-        "cross-border": alerts.area_violations_today(df),
-        "ship-locations": monitor.latest_position(df),
-        "latest-boats": monitor.latest_status(df),
-        "summary": summary(df),
+        "sea-grid-heatmap": density.grid_density_today(day),
+        "worktype-ratio": gear.gear_counts_today(day),
+        "abnormal-stop-points": alerts.abnormal_stop_today(day),
+        "cross-border": alerts.area_violations_today(day),
+        "ship-locations": monitor.latest_position(day),
+        "latest-boats": monitor.latest_status(day),
+        "summary": summary(df, day),
     }
     return {name: row_payload(frame) for name, frame in frames.items()}
 
 
 def array_payloads(df: DataFrame) -> dict[str, DataFrame]:
-    """The payloads that are objects of parallel arrays, by name."""
+    """The payloads that are objects of parallel arrays, by name.
+
+    Three of the cumulative ones share one stored summary per vessel and day.
+    """
+    days = checkpointed(R.vessel_day_rollup(df))
     ships = {"ships": "ship", "values": "value"}
     return {
         "peak-hour": array_payload(activity.hour_hist_today(df), ["CAST(hour AS INT)"], hours="hour", values="value"),
-        "work-duration-dist": array_payload(duration.work_hours_buckets(df), ["ord"], ranges="range", values="value"),
-        "ship-top20": array_payload(activity.top_vessels(df), ["-value", "ship"], **ships),
+        "work-duration-dist": array_payload(R.work_hours_buckets(days), ["ord"], ranges="range", values="value"),
+        "ship-top20": array_payload(R.top_vessels(days), ["-value", "ship"], **ships),
         "avg-speed": array_payload(gear.speed_by_gear_today(df), ["-value", "type"], types="type", values="value"),
-        "daily-points": array_payload(activity.last_days(df), ["date"], dates="date", values="value"),
+        "daily-points": array_payload(R.last_days(days), ["date"], dates="date", values="value"),
         "max-distance-top20": array_payload(reach.range_vessel_day(df), ["-value", "ship"], **ships),
     }
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 
 from fleetlens.operators import alerts, reach
@@ -33,25 +36,33 @@ def build_summaries(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
 
     Days already summarised and not in `df` are kept, so a daily run only scans the new days.
     """
-    spark = df.sparkSession
-    read = []
-    for name, frame in (("activity", R.activity_rollup(df)), ("grid", R.grid_rollup(df))):
-        target = f"{path}/{name}"
-        (
-            frame.hint("rebalance", "dt")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dt")
-            .parquet(target)
-        )
-        read.append(spark.read.schema(frame.schema).parquet(target))
-    return read[0], read[1]
+    frames = {"activity": R.activity_rollup(df), "grid": R.grid_rollup(df)}
+
+    def write(name: str) -> None:
+        laid_out = frames[name].hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt")
+        laid_out.option("partitionOverwriteMode", "dynamic").parquet(f"{path}/{name}")
+
+    _together(write, frames)
+    read = {name: df.sparkSession.read.schema(f.schema).parquet(f"{path}/{name}") for name, f in frames.items()}
+    return read["activity"], read["grid"]
 
 
 def write_results(results: dict[str, DataFrame], path: str) -> None:
-    """One folder of delimited text per result, replaced as a whole: a rerun leaves the same rows."""
-    for name, frame in results.items():
-        frame.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+    """One folder of delimited text per result, replaced as a whole: a rerun leaves the same rows.
+
+    The writes are submitted together, so that the small results fill the gaps the large ones leave.
+    """
+
+    def write(name: str) -> None:
+        results[name].write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+
+    _together(write, results)
+
+
+def _together(action: Callable[[str], None], names: Iterable[str]) -> None:
+    """Submit independent Spark jobs at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=len(RESULT_NAMES)) as pool:
+        list(pool.map(action, names))
 
 
 def run_offline(df: DataFrame, path: str) -> dict[str, DataFrame]:

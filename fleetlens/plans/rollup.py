@@ -41,6 +41,14 @@ def activity_rollup(df: DataFrame) -> DataFrame:
     )
 
 
+def vessel_day_rollup(df: DataFrame) -> DataFrame:
+    """Fixes per day and vessel: the part of the activity summary that the cumulative views need."""
+    days = df.groupBy(F.expr(f"{X.DAY} AS day"), "vessel_id").agg(
+        *X.exprs("count(*) AS fixes", "min(record_time) AS first_time", "max(record_time) AS last_time")
+    )
+    return days.selectExpr("CAST(day AS STRING) AS dt", "vessel_id", "fixes", "first_time", "last_time")
+
+
 def grid_rollup(df: DataFrame) -> DataFrame:
     """Which vessels were in which valid grid cell, per day and area."""
     cell = X.exprs(f"{X.grid_index('x')} AS grid_x", f"{X.grid_index('y')} AS grid_y")

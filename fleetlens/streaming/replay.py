@@ -14,6 +14,8 @@ from fleetlens.sources import events as E
 # Rows per step and the pause between steps of the replay.
 REPLAY_ROWS = 50
 REPLAY_PAUSE = "2 seconds"
+# A long backlog is worked off in micro-batches of this size.
+BACKLOG_BYTES = 256 * 1024**3
 
 
 def write_replay_files(df: DataFrame, path: str, steps: int, time: str = "record_time") -> None:
@@ -33,12 +35,13 @@ def write_replay_files(df: DataFrame, path: str, steps: int, time: str = "record
 
 
 def read_replay(
-    spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int | None = 1
+    spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int | None = None
 ) -> DataFrame:
+    """Stream the files under `path`, a number of files or else a number of bytes per trigger."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
-    if files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    if files_per_trigger is None:
+        return reader.option("maxBytesPerTrigger", BACKLOG_BYTES).parquet(path)
+    return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """Indicators kept up to date over a stream.
 
-Each micro-batch is scanned once and appended, as mergeable summaries, under its batch number. Writing a
+Each micro-batch is appended, as mergeable summaries, under its batch number. Writing a
 batch replaces that number's files, so a batch repeated after a failure is counted once. The work per batch
 depends on the batch alone; results are read from the summaries at any time. Late rows need no special
 care, since the summaries add up in any order.
@@ -114,15 +114,21 @@ PARTS: dict[str, Callable[[DataFrame, str, int], None]] = {
 }
 
 
-def maintain(stream: DataFrame, path: str, parts: Sequence[str] = tuple(PARTS), trigger: dict | None = None) -> StreamingQuery:
-    """Start keeping the named summaries under `path`."""
+def maintain(
+    stream: DataFrame, path: str, parts: Sequence[str] = tuple(PARTS), trigger: dict | None = None, cache: bool = False
+) -> StreamingQuery:
+    """Start keeping the named summaries under `path`.
+
+    A file source is read once per part, each time only the columns the part needs. For a source that is
+    costly to read again, `cache` keeps the batch while its parts are written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for part in parts:
-                PARTS[part](batch, path, batch_id)
-        finally:
+        if cache:
+            batch.persist()
+        for part in parts:
+            PARTS[part](batch, path, batch_id)
+        if cache:
             batch.unpersist()
 
     return (

@@ -21,7 +21,7 @@ def test_kpi_day_and_month(fixes):
     )
     assert rows(monitor.kpi_day(df)) == [(3, 1, 4.5, 1, 1)]
     assert rows(monitor.kpi_month(df)) == [(4, 2, 4.4, 2)]
-    summary = payloads.summary(df)
+    summary = payloads.summary(df, df)
     assert rows(summary) == [(3, 1, 4.5, 1, 1, 4, 2, 4.4, 2)]
 
 
