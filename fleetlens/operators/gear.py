@@ -6,22 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import expressions as X
-from fleetlens.operators.filters import current_day
+from fleetlens.operators.filters import current_day, last
 
 
 def vessels_by_gear(df: DataFrame) -> DataFrame:
     return df.groupBy(F.expr("operation_type AS op_type")).agg(F.expr("count(DISTINCT vessel_id) AS cnt"))
 
 
-def share_percent(count: str, digits: int) -> str:
-    """Share of the total over already aggregated rows, one per gear."""
-    return X.half_up(f"try_divide({count} * 100D, CAST(sum({count}) OVER () AS DOUBLE))", digits)
+def with_share(counts: DataFrame, count: str, digits: int) -> DataFrame:
+    """Put each row's share of the total, in percent, beside its count."""
+    share = X.half_up(f"try_divide({count} * 100D, CAST(total AS DOUBLE))", digits)
+    totalled = counts.withColumn("total", last(counts, f"sum({count})"))
+    return totalled.selectExpr(*counts.columns, f"{share} AS share")
 
 
 def gear_share(df: DataFrame) -> DataFrame:
     """Fixes per gear with their share in percent; fixes without a gear take no part."""
     counts = df.where("operation_type IS NOT NULL").groupBy("operation_type").agg(F.expr("count(*) AS cnt"))
-    return counts.selectExpr("*", f"{share_percent('cnt', 1)} AS share")
+    return with_share(counts, "cnt", 1)
 
 
 def gear_counts_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -30,7 +32,7 @@ def gear_counts_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def gear_share_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    return gear_counts_today(df, as_of).selectExpr("*", f"{share_percent('value', 2)} AS share")
+    return with_share(gear_counts_today(df, as_of), "value", 2)
 
 
 def speed_by_gear(df: DataFrame) -> DataFrame:

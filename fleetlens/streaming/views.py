@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,6 +22,8 @@ from fleetlens.plans import rollup as R
 from fleetlens.session import scratch_path
 
 GROUP = ("vessel_id", "dt")
+OF_GROUP = tuple(f"{key} AS of_{key}" for key in GROUP)
+LOW_HIGH = "struct(min(dt) AS low, max(dt) AS high) AS days"
 NEWEST = (
     "max_by(struct(record_time, point_id, x, y, speed, operation_type, sea_area, dt), struct(record_time, point_id))"
 )
@@ -31,22 +33,28 @@ def read_part(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}")
 
 
-def _replace(df: DataFrame, path: str, name: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id:08d}")
+def _replace(df: DataFrame, path: str, name: str, batch_id: int, shuffled: bool = True) -> None:
+    """Write a part of this batch, by day. Summaries are first brought to few files per day; rows are not."""
+    laid_out = df.hint("rebalance", "dt") if shuffled else df
+    laid_out.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/{name}/batch_id={batch_id:08d}")
 
 
-def _stored(df: DataFrame, path: str, name: str, batch_id: int) -> DataFrame:
+def _stored(df: DataFrame, path: str, name: str, batch_id: int, shuffled: bool = True) -> DataFrame:
     """Write a part of this batch and go on from the written files."""
-    _replace(df, path, name, batch_id)
+    _replace(df, path, name, batch_id, shuffled)
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}/batch_id={batch_id:08d}")
 
 
-def _before(spark: SparkSession, path: str, name: str, batch_id: int) -> DataFrame | None:
-    """What earlier batches wrote, or nothing yet. A repeated batch does not see its own first attempt."""
+def _before(spark: SparkSession, path: str, name: str, batch_id: int, days: Row) -> DataFrame | None:
+    """What earlier batches wrote for the days from `low` to `high`, or nothing yet.
+
+    A repeated batch does not see its own first attempt. Both conditions select folders.
+    """
     try:
-        return read_part(spark, path, name).where(F.col("batch_id").cast("long") < batch_id).drop("batch_id")
+        written = read_part(spark, path, name).where(F.col("batch_id").cast("long") < batch_id)
     except AnalysisException:
         return None
+    return written.where(F.col("dt").isNull() | F.col("dt").between(days["low"], days["high"])).drop("batch_id")
 
 
 # --- summaries, one writer per part --------------------------------------------------------------
@@ -62,7 +70,7 @@ def write_grid(batch: DataFrame, path: str, batch_id: int) -> None:
 
 def write_violations(batch: DataFrame, path: str, batch_id: int) -> None:
     rows = alerts.violating_points(batch).select("dt", "record_time", "point_id", "vessel_id", "sea_area", "x", "y")
-    _replace(rows, path, "violations", batch_id)
+    _replace(rows, path, "violations", batch_id, shuffled=False)
 
 
 def write_latest(batch: DataFrame, path: str, batch_id: int) -> None:
@@ -78,25 +86,27 @@ def write_reach(batch: DataFrame, path: str, batch_id: int) -> None:
     vessel-day's earlier fixes are measured again from it; readers keep the rows of the earliest first fix.
     """
     points = batch.where(X.HAS_POINT).select(*GROUP, "record_time", "point_id", "x", "y")
-    points = _stored(points, path, "points", batch_id)
+    points = _stored(points, path, "points", batch_id, shuffled=False)
     firsts = points.groupBy(*GROUP).agg(
         *X.exprs("min(struct(record_time, point_id, x, y)) AS origin", "count(*) AS fixes")
     )
-    earlier = _before(batch.sparkSession, path, "reach", batch_id)
+    days = points.selectExpr(LOW_HIGH).first()
+    earlier = _before(batch.sparkSession, path, "reach", batch_id, days["days"])
     if earlier is None:
         _replace(_measure(points, _stored(firsts, path, "first", batch_id)), path, "reach", batch_id)
         return
-    known = earlier.groupBy(*[F.expr(f"{key} AS of_{key}") for key in GROUP]).agg(F.expr("min(origin) AS known"))
+    known = earlier.groupBy(*X.exprs(*OF_GROUP)).agg(F.expr("min(origin) AS known"))
     firsts = firsts.join(known, reach.same_group(firsts, known, GROUP), "left")
     firsts = firsts.selectExpr(*GROUP, "least(origin, known) AS origin", "fixes", "known")
     firsts = _stored(firsts, path, "first", batch_id)
     measured = _measure(points, firsts)
     moved = firsts.where("origin < known")
-    days = moved.selectExpr("min(dt) AS low", "max(dt) AS high", "count(*) AS n").first()
-    if days["n"]:
-        history = _before(batch.sparkSession, path, "points", batch_id)
-        history = history.where(F.col("dt").between(days["low"], days["high"]))
-        measured = measured.unionByName(_measure(history, moved))
+    found = moved.selectExpr(LOW_HIGH, "count(*) AS n").first()
+    if found["n"]:
+        history = _before(batch.sparkSession, path, "points", batch_id, found["days"])
+        moved, sizes = moved.drop("fixes"), history.groupBy(*X.exprs(*OF_GROUP)).agg(F.expr("count(*) AS fixes"))
+        moved = moved.join(sizes, reach.same_group(moved, sizes, GROUP)).select(*GROUP, "origin", "fixes")
+        measured = measured.unionByName(_measure(history, _stored(moved, path, "moved", batch_id)))
     _replace(measured, path, "reach", batch_id)
 
 
