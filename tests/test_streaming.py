@@ -13,17 +13,19 @@ from fleetlens.streaming import replay, views
 
 SF_DIR = "/root/testdata/sf0.001"
 STEPS = 4
+FIRST_DAY = "2024-01-22"  # nine days, more than the seven that the daily trend shows
 
 
 @pytest.fixture(scope="module")
 def df(spark):
-    return events.trajectories(spark, SF_DIR).cache()
+    return events.trajectories(spark, SF_DIR).where(f"dt >= '{FIRST_DAY}'").cache()
 
 
 @pytest.fixture(scope="module")
 def files(spark):
     path = scratch_path(spark, "replay")
-    replay.write_replay_files(events.read_events(spark, SF_DIR), path, STEPS, time="ts")
+    recent = events.read_events(spark, SF_DIR).where(f"ts >= '{FIRST_DAY}'")
+    replay.write_replay_files(recent, path, STEPS, time="ts")
     return path
 
 
@@ -72,7 +74,7 @@ def test_stream_equals_prefix_after_each_step(spark, kept, df, step):
 
 def test_repeated_batch_is_counted_once(spark, df):
     path = scratch_path(spark, "views")
-    halves = [df.where("dt < '2024-01-15'"), df.where("dt >= '2024-01-15'")]
+    halves = [df.where("dt < '2024-01-28'"), df.where("dt >= '2024-01-28'")]
     for number, batch in [(0, halves[0]), (1, halves[1]), (1, halves[1])]:
         for write in views.PARTS.values():
             write(batch, path, number)
