@@ -36,21 +36,33 @@ def _minutes_histogram(df: DataFrame) -> DataFrame:
     return counts.selectExpr("seconds / 60D AS minutes", "n")
 
 
-def work_minutes_box(df: DataFrame) -> DataFrame:
-    """Quartiles (linear interpolation), whiskers at 1.5 interquartile ranges, and outlier count."""
+# Within 1.5 interquartile ranges of the quartiles `q`.
+INSIDE_FENCES = "(minutes BETWEEN q[0] - 1.5D * (q[2] - q[0]) AND q[2] + 1.5D * (q[2] - q[0]))"
+
+
+def _with_quartiles(df: DataFrame) -> DataFrame:
+    """The durations with their quartiles (linear interpolation) beside them."""
     histogram = _minutes_histogram(df)
-    quartiles = last(histogram, "percentile(minutes, array(0.25, 0.5, 0.75), n)")
-    inside = "minutes BETWEEN q[0] - 1.5D * (q[2] - q[0]) AND q[2] + 1.5D * (q[2] - q[0])"
-    return histogram.withColumn("q", quartiles).selectExpr(
+    return histogram.withColumn("q", last(histogram, "percentile(minutes, array(0.25, 0.5, 0.75), n)"))
+
+
+def work_minutes_box(df: DataFrame) -> DataFrame:
+    """Quartiles, whiskers at the last values inside the fences, and the number of outliers."""
+    return _with_quartiles(df).selectExpr(
         "any_value(q[0]) AS q1",
         "any_value(q[1]) AS median",
         "any_value(q[2]) AS q3",
-        f"min(minutes) FILTER (WHERE {inside}) AS whisker_low",
-        f"max(minutes) FILTER (WHERE {inside}) AS whisker_high",
-        f"coalesce(sum(n) FILTER (WHERE NOT ({inside})), 0L) AS outliers",
+        f"min(minutes) FILTER (WHERE {INSIDE_FENCES}) AS whisker_low",
+        f"max(minutes) FILTER (WHERE {INSIDE_FENCES}) AS whisker_high",
+        f"coalesce(sum(n) FILTER (WHERE NOT {INSIDE_FENCES}), 0L) AS outliers",
     )
 
 
+def work_minutes_outliers(df: DataFrame) -> DataFrame:
+    """The durations outside the fences, with the number of vessel-days of each."""
+    return _with_quartiles(df).where(f"NOT {INSIDE_FENCES}").select("minutes", "n")
+
+
 def work_minutes_hist(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram between the smallest and largest value; the last bin is closed.
 

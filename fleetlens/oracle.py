@@ -270,6 +270,10 @@ ORACLES: dict[str, str] = {
         round(min(minutes) FILTER (WHERE inside), 6) AS whisker_low,
         round(max(minutes) FILTER (WHERE inside), 6) AS whisker_high,
         count(*) FILTER (WHERE NOT inside) AS outliers FROM w""",
+    "work_minutes_outliers": f"""{_T}{_MINUTES}, q AS (SELECT quantile_cont(minutes, 0.25) AS q1,
+        quantile_cont(minutes, 0.75) AS q3 FROM m)
+      SELECT round(minutes, 6) AS minutes, count(*) AS n FROM m, q
+      WHERE NOT minutes BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) GROUP BY 1""",
     "work_minutes_hist": f"""{_T}{_MINUTES}, h AS (SELECT least(CAST(floor((minutes - lo) / ((hi - lo) / 20)) AS INTEGER), 19) AS bin,
         count(*) AS cnt FROM m, {_BOUNDS} GROUP BY 1)
       SELECT CAST(i.bin AS INTEGER) AS bin, round(lo + (hi - lo) / 20 * i.bin, 6) AS bin_low,

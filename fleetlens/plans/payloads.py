@@ -80,3 +80,9 @@ def tagged(payloads: dict[str, DataFrame]) -> DataFrame:
     for part in parts[1:]:
         result = result.unionAll(part)
     return result
+
+
+def write_payloads(payloads: dict[str, DataFrame], path: str) -> None:
+    """One folder of JSON lines per payload, replaced as a whole."""
+    for name, frame in payloads.items():
+        frame.write.mode("overwrite").text(f"{path}/{name}")

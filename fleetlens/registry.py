@@ -268,6 +268,7 @@ QUERIES: dict[str, Query] = {
     "work_minutes_box": _over_trajectories(
         duration.work_minutes_box, six_digits=("q1", "median", "q3", "whisker_low", "whisker_high")
     ),
+    "work_minutes_outliers": _over_trajectories(duration.work_minutes_outliers, six_digits=("minutes",)),
     "work_minutes_hist": _over_trajectories(duration.work_minutes_hist, six_digits=("bin_low", "bin_high")),
     "work_hours_buckets": _over_trajectories(duration.work_hours_buckets),
     # range

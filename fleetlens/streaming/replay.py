@@ -18,6 +18,11 @@ REPLAY_PAUSE = "2 seconds"
 BACKLOG_BYTES = 256 * 1024**3
 
 
+def replay_steps(rows: int) -> int:
+    """Steps of a replay at the fixed pace."""
+    return max(1, -(-rows // REPLAY_ROWS))
+
+
 def write_replay_files(df: DataFrame, path: str, steps: int, time: str = "record_time") -> None:
     """Write `df` as `steps` folders of about equal size in time order, one after the other.
 

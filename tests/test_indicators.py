@@ -89,6 +89,7 @@ def test_duration_buckets_are_right_closed_and_zero_filled(fixes):
 def test_box_statistics(fixes):
     df = spans(fixes, 1, 2, 3, 4, 20)
     assert rows(duration.work_minutes_box(df)) == [(120.0, 180.0, 240.0, 60.0, 240.0, 1)]
+    assert rows(duration.work_minutes_outliers(df)) == [(1200.0, 1)]
 
 
 def test_histogram_edges(fixes):

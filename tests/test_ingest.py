@@ -112,7 +112,11 @@ def test_catalog_tables_can_be_declared_again(spark, landing):
     names = [r.tableName for r in catalog.list_tables(spark, "fleet_test").collect()]
     assert names == ["ais_trajectory_cleaned", "ais_trajectory_raw"]
     assert spark.table("fleet_test.ais_trajectory_raw").count() == len(LINES)
-    assert spark.table("fleet_test.ais_trajectory_cleaned").count() == 4
+    table = "fleet_test.ais_trajectory_cleaned"
+    assert spark.table(table).count() == 4
+    one_day = etl.clean(raw.read_raw(spark, landing)).where("dt = '2025-06-01' AND x IS NULL")
+    etl.insert_cleaned(one_day, table)
+    assert rows(spark.table(table).groupBy("dt").count()) == [("2025-06-01", 1), ("2025-06-02", 1)]
 
 
 def test_shared_dir_is_the_checkpoint_dir(spark):

@@ -9,6 +9,7 @@ from conftest import rows
 
 from fleetlens.operators import monitor
 from fleetlens.plans import payloads
+from fleetlens.session import scratch_path
 
 
 def test_kpi_day_and_month(fixes):
@@ -74,6 +75,14 @@ def test_payload_shapes(fixes):
     assert json.loads(objects["summary"].first().payload)["total_points"] == 3
 
 
+def test_payloads_are_written_as_json_lines(fixes, spark):
+    path = scratch_path(spark, "payloads")
+    df = fixes({}, {"vessel_id": "b"})
+    for _ in range(2):
+        payloads.write_payloads({"latest-boats": payloads.row_payload(monitor.latest_status(df))}, path)
+    assert rows(spark.read.json(f"{path}/latest-boats"), "ship", "status") == [("a", "返港中"), ("b", "返港中")]
+
+
 def test_array_payload_never_cuts(spark):
     many = spark.range(payloads.MAX_ARRAY_ROWS + 5)
     with pytest.raises(Exception, match="rows in one array payload"):

@@ -108,6 +108,10 @@ def test_replay_appends_every_row_once(spark, files, df):
     assert rows(replay.replay_status(replayed, df)) == [(df.count(), df.count())]
 
 
+def test_pace_of_the_replay():
+    assert [replay.replay_steps(n) for n in (0, 50, 51, 9896)] == [1, 1, 2, 198]
+
+
 def test_latest_state_over_several_batches(spark, files, df):
     path = scratch_path(spark, "views")
     replay.run_to_end(views.keep_latest(replay.event_stream(spark, files, files_per_trigger=1), path))
