@@ -8,7 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fleetlens.operators.filters import last
-from fleetlens.session import scratch_path
 from fleetlens.sources import events as E
 
 # Rows per step and the pause between steps of the replay.
@@ -62,7 +61,7 @@ def run_to_end(query: StreamingQuery) -> None:
 
 
 def replay(stream: DataFrame, path: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append the replayed fixes to a table partitioned by day.
+    """Append the replayed fixes to a table partitioned by day, going on where an earlier replay into it stopped.
 
     `trigger` defaults to everything available now; `{"processingTime": REPLAY_PAUSE}` paces a live replay.
     """
@@ -70,7 +69,7 @@ def replay(stream: DataFrame, path: str, trigger: dict | None = None) -> Streami
         stream.writeStream.format("parquet")
         .partitionBy("dt")
         .option("path", path)
-        .option("checkpointLocation", scratch_path(stream.sparkSession, "replay-state"))
+        .option("checkpointLocation", f"{path}/_state")
         .outputMode("append")
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -19,7 +19,7 @@ from fleetlens.functions import expressions as X
 from fleetlens.operators import alerts, monitor, reach
 from fleetlens.operators.filters import current_day, last
 from fleetlens.plans import rollup as R
-from fleetlens.session import scratch_path
+from fleetlens.session import checkpointed
 
 GROUP = ("vessel_id", "dt")
 OF_GROUP = tuple(f"{key} AS of_{key}" for key in GROUP)
@@ -29,8 +29,32 @@ NEWEST = (
 )
 
 
+# Stored columns of each part, beside the folder column `batch_id`.
+SCHEMAS = {
+    "activity": (
+        "hour int, vessel_id string, operation_type string, sea_area string, fixes bigint, speeds bigint, "
+        "speed_sum double, speed_min double, speed_max double, first_time timestamp, last_time timestamp, "
+        "slow_fixes bigint, slow_points bigint, slow_x_sum double, slow_y_sum double, dt string"
+    ),
+    "grid": "sea_area string, grid_x int, grid_y int, vessel_id string, fixes bigint, dt string",
+    "violations": (
+        "record_time timestamp, point_id bigint, vessel_id string, sea_area string, x double, y double, dt string"
+    ),
+    "latest": (
+        "vessel_id string, record_time timestamp, point_id bigint, x double, y double, speed double, "
+        "operation_type string, sea_area string, dt string"
+    ),
+    "points": "vessel_id string, record_time timestamp, point_id bigint, x double, y double, dt string",
+    "reach": (
+        "vessel_id string, origin struct<record_time: timestamp, point_id: bigint, x: double, y: double>, "
+        "dist double, dt string"
+    ),
+}
+
+
 def read_part(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{name}")
+    """All batches of a part; without rows when no batch had any."""
+    return spark.read.schema(f"{SCHEMAS[name]}, batch_id string").parquet(f"{path}/{name}")
 
 
 def _replace(df: DataFrame, path: str, name: str, batch_id: int, shuffled: bool = True) -> None:
@@ -39,12 +63,6 @@ def _replace(df: DataFrame, path: str, name: str, batch_id: int, shuffled: bool
     laid_out.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/{name}/batch_id={batch_id:08d}")
 
 
-def _stored(df: DataFrame, path: str, name: str, batch_id: int, shuffled: bool = True) -> DataFrame:
-    """Write a part of this batch and go on from the written files."""
-    _replace(df, path, name, batch_id, shuffled)
-    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}/batch_id={batch_id:08d}")
-
-
 def _before(spark: SparkSession, path: str, name: str, batch_id: int, days: Row) -> DataFrame | None:
     """What earlier batches wrote for the days from `low` to `high`, or nothing yet.
 
@@ -52,7 +70,9 @@ def _before(spark: SparkSession, path: str, name: str, batch_id: int, days: Row)
     """
     try:
         written = read_part(spark, path, name).where(F.col("batch_id").cast("long") < batch_id)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return written.where(F.col("dt").isNull() | F.col("dt").between(days["low"], days["high"])).drop("batch_id")
 
@@ -86,19 +106,19 @@ def write_reach(batch: DataFrame, path: str, batch_id: int) -> None:
     vessel-day's earlier fixes are measured again from it; readers keep the rows of the earliest first fix.
     """
     points = batch.where(X.HAS_POINT).select(*GROUP, "record_time", "point_id", "x", "y")
-    points = _stored(points, path, "points", batch_id, shuffled=False)
+    _replace(points, path, "points", batch_id, shuffled=False)
     firsts = points.groupBy(*GROUP).agg(
         *X.exprs("min(struct(record_time, point_id, x, y)) AS origin", "count(*) AS fixes")
     )
     days = points.selectExpr(LOW_HIGH).first()
     earlier = _before(batch.sparkSession, path, "reach", batch_id, days["days"])
     if earlier is None:
-        _replace(_measure(points, _stored(firsts, path, "first", batch_id)), path, "reach", batch_id)
+        _replace(_measure(points, checkpointed(firsts)), path, "reach", batch_id)
         return
     known = earlier.groupBy(*X.exprs(*OF_GROUP)).agg(F.expr("min(origin) AS known"))
     firsts = firsts.join(known, reach.same_group(firsts, known, GROUP), "left")
     firsts = firsts.selectExpr(*GROUP, "least(origin, known) AS origin", "fixes", "known")
-    firsts = _stored(firsts, path, "first", batch_id)
+    firsts = checkpointed(firsts)
     measured = _measure(points, firsts)
     moved = firsts.where("origin < known")
     found = moved.selectExpr(LOW_HIGH, "count(*) AS n").first()
@@ -106,7 +126,7 @@ def write_reach(batch: DataFrame, path: str, batch_id: int) -> None:
         history = _before(batch.sparkSession, path, "points", batch_id, found["days"])
         moved, sizes = moved.drop("fixes"), history.groupBy(*X.exprs(*OF_GROUP)).agg(F.expr("count(*) AS fixes"))
         moved = moved.join(sizes, reach.same_group(moved, sizes, GROUP)).select(*GROUP, "origin", "fixes")
-        measured = measured.unionByName(_measure(history, _stored(moved, path, "moved", batch_id)))
+        measured = measured.unionByName(_measure(history, checkpointed(moved)))
     _replace(measured, path, "reach", batch_id)
 
 
@@ -127,7 +147,7 @@ PARTS: dict[str, Callable[[DataFrame, str, int], None]] = {
 def maintain(
     stream: DataFrame, path: str, parts: Sequence[str] = tuple(PARTS), trigger: dict | None = None, cache: bool = False
 ) -> StreamingQuery:
-    """Start keeping the named summaries under `path`.
+    """Start keeping the named summaries under `path`, or go on where an earlier query on it stopped.
 
     A file source is read once per part, each time only the columns the part needs. For a source that is
     costly to read again, `cache` keeps the batch while its parts are written.
@@ -143,7 +163,7 @@ def maintain(
 
     return (
         stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", scratch_path(stream.sparkSession, "views-state"))
+        .option("checkpointLocation", f"{path}/_state/views")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
@@ -159,7 +179,7 @@ def keep_latest(stream: DataFrame, path: str, trigger: dict | None = None) -> St
     return (
         newest.writeStream.outputMode("update")
         .foreachBatch(write)
-        .option("checkpointLocation", scratch_path(stream.sparkSession, "latest-state"))
+        .option("checkpointLocation", f"{path}/_state/latest")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -81,6 +81,29 @@ def test_repeated_batch_is_counted_once(spark, df):
     check_views(parts(spark, path), df)
 
 
+def test_restart_goes_on_with_new_files_only(spark, df):
+    source, path = scratch_path(spark, "source"), scratch_path(spark, "views")
+    recent = events.read_events(spark, SF_DIR).where(f"ts >= '{FIRST_DAY}'")
+    for step, half in enumerate(("ts < '2024-01-28'", "ts >= '2024-01-28'")):
+        recent.where(half).write.parquet(f"{source}/step={step}")
+        replay.run_to_end(views.maintain(replay.event_stream(spark, source), path, ["activity"]))
+    kept = views.read_part(spark, path, "activity")
+    assert rows(kept.select("batch_id").distinct()) == [("00000000",), ("00000001",)]
+    assert rows(R.daily_points(kept)) == rows(activity.daily_points(df))
+
+
+def test_parts_without_rows_can_be_read(spark, fixes):
+    path = scratch_path(spark, "views")
+    inside = fixes({"x": None, "y": None, "speed": 9.0})
+    for number in range(2):
+        for write in views.PARTS.values():
+            write(inside, path, number)
+    read = parts(spark, path)
+    assert views.area_violations_today(read["violations"], read["activity"]).count() == 0
+    assert views.range_vessel_day(read["reach"]).count() == 0
+    assert rows(R.kpi_day(read["activity"], read["grid"])) == [(2, 1, 9.0, 0, 0)]
+
+
 def test_late_rows_move_the_origin(spark, fixes):
     path = scratch_path(spark, "views")
     on_time = fixes(
