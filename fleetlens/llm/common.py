@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,6 @@ from pyspark.sql.types import StructType
 
 from fleetlens.session import scratch_path
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-
 # Texts are worked on in slices of about this many bytes, so that memory does not follow the size of a batch.
 SLICE_BYTES = 4 << 20
 
@@ -48,43 +47,52 @@ def seed(k: int) -> np.uint64:
     return mix(np.array([(k + 1) * 0x9E3779B97F4A7C15 % 2**64], dtype=np.uint64))[0]
 
 
-def byte_texts(column: pa.Array) -> list[bytes]:
-    """UTF-8 texts of a column; NULL is empty."""
-    return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
+def texts_of(column: pa.Array) -> pa.Array:
+    """Texts of a column; NULL is empty."""
+    return pc.fill_null(column.cast(pa.string()), "")
+
 
+def byte_texts(texts: pa.Array) -> list[bytes]:
+    return texts.cast(pa.binary()).to_pylist()
 
-def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges that hold about `limit` bytes each; a longer text is a range of its own."""
-    begin = held = 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > limit:
-            yield begin, i
-            begin, held = i, 0
-        held += len(text)
-    if begin < len(texts):
-        yield begin, len(texts)
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(texts):
+        held = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, held + limit, side="right")))
+        yield begin, end
+        begin = end
 
 
 class Words:
-    """The words of some texts: `codes` into the distinct `words`, text by text; text i has `counts[i]` from `starts[i]`."""
-
-    def __init__(self, texts: list[bytes], pattern: re.Pattern[bytes] = WORD):
-        every: list[bytes] = []
-        self.counts = np.zeros(len(texts), dtype=np.int64)
-        for i, text in enumerate(texts):
-            found = pattern.findall(text)
-            self.counts[i] = len(found)
-            every += found
-        values = np.empty(len(every), dtype=object)
-        values[:] = every
-        self.codes, self.words = pd.factorize(values)
+    """The words of some texts, split at ASCII white space: `codes` into the distinct `words`, text by text.
+
+    Text i has `counts[i]` words from position `starts[i]`; `doc` is the text of each position.
+    """
+
+    def __init__(self, texts: pa.Array):
+        lists = pc.ascii_split_whitespace(texts)
+        bounds = lists.offsets.to_numpy()
+        parts = lists.values
+        filled = pc.greater(pc.binary_length(parts), 0)
+        before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+        self.counts = np.diff(before[bounds])
+        coded = parts.slice(bounds[0], bounds[-1] - bounds[0]).filter(filled.slice(bounds[0], bounds[-1] - bounds[0])).dictionary_encode()
+        self.codes = coded.indices.to_numpy().astype(np.int64)
+        self.dictionary = coded.dictionary
         self.starts = np.cumsum(self.counts) - self.counts
         self.doc = np.repeat(np.arange(len(texts)), self.counts)
 
+    @property
+    def words(self) -> list[bytes]:
+        return byte_texts(self.dictionary)
+
     def hashes(self) -> np.ndarray:
         """64-bit hash of each distinct word."""
-        digest = xxhash.xxh3_64_intdigest
-        return np.fromiter((digest(w) for w in self.words), dtype=np.uint64, count=len(self.words))
+        return hashes(self.words)
 
     def windows(self, size: int) -> np.ndarray:
         """Positions at which a window of `size` words lies within one text."""
@@ -92,16 +100,30 @@ class Words:
         return np.flatnonzero(left >= size)
 
 
+def hashes(words: list[bytes], salt: int = 0) -> np.ndarray:
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(w, salt) for w in words), dtype=np.uint64, count=len(words))
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
 def window_hashes(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """Hash of `size` consecutive word hashes from each position in `at`."""
     total = np.full(len(at), seed(size), dtype=np.uint64)
     for k in range(size):
-        total = mix(total ^ values[at + k]) + seed(100 + k)
-    return total
+        total = total * _BASE + values[at + k]
+        total ^= total >> np.uint64(29)
+    return mix(total)
+
+
+def sorted_distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
 def in_slices(
-    df: DataFrame, columns: list[str], schema: str, work: Callable[[list[bytes], dict[str, pa.Array]], dict[str, object]]
+    df: DataFrame, columns: list[str], schema: str, work: Callable[[pa.Array, dict[str, pa.Array]], dict[str, object]]
 ) -> DataFrame:
     """Apply `work` to slices of the last of `columns` (a text); the others come as Arrow arrays; it returns columns of `schema`."""
     spark = df.sparkSession
@@ -113,9 +135,9 @@ def in_slices(
 
         out = to_arrow_schema(fields)
         for batch in batches:
-            texts = byte_texts(batch.column(len(others)))
+            texts = texts_of(batch.column(len(others)))
             for a, b in slices(texts):
-                made = work(texts[a:b], {c: batch.column(i).slice(a, b - a) for i, c in enumerate(others)})
+                made = work(texts.slice(a, b - a), {c: batch.column(i).slice(a, b - a) for i, c in enumerate(others)})
                 yield pa.RecordBatch.from_arrays([arrow(made[f.name], f.type) for f in out], schema=out)
 
     return df.select(*others, F.col(text).cast("string").alias(text)).mapInArrow(run, fields)
@@ -127,20 +149,28 @@ def arrow(values: object, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind, from_pandas=False)
 
 
-def keep_rows(docs: DataFrame, keep: Callable[[list[bytes]], np.ndarray], text: str = "text") -> DataFrame:
+def keep_rows(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], text: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, whose text `keep` marks."""
     fields: StructType = docs.schema
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = byte_texts(batch.column(place))
-            marks = [keep(texts[a:b]) for a, b in slices(texts)]
+            texts = texts_of(batch.column(place))
+            marks = [keep(texts.slice(a, b - a)) for a, b in slices(texts)]
             yield batch.filter(pa.array(np.concatenate(marks) if marks else np.zeros(0, bool)))
 
     return docs.mapInArrow(run, fields)
 
 
+def per_process(name: str, make: Callable[[], object]) -> object:
+    """What `make` gives, made once in this Python worker and kept for its later tasks."""
+    kept = sys.modules.setdefault("fleetlens_worker_state", types.ModuleType("fleetlens_worker_state")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def fold(doc_id: str = "doc_id", folds: int = 5) -> F.Column:
     """CRC-32 of the id as text, modulo `folds`."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds

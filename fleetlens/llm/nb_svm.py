@@ -18,11 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Words, fold, in_slices, keep_rows, labelled_sample, mix, seed
+from fleetlens.llm.common import Words, fold, hashes, in_slices, keep_rows, labelled_sample, mix, seed, sorted_distinct
 
 FIT_ROWS = 10_000
 HELD_OUT = 0
@@ -34,14 +33,14 @@ SHAPES = bytes(
 RUN = re.compile(rb"(.)\1+", re.S)
 
 
-def indicators(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, bucket) pairs, sorted by text."""
     words = Words(texts)
     if not len(words.codes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    digest = xxhash.xxh3_64_intdigest
-    plain = np.fromiter((digest(w.lower()) for w in words.words), np.uint64, len(words.words))
-    shape = np.fromiter((digest(RUN.sub(rb"\1", w.translate(SHAPES)), 1) for w in words.words), np.uint64, len(words.words))
+    seen = words.words
+    plain = hashes([w.lower() for w in seen])
+    shape = hashes([RUN.sub(rb"\1", w.translate(SHAPES)) for w in seen], 1)
     shift = np.uint64(64 - BUCKET_BITS)
     rows, buckets = [], []
 
@@ -59,7 +58,7 @@ def indicators(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     share = np.ceil(10 * again / np.maximum(words.counts, 1)).astype(np.uint64)
     spoken = np.flatnonzero(words.counts)
     add(spoken, share[spoken] + seed(3))
-    key = np.unique((np.concatenate(rows) << BUCKET_BITS) | np.concatenate(buckets))
+    key = sorted_distinct((np.concatenate(rows) << BUCKET_BITS) | np.concatenate(buckets))
     return key >> BUCKET_BITS, key & ((1 << BUCKET_BITS) - 1)
 
 
@@ -72,11 +71,11 @@ class NbSvm:
     slope: float
     offset: float
 
-    def margin(self, texts: list[bytes]) -> np.ndarray:
+    def margin(self, texts: pa.Array) -> np.ndarray:
         doc, bucket = indicators(texts)
         return margins(doc, self.weights[bucket], len(texts)) + self.bias
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
+    def score(self, texts: pa.Array) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margin(texts) + self.offset, -30, 30)))
 
 
@@ -143,7 +142,7 @@ def fit(bags: list[np.ndarray], y: np.ndarray) -> NbSvm:
     share = max(y[rows].mean(), 1e-3)
     cost = np.where(y[rows] == 1, 0.5 / share, 0.5 / max(1 - share, 1e-3))
     w, bias = descend(starts, bucket[learn], values[learn], y[rows], cost)
-    weights = r * w
+    weights = (r * w).astype(np.float32)
     margin = margins(doc, weights[bucket], len(y)) + bias
     slope, offset = curve(margin[test], y[test])
     return NbSvm(weights, bias, slope, offset)
@@ -153,7 +152,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     """Fit on a bounded sample of labelled documents outside the held-out fold; tasks make the indicators."""
     sample = labelled_sample(docs, labels, "quality", HELD_OUT, fit_rows)
 
-    def work(texts: list[bytes], others: dict[str, pa.Array]) -> dict[str, object]:
+    def work(texts: pa.Array, others: dict[str, pa.Array]) -> dict[str, object]:
         doc, bucket = indicators(texts)
         ends = np.searchsorted(doc, np.arange(len(texts) + 1))
         packed = [bucket[ends[i] : ends[i + 1]].astype("<i4").tobytes() for i in range(len(texts))]
@@ -166,9 +165,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
 
 def classify(docs: DataFrame, model: NbSvm) -> DataFrame:
     """doc_id, held_out, score, predicted."""
-    weights = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id bigint, score double"
-    scored = in_slices(docs, ["doc_id", "text"], schema, lambda texts, others: {"doc_id": others["doc_id"], "score": weights.value.score(texts)})
+    scored = in_slices(docs, ["doc_id", "text"], schema, lambda texts, others: {"doc_id": others["doc_id"], "score": model.score(texts)})
     return scored.select(
         "doc_id", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= GOOD_SCORE, 1).otherwise(0).alias("predicted")
     )
@@ -176,5 +174,4 @@ def classify(docs: DataFrame, model: NbSvm) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: NbSvm) -> DataFrame:
     """The rows of `docs` that the classifier predicts to be good."""
-    weights = docs.sparkSession.sparkContext.broadcast(model)
-    return keep_rows(docs, lambda texts: weights.value.score(texts) >= GOOD_SCORE)
+    return keep_rows(docs, lambda texts: model.score(texts) >= GOOD_SCORE)

@@ -17,9 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from fleetlens.llm.common import Words, in_slices, keep_rows, labelled_sample, window_hashes
+from fleetlens.llm.common import Words, byte_texts, in_slices, keep_rows, labelled_sample, mix, sorted_distinct, window_hashes
 
 # At most so many labelled documents are used to fit the trees.
 FIT_ROWS = 20_000
@@ -40,12 +41,12 @@ FEATURES = {
 }
 
 
-def statistics(texts: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+def statistics(column: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """The base counts by name, and the matrix of FEATURES, one row per text."""
-    words = Words(texts)
-    n, doc, rows = words.counts, words.doc, len(texts)
-    length = np.fromiter((len(w.translate(None, _CONTINUED)) for w in words.words), np.int64, len(words.words))
-    odd = np.fromiter((not w.translate(None, _NOT_LETTERS) for w in words.words), bool, len(words.words))
+    words, texts = Words(column), byte_texts(column)
+    n, doc, rows, kinds = words.counts, words.doc, len(texts), max(1, len(words.dictionary))
+    length = pc.utf8_length(words.dictionary).to_numpy(zero_copy_only=False)
+    odd = np.fromiter((not w.translate(None, _NOT_LETTERS) for w in words.words), bool, len(words.dictionary))
 
     def per_doc(values: np.ndarray) -> np.ndarray:
         return np.bincount(doc, weights=values, minlength=rows).astype(np.int64)
@@ -63,7 +64,7 @@ def statistics(texts: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]:
         lines[:, i] = len(spoken), len(spoken) - len(set(spoken))
     same = np.zeros(len(doc), bool)
     same[1:] = (words.codes[1:] == words.codes[:-1]) & (doc[1:] == doc[:-1])
-    distinct = np.bincount(np.unique(doc * max(1, len(words.words)) + words.codes) // max(1, len(words.words)), minlength=rows)
+    distinct = np.bincount(sorted_distinct(doc * kinds + words.codes) // kinds, minlength=rows)
     base = {"n_words": n, "word_chars": chars, "n_symbols": without["symbols"], "n_dup_lines": lines[1], "n_repeat_words": repeated(words, rows)}
     some = np.maximum(n, 1)
     matrix = np.column_stack([
@@ -74,7 +75,6 @@ def statistics(texts: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     return base, matrix
 
 
-_CONTINUED = bytes(range(128, 192))
 _NOT_LETTERS = bytes(b for b in range(256) if b not in LETTERS + DIGITS)
 
 
@@ -83,14 +83,14 @@ def repeated(words: Words, rows: int, size: int = 5) -> np.ndarray:
     at = words.windows(size)
     if not len(at):
         return np.zeros(rows, np.int64)
-    values = window_hashes(words.hashes()[words.codes], at, size)
-    order = np.lexsort((values, words.doc[at]))
-    v, d = values[order], words.doc[at][order]
-    equal = (v[1:] == v[:-1]) & (d[1:] == d[:-1])
-    twice = np.zeros(len(at), bool)
-    twice[1:] |= equal
-    twice[:-1] |= equal
-    hit = at[order[twice]]
+    # A window and its text in one number: equal numbers are equal windows of the same text.
+    values = mix(window_hashes(words.hashes()[words.codes], at, size) ^ mix(words.doc[at].astype(np.uint64)))
+    order = np.sort(values)
+    twice = sorted_distinct(order[1:][order[1:] == order[:-1]])
+    if not len(twice):
+        return np.zeros(rows, np.int64)
+    place = np.minimum(np.searchsorted(twice, values), len(twice) - 1)
+    hit = at[twice[place] == values]
     change = np.zeros(len(words.codes) + 1, np.int64)
     np.add.at(change, hit, 1)
     np.add.at(change, hit + size, -1)
@@ -194,7 +194,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     sample = labelled_sample(docs, labels, "quality", HELD_OUT, fit_rows).select("label", "text")
     schema = "label int, " + ", ".join(f"{c} double" for c in FEATURES)
 
-    def work(texts: list[bytes], others: dict[str, pa.Array]) -> dict[str, object]:
+    def work(texts: pa.Array, others: dict[str, pa.Array]) -> dict[str, object]:
         _, matrix = statistics(texts)
         return {"label": others["label"], **{c: matrix[:, j] for j, c in enumerate(FEATURES)}}
 
@@ -206,7 +206,7 @@ def failed(base: dict[str, np.ndarray]) -> np.ndarray:
     return (base["n_words"] < 10) | (100 * base["n_repeat_words"] > 20 * base["n_words"])
 
 
-def judge(texts: list[bytes], trees: Trees) -> dict[str, np.ndarray]:
+def judge(texts: pa.Array, trees: Trees) -> dict[str, np.ndarray]:
     base, matrix = statistics(texts)
     score = trees.score(matrix)
     bad = failed(base)

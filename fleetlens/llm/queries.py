@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import nb_svm, quality_trees
+from fleetlens.llm import nb_svm, packing, quality_trees
 from fleetlens.llm.common import table
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return nb_svm.classify(docs, nb_svm.fit_classifier(docs, table(spark, sf_dir, "labels")))
@@ -18,7 +24,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.quality_rules(docs, quality_trees.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), ids=False)
+
+
 QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
+    "op10_packing": op10_packing,
 }
