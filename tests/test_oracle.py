@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check_oracle import compare, connect
+from fleetlens.oracle import ORACLES
+from fleetlens.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,10 +18,10 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_twin(spark, con, name):
     assert compare(spark, con, name, SF_DIR) is None
 
