@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import nb_svm, packing, quality_trees
+from fleetlens.llm import decontaminate, minhash, nb_svm, packing, quality_trees
 from fleetlens.llm.common import table
 
 
@@ -14,11 +14,19 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Rule(words=3, percent=85))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return nb_svm.classify(docs, nb_svm.fit_classifier(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_trees.quality_rules(docs, quality_trees.fit_quality(docs, table(spark, sf_dir, "labels")))
@@ -29,7 +37,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_quality_classifier": op2_quality_classifier,
+    "op7_decontamination": op7_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
