@@ -32,6 +32,9 @@ UNITS = (
     "dollar dollars euro euros cent cents percent degree degrees meter meters metre metres kilometer kilometers"
 ).split()
 
+WORD_OF_HASH = f"CAST(shiftrightunsigned(h, 6) & {BIT_WORDS - 1} AS INT)"
+BIT_OF_HASH = "CAST(h & 63 AS INT)"
+
 NUMBER, NAME, UNIT = "#", "@", "%"
 
 
@@ -62,9 +65,9 @@ def worded() -> Column:
 
 def bit_table(hashes: DataFrame) -> DataFrame:
     """One row: an array of BIT_WORDS numbers whose bits mark the hashes."""
-    marked = hashes.select(
-        F.shiftrightunsigned("h", 6).bitwiseAND(BIT_WORDS - 1).alias("word"), F.shiftleft(F.lit(1).cast("bigint"), F.col("h").bitwiseAND(63).cast("int")).alias("bit")
-    ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    marked = (
+        hashes.selectExpr(f"{WORD_OF_HASH} AS word", f"shiftleft(1L, {BIT_OF_HASH}) AS bit").groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    )
     every = hashes.sparkSession.range(0, BIT_WORDS, 1, 1).withColumnRenamed("id", "word").join(marked, "word", "left")
     return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))), lambda x: x.bits).alias("bits"))
 
@@ -74,9 +77,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = stored(windows(benchmark.select("item_id", "text"), "item_id").where(worded()), "items")
     sizes = items.groupBy("item_id").agg(F.countDistinct("pos").alias("n_windows"))
     table = stored(bit_table(items.select("h")), "bits")
-    marked = F.element_at(table.scalar(), (F.shiftrightunsigned("h", 6).bitwiseAND(BIT_WORDS - 1) + 1).cast("int"))
-    hit = F.shiftrightunsigned(marked, F.col("h").bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
-    found = windows(docs.select("doc_id", "text"), "doc_id").where(hit)
+    cell = F.element_at(table.scalar(), F.expr(f"{WORD_OF_HASH} + 1"))
+    found = windows(docs.select("doc_id", "text"), "doc_id").withColumn("cell", cell).where(f"shiftrightunsigned(cell, {BIT_OF_HASH}) & 1 = 1")
     theirs = items.select("item_id", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"), *[F.col(f"c{k}").alias(f"t{k}") for k in range(WINDOW)], *[F.col(f"w{k}").alias(f"v{k}") for k in range(WINDOW)])
     same = F.col("h") == F.col("item_h")
     for k in range(WINDOW):
