@@ -143,6 +143,21 @@ def in_slices(
     return df.select(*others, F.col(text).cast("string").alias(text)).mapInArrow(run, fields)
 
 
+def in_rows(df: DataFrame, columns: list[str], schema: str, work: Callable[[dict[str, pa.Array]], dict[str, object]]) -> DataFrame:
+    """Apply `work` to batches of `columns`; it returns columns of `schema`."""
+    fields = df.sparkSession.createDataFrame([], schema).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out = to_arrow_schema(fields)
+        for batch in batches:
+            made = work({c: batch.column(i) for i, c in enumerate(columns)})
+            yield pa.RecordBatch.from_arrays([arrow(made[f.name], f.type) for f in out], schema=out)
+
+    return df.select(*columns).mapInArrow(run, fields)
+
+
 def arrow(values: object, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.Array):
         return values.cast(kind)

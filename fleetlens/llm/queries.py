@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import decontaminate, minhash, nb_svm, packing, quality_trees
+from fleetlens.llm import chat, decontaminate, licenses, minhash, nb_svm, packing, quality_trees, url_trie
 from fleetlens.llm.common import table
 
 
@@ -23,6 +23,22 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nb_svm.classify(docs, nb_svm.fit_classifier(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trie.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, whose texts hold the template's own control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(chat.segments(turns.unionByName(more)))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +55,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_url_filters": op3_url_filters,
+    "op5_license_scans": op5_license_scans,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_decontamination": op7_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
