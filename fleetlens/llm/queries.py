@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import chat, decontaminate, licenses, minhash, nb_svm, packing, quality_trees, url_trie
+from fleetlens.llm import chat, decontaminate, language_model, licenses, minhash, nb_svm, packing, quality_trees, url_trie
 from fleetlens.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trie.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_url_filters": op3_url_filters,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_license_scans": op5_license_scans,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_decontamination": op7_decontamination,
