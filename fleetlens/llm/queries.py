@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import chat, decontaminate, language_model, licenses, minhash, nb_svm, packing, quality_trees, url_trie
+from fleetlens.llm import chat, decontaminate, html_text, language_model, licenses, minhash, nb_svm, packing, quality_trees, url_trie
 from fleetlens.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_trees.quality_rules(docs, quality_trees.fit_quality(docs, table(spark, sf_dir, "labels")))
@@ -64,6 +68,7 @@ QUERIES = {
     "op5_license_scans": op5_license_scans,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_decontamination": op7_decontamination,
+    "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
