@@ -216,7 +216,7 @@ def main_text(page: str | None, shared: list[int]) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, n_shared (blocks that the page shares with its pair)."""
-    keyed = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("key", F.xxhash64("url", "html"))
+    keyed = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("key", F.xxhash64(F.col("url").isNull(), "url", "html"))
     joined = keyed.join(shared_lines(keyed), "key", "left")
 
     def work(columns: dict[str, pa.Array]) -> dict[str, object]:
