@@ -178,6 +178,27 @@ def keep_rows(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], text: str
     return docs.mapInArrow(run, fields)
 
 
+def _place(h: str, words: int) -> tuple[str, str]:
+    """The word of a bit table that a hash falls into (a power of two of them), and the bit there."""
+    return f"CAST(shiftrightunsigned({h}, 6) & {words - 1} AS INT)", f"CAST({h} & 63 AS INT)"
+
+
+def bit_table(hashes: DataFrame, words: int) -> DataFrame:
+    """One row: an array of `words` numbers whose bits mark the hashes in column `h`, however many there are."""
+    word, bit = _place("h", words)
+    held = hashes.selectExpr(f"{word} AS word", f"shiftleft(1L, {bit}) AS bit").groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    every = hashes.sparkSession.range(0, words, 1, 1).withColumnRenamed("id", "word").join(held, "word", "left")
+    filled = F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))
+    return stored(every.agg(F.transform(F.array_sort(F.collect_list(filled)), lambda x: x.bits).alias("bits")), "bits")
+
+
+def marked(df: DataFrame, h: str, table: DataFrame, words: int) -> DataFrame:
+    """The rows of `df` whose hash `h` is marked: all that were put in, and some by chance."""
+    word, bit = _place(h, words)
+    cell = df.withColumn("cell", F.element_at(table.scalar(), F.expr(f"{word} + 1")))
+    return cell.where(f"shiftrightunsigned(cell, {bit}) & 1 = 1").drop("cell")
+
+
 def per_process(name: str, make: Callable[[], object]) -> object:
     """What `make` gives, made once in this Python worker and kept for its later tasks."""
     kept = sys.modules.setdefault("fleetlens_worker_state", types.ModuleType("fleetlens_worker_state")).__dict__

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import stored
+from fleetlens.llm.common import bit_table, marked, stored
 
 WINDOW = 5
 SHARE = 0.8
@@ -32,9 +32,6 @@ UNITS = (
     "dollar dollars euro euros cent cents percent degree degrees meter meters metre metres kilometer kilometers"
 ).split()
 
-WORD_OF_HASH = f"CAST(shiftrightunsigned(h, 6) & {BIT_WORDS - 1} AS INT)"
-BIT_OF_HASH = "CAST(h & 63 AS INT)"
-
 NUMBER, NAME, UNIT = "#", "@", "%"
 
 
@@ -63,22 +60,11 @@ def worded() -> Column:
     return ~F.array_min(F.array(*[F.col(f"c{k}").isin(NUMBER, NAME, UNIT) for k in range(WINDOW)]))
 
 
-def bit_table(hashes: DataFrame) -> DataFrame:
-    """One row: an array of BIT_WORDS numbers whose bits mark the hashes."""
-    marked = (
-        hashes.selectExpr(f"{WORD_OF_HASH} AS word", f"shiftleft(1L, {BIT_OF_HASH}) AS bit").groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    )
-    every = hashes.sparkSession.range(0, BIT_WORDS, 1, 1).withColumnRenamed("id", "word").join(marked, "word", "left")
-    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))), lambda x: x.bits).alias("bits"))
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, share) of the items found in documents."""
     items = stored(windows(benchmark.select("item_id", "text"), "item_id").where(worded()), "items")
     sizes = items.groupBy("item_id").agg(F.countDistinct("pos").alias("n_windows"))
-    table = stored(bit_table(items.select("h")), "bits")
-    cell = F.element_at(table.scalar(), F.expr(f"{WORD_OF_HASH} + 1"))
-    found = windows(docs.select("doc_id", "text"), "doc_id").withColumn("cell", cell).where(f"shiftrightunsigned(cell, {BIT_OF_HASH}) & 1 = 1")
+    found = marked(windows(docs.select("doc_id", "text"), "doc_id"), "h", bit_table(items.select("h"), BIT_WORDS), BIT_WORDS)
     theirs = items.select("item_id", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"), *[F.col(f"c{k}").alias(f"t{k}") for k in range(WINDOW)], *[F.col(f"w{k}").alias(f"v{k}") for k in range(WINDOW)])
     same = F.col("h") == F.col("item_h")
     for k in range(WINDOW):
