@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from fleetlens.session import scratch_path
 
 # Texts are worked on in slices of about this many bytes, so that memory does not follow the size of a batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

@@ -28,7 +28,7 @@ from fleetlens.llm.common import Words, per_process, slices, texts_of
 
 END_ID = 1
 # The most words whose ids a Python worker remembers, from task to task, to tokenise each of them once.
-REMEMBERED = 1_200_000
+REMEMBERED = 200_000
 # Marks that may end a word. The apostrophe is left out, as tokenizers treat what follows it apart.
 TAIL = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
