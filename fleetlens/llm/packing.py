@@ -147,7 +147,7 @@ class Packer:
             self._emit([(item, item.start, n)])
             item.start += n
         if item.rest()[0]:
-            if len(self.items) == self.limits.waiting:
+            while len(self.items) == self.limits.waiting:
                 self._fill()
             self.sizes[len(self.items)] = item.rest()
             self.items.append(item)
