@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Words, fold, mix, seed, slices, sorted_distinct, stored, texts_of
+from fleetlens.llm.common import Words, fold, mix, seed, slices, stored, texts_of
 from fleetlens.llm.elias_fano import SUCCESSOR_BITS, Trie, value_of
 
 HELD_OUT = 1
@@ -40,7 +40,7 @@ TOKENS, PAIRS, TOTALS = 1, 2, 0
 @dataclass(frozen=True)
 class Setup:
     strength: float = 100.0
-    block_bytes: int = 16 << 20
+    block_bytes: int = 6 << 20
     splits: int = 16
 
 
@@ -103,20 +103,24 @@ class Block:
         self.doc = np.repeat(np.arange(n), self.counts)
         learn = self.rows["learn"].to_numpy().astype(bool) if n else np.zeros(0, bool)
         pair = self.context * len(value) + self.code
-        pairs = sorted_distinct(pair)
-        self.pair = np.searchsorted(pairs, pair)
+        by_pair = np.argsort(pair)
+        first = np.diff(pair[by_pair], prepend=-1) != 0
+        pairs = pair[by_pair[first]]
+        self.pair = np.empty(len(pair), np.int64)
+        self.pair[by_pair] = np.cumsum(first) - 1
         learnt = learn[self.doc]
         self.seen = np.bincount(self.code[learnt], minlength=len(value))
         self.pair_seen = np.bincount(self.pair[learnt], minlength=len(pairs))
-        self.shard = (mix(self.tokens) % np.uint64(shards)).astype(np.int64)
+        # Shards of tokens are ranges of their hashes, so that tokens in order are in the order of shards.
+        self.shard = ((self.tokens >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
         before, after = self.tokens[pairs // len(value)], self.tokens[pairs % len(value)]
         spread = mix(before) + (mix(after) >> np.uint64(40)) % np.uint64(splits) * seed(13)
         self.pair_shard = (mix(spread) % np.uint64(shards)).astype(np.int64)
         high = mix(before ^ seed(14)) >> np.uint64(64 - SUCCESSOR_BITS) << np.uint64(SUCCESSOR_BITS)
         self.key = (high | (mix(after ^ mix(before)) >> np.uint64(64 - SUCCESSOR_BITS))).astype(np.int64)
         # The order in which shards are asked: by shard, then key.
-        self.asked = np.lexsort((self.tokens, self.shard))
-        self.pair_asked = np.lexsort((self.key, self.pair_shard))
+        self.asked = np.arange(len(self.tokens))
+        self.pair_asked = np.argsort((self.pair_shard << 2 * SUCCESSOR_BITS) | self.key)
 
     def cuts(self, kind: int, shards: int) -> np.ndarray:
         owner = self.shard[self.asked] if kind == TOKENS else self.pair_shard[self.pair_asked]
@@ -238,7 +242,7 @@ def add_up(blocks: DataFrame, answers: DataFrame, shards: int, setup: Setup, dis
 def score(docs: DataFrame, setup: Setup = Setup()) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     blocks = stored(packed_blocks(docs, setup), "blocks")
-    shards = max(1, 2 * blocks.count())
+    shards = max(1, blocks.count())
     answers = stored(answer(ask(blocks, shards, setup)), "answers")
     distinct = total = 0
     # One row of two numbers per shard.
