@@ -40,7 +40,7 @@ TOKENS, PAIRS, TOTALS = 1, 2, 0
 @dataclass(frozen=True)
 class Setup:
     strength: float = 100.0
-    block_bytes: int = 6 << 20
+    block_bytes: int = 4 << 20
     splits: int = 16
 
 
@@ -65,7 +65,7 @@ def packed_blocks(docs: DataFrame, setup: Setup) -> DataFrame:
 
         for batch in batches:
             texts = texts_of(batch.column(2))
-            for a, b in slices(texts, setup.block_bytes):
+            for a, b in slices(texts, max(1, setup.block_bytes // 4)):
                 some = texts.slice(a, b - a)
                 waiting.append(pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), some], names=names))
                 held += pc.sum(pc.binary_length(some)).as_py() or 0
