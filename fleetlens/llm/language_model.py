@@ -165,10 +165,8 @@ def ask(blocks: DataFrame, shards: int, setup: Setup) -> DataFrame:
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, with the sums of their counts; keys with no count are left out."""
-    keys, counts = keys[counts > 0], counts[counts > 0]
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order].astype(np.int64)
+    """Distinct ones of sorted keys, with the sums of their counts; keys with no count are left out."""
+    keys, counts = keys[counts > 0], counts[counts > 0].astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
@@ -191,17 +189,20 @@ def answer(asked: DataFrame) -> DataFrame:
             counts = [np.frombuffer(c, "<u4") for c in own["counts"].to_pylist()]
             if not keys:
                 continue
-            known, total = summed(np.concatenate(keys), np.concatenate(counts))
+            every = np.concatenate(keys)
+            order = np.argsort(every)
+            known, total = summed(every[order], np.concatenate(counts)[order])
             if kind == TOKENS:
                 say(-1, TOTALS, np.array([len(known), total.sum()], "<i8").tobytes())
-                for block, k in zip(blocks, keys, strict=True):
-                    at = np.minimum(np.searchsorted(known, k), max(len(known) - 1, 0))
-                    found = np.where(known[at] == k, total[at], 0) if len(known) else np.zeros(len(k))
-                    say(block, kind, found.astype("<u8").tobytes())
+                at = np.minimum(np.searchsorted(known, every), max(len(known) - 1, 0))
+                found = (np.where(known[at] == every, total[at], 0) if len(known) else np.zeros(len(every))).astype("<u8")
             else:
-                trie = Trie.build(known, total)
-                for block, k in zip(blocks, keys, strict=True):
-                    say(block, kind, trie.find(k).astype("<u2").tobytes())
+                # All that is asked goes through the trie once, in order.
+                found = np.empty(len(every), "<u2")
+                found[order] = Trie.build(known, total).find(every[order])
+            ends = np.cumsum([0, *map(len, keys)])
+            for k, block in enumerate(blocks):
+                say(block, kind, found[ends[k] : ends[k + 1]].tobytes())
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
         return pa.table([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["block", "shard", "kind", "found"])
 
