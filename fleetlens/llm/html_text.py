@@ -143,8 +143,8 @@ def prefix(a: str, b: str) -> int:
     return next((k for k in range(n) if a[k] != b[k]), n)
 
 
-ROW = "key bigint, host string, path string, lines array<bigint>"
-PAIRED = ROW + ", before struct<host: string, path: string, lines: array<bigint>>, after struct<host: string, path: string, lines: array<bigint>>, edge boolean"
+ROW = "key bigint, host string, path string, lines array<int>"
+PAIRED = ROW + ", before struct<host: string, path: string, lines: array<int>>, after struct<host: string, path: string, lines: array<int>>, edge boolean"
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
@@ -152,8 +152,8 @@ def neighbours(rows: DataFrame) -> DataFrame:
     spread = rows.repartitionByRange("host", "path", "key").sortWithinPartitions("host", "path", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("key", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.int64()))])
-        side = pa.struct([("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.int64()))])
+        schema = pa.schema([("key", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.int32()))])
+        side = pa.struct([("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.int32()))])
         full = schema.append(pa.field("before", side)).append(pa.field("after", side)).append(pa.field("edge", pa.bool_()))
         last = None
 
@@ -190,7 +190,7 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
     def parse(columns: dict[str, pa.Array]) -> dict[str, object]:
         hosts = [split(u) for u in columns["url"].to_pylist()]
-        lines = [[xxhash.xxh3_64_intdigest(t.encode()) - 2**63 for t, _ in blocks(p)] for p in columns["html"].to_pylist()]
+        lines = [[xxhash.xxh32_intdigest(t.encode()) - 2**31 for t, _ in blocks(p)] for p in columns["html"].to_pylist()]
         return {"key": columns["key"], "host": [h for h, _ in hosts], "path": [p for _, p in hosts], "lines": lines}
 
     def align(columns: dict[str, pa.Array]) -> dict[str, object]:
