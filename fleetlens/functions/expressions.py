@@ -28,18 +28,19 @@ def half_up(value: str, digits: int) -> str:
 
 # Both coordinates are known; zero counts as known.
 HAS_POINT = "(x IS NOT NULL AND y IS NOT NULL)"
-# Both are known and non-zero (NULL fails the comparison).
-HAS_VALID_POINT = "(x <> 0D AND y <> 0D)"
+# Both are known, non-zero, and have a grid cell: NULL, NaN and numbers beyond the grid fail the comparison.
+_IN_GRID = f"x > -{S.GRID_LIMIT}D AND x < {S.GRID_LIMIT}D AND y > -{S.GRID_LIMIT}D AND y < {S.GRID_LIMIT}D"
+HAS_VALID_POINT = f"(x <> 0D AND y <> 0D AND {_IN_GRID})"
 
 
 def grid_index(coordinate: str) -> str:
     """Number of the 10 km grid line at or below the coordinate."""
-    return f"CAST(floor({coordinate} / {S.GRID_KM}D) AS INT)"
+    return f"try_cast(floor({coordinate} / {S.GRID_KM}D) AS INT)"
 
 
 def grid_origin(coordinate: str) -> str:
     """Lower edge, in km, of the 10 km grid cell."""
-    return f"CAST(floor({coordinate} / {S.GRID_KM}D) * {S.GRID_KM:.0f} AS INT)"
+    return f"try_cast(try_multiply(floor({coordinate} / {S.GRID_KM}D), {S.GRID_KM:.0f}L) AS INT)"
 
 
 def distance(x: str, y: str, x0: str, y0: str) -> str:
@@ -83,6 +84,15 @@ def hour_of_text(text: str) -> str:
     return f"coalesce(hour({parse_time(text)}), try_cast(substring({text}, 12, 2) AS INT))"
 
 
+def finite(number: str) -> str:
+    """NULL for NaN and infinities, which no comparison of the published rules accepts."""
+    return f"CASE WHEN abs({number}) < 1.7976931348623157E308D THEN {number} END"
+
+
+# The `dt` of a fix if it names a date.
+DATED = "CASE WHEN dt RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}$' AND try_cast(dt AS DATE) IS NOT NULL THEN dt END"
+
+
 def day_of_text(text: str) -> str:
     return f"substring({text}, 1, 10)"
 

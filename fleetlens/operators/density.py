@@ -6,18 +6,12 @@ shuffled on both columns, so a vessel or cell that holds a large share of all fi
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import expressions as X
 from fleetlens.operators.filters import current_day, last, valid_points
 
-# Grid columns of the chart: the sheet of water that the sea areas cover.
-CHART_COLUMNS = tuple(range(0, 600, 10))
-
-
 def grid_density(df: DataFrame) -> DataFrame:
     cell = X.exprs("sea_area", f"{X.grid_index('x')} AS grid_x", f"{X.grid_index('y')} AS grid_y")
     return valid_points(df).groupBy(*cell).agg(F.expr("count(DISTINCT vessel_id) AS density"))
@@ -33,20 +27,13 @@ def with_scale(density: DataFrame, value: str) -> DataFrame:
     return density.withColumn("scale_max", last(density, f"max({value})"))
 
 
-def grid_density_pivot(df: DataFrame, columns: Sequence[int] = CHART_COLUMNS) -> DataFrame:
-    """Per area, a matrix of distinct vessels: one row per grid y, one column per grid x, zero-filled.
+def grid_density_pivot(df: DataFrame) -> DataFrame:
+    """Per area, the matrix of distinct vessels, as one row per cell that occurs: whatever the coordinates, no cell is merged.
 
-    Cells outside `columns` are counted together in `gx_other`, so no fix is lost. Zero coordinates are
-    kept; rows without an area or a coordinate belong to no matrix.
+    Zero coordinates are kept; rows without an area, or without coordinates that have a cell, belong to no matrix.
     """
-    gx = X.grid_origin("x")
-    listed = ", ".join(map(str, columns))
-    names = [f"gx_{c}" for c in columns] + ["gx_other"]
     cells = df.where(f"{X.HAS_POINT} AND sea_area IS NOT NULL").selectExpr(
-        "sea_area",
-        f"{X.grid_origin('y')} AS grid_y",
-        f"IF({gx} IN ({listed}), concat('gx_', {gx}), 'gx_other') AS grid_x",
-        "vessel_id",
+        "sea_area", f"{X.grid_origin('y')} AS grid_y", f"{X.grid_origin('x')} AS grid_x", "vessel_id"
     )
-    matrix = cells.groupBy("sea_area", "grid_y").pivot("grid_x", names).agg(F.expr("count(DISTINCT vessel_id)"))
-    return matrix.selectExpr("sea_area", "grid_y", *[f"coalesce({name}, 0L) AS {name}" for name in names])
+    counted = cells.where("grid_x IS NOT NULL AND grid_y IS NOT NULL").groupBy("sea_area", "grid_y", "grid_x")
+    return counted.agg(F.expr("count(DISTINCT vessel_id) AS density"))

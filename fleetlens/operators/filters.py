@@ -8,8 +8,6 @@ from pyspark.sql import Window as W
 
 from fleetlens.functions import expressions as X
 
-# Up to this many rows a prefix is a top-k: every task keeps its first n rows and one task merges them.
-TOP_K_ROWS = 100_000
 # Groups of equal times up to this size are cut with a top-k; larger ones are narrowed down first.
 TIE_ROWS = 1_000_000
 
@@ -18,7 +16,7 @@ def valid_points(df: DataFrame) -> DataFrame:
     return df.where(X.HAS_VALID_POINT)
 
 
-def last(df: DataFrame, text: str = "max(dt)") -> Column:
+def last(df: DataFrame, text: str = f"max({X.DATED})") -> Column:
     """A one-row aggregate of `df` as a value to compare its rows with."""
     return df.selectExpr(text).scalar()
 
@@ -33,14 +31,14 @@ def current_day(df: DataFrame, as_of: str | None = None) -> DataFrame:
 
 def current_month(df: DataFrame, as_of: str | None = None) -> DataFrame:
     """Rows of the month of the latest date in the data, or of `as_of`."""
-    month = last(df, "substring(max(dt), 1, 7)") if as_of is None else F.lit(as_of[:7])
+    month = last(df, f"substring(max({X.DATED}), 1, 7)") if as_of is None else F.lit(as_of[:7])
     # A range on `dt` itself, so that it prunes partitions: 'yyyy-MM' <= 'yyyy-MM-dd' < 'yyyy-MM~'.
     return df.where(F.col("dt").between(month, F.concat(month, F.lit("~"))))
 
 
 def latest_date(df: DataFrame) -> DataFrame:
     """One row: the latest date, or today's date when there are no rows."""
-    return df.selectExpr("coalesce(max(dt), CAST(current_date() AS STRING)) AS today")
+    return df.selectExpr(f"coalesce(max({X.DATED}), CAST(current_date() AS STRING)) AS today")
 
 
 def latest_only(result: DataFrame, time_column: str) -> DataFrame:
@@ -55,11 +53,9 @@ def latest_only(result: DataFrame, time_column: str) -> DataFrame:
 def replay_prefix(df: DataFrame, n: int) -> DataFrame:
     """The first `n` rows in (record_time, point_id) order; rows without a time come first.
 
-    A small prefix is a top-k. A large one is cut at the key of its n-th row: the result is then an
-    ordinary filter that stays spread over all tasks and reaches the scan.
+    It is cut at the key of its n-th row: the result is an ordinary filter that stays spread over all tasks
+    and reaches the scan.
     """
-    if n <= TOP_K_ROWS:
-        return df.orderBy("record_time", "point_id").limit(n)
     return cut_prefix(df, n)
 
 

@@ -1,9 +1,9 @@
 """Largest distance of a vessel from its first fix.
 
 The distance needs the group's first fix beside every other fix. A window would bring all fixes of a
-vessel into one task. Instead the first fixes are aggregated (combining in the map tasks), written to the
-shared folder, and joined back: broadcast when they are counted to be few, else by a shuffle join in
-which groups of many fixes are spread over several tasks.
+vessel into one task. Instead the first fixes are aggregated (combining in the map tasks, by hash), written to
+the shared folder, and joined back on (group, split), a group of many fixes having several splits. Spark
+broadcasts the first fixes if their bytes allow, else it shuffles.
 """
 
 from __future__ import annotations
@@ -15,20 +15,28 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions import expressions as X
 from fleetlens.operators.filters import valid_points
-from fleetlens.session import checkpointed
+from fleetlens.session import stored
 
-# First fixes are broadcast up to this count (about 100 MB); beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
-# In a shuffle join, a group with more fixes than this is spread over several tasks.
+# A group with more fixes than this is spread over several tasks.
 ROWS_PER_SPLIT = 5_000_000
-# At most this many groups are spread: every group beyond them holds less than 1/100,000 of all fixes.
-MAX_SPLIT_GROUPS = 100_000
+# The limit grows with the table, so that fewer than this many groups can exceed it: their list is broadcast.
+MOST_LARGE_GROUPS = 100_000
+# A fix without a time comes before all others.
+NO_TIME = -(10**17)
 
 
 def first_fixes(points: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Earliest fix and number of fixes per group."""
-    first = "min_by(struct(x, y), struct(record_time, point_id)) AS origin"
-    return points.groupBy(*keys).agg(*X.exprs(first, "count(*) AS fixes"))
+    """Earliest fix and number of fixes per group; equal times are ordered by id.
+
+    Time and id make one number, since a struct as key would rule out aggregation by hash.
+    """
+    time = f"CAST(coalesce(unix_micros(CAST(record_time AS TIMESTAMP)), {NO_TIME}L) AS DECIMAL(20,0))"
+    rank = f"CAST({time} * CAST(18446744073709551616 AS DECIMAL(20,0)) + coalesce(point_id, -9223372036854775807L) AS DECIMAL(38,0))"
+    ranked = points.selectExpr("*", f"{rank} AS time_rank")
+    firsts = ranked.groupBy(*keys).agg(
+        *X.exprs("min_by(x, time_rank) AS first_x", "min_by(y, time_rank) AS first_y", "count(*) AS fixes")
+    )
+    return firsts.selectExpr(*keys, "struct(first_x AS x, first_y AS y) AS origin", "fixes")
 
 
 def same_group(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> Column:
@@ -39,24 +47,16 @@ def _renamed(df: DataFrame, keys: tuple[str, ...], *others: str) -> DataFrame:
     return df.selectExpr(*[f"{key} AS of_{key}" for key in keys], *others)
 
 
-def broadcast_origins(points: DataFrame, firsts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    origins = F.broadcast(_renamed(firsts, keys, "origin"))
-    return points.join(origins, same_group(points, origins, keys))
-
-
-def split_origins(
+def join_origins(
     points: DataFrame, firsts: DataFrame, keys: tuple[str, ...], rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
-    """Shuffle join on (group, split). Only large groups have more than one split.
+    """Each fix with its group's `origin`, joined on (group, split); only large groups have more than one split.
 
-    The list of large groups is broadcast; its length is bounded by `MAX_SPLIT_GROUPS`.
+    `firsts` (keys, origin, fixes) is read several times, so it should be stored.
     """
-    large = (
-        firsts.where(f"fixes > {rows_per_split}")
-        .orderBy(F.desc("fixes"), *keys)
-        .limit(MAX_SPLIT_GROUPS)
-        .selectExpr(*keys, f"CAST(ceil(fixes / {rows_per_split}D) AS INT) AS splits")
-    )
+    total = firsts.selectExpr("coalesce(sum(fixes), 0L) AS total").scalar()
+    limited = firsts.withColumn("total", total).withColumn("most", F.expr(f"greatest({rows_per_split}L, total div {MOST_LARGE_GROUPS}L)"))
+    large = limited.where("fixes > most").selectExpr(*keys, "CAST(ceil(fixes / CAST(most AS DOUBLE)) AS INT) AS splits")
     sizes = F.broadcast(_renamed(large, keys, "splits"))
     spread = points.join(sizes, same_group(points, sizes, keys), "left").selectExpr(
         *points.columns, "CAST(pmod(xxhash64(point_id), coalesce(splits, 1)) AS INT) AS split"
@@ -68,32 +68,16 @@ def split_origins(
     return spread.join(origins, same_group(spread, origins, keys) & (spread["split"] == origins["of_split"]))
 
 
-def join_origins(
-    points: DataFrame,
-    firsts: DataFrame,
-    keys: tuple[str, ...],
-    broadcast_rows: int = BROADCAST_ROWS,
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
-    """Each fix with its group's `origin`. `firsts` (keys, origin, fixes) is counted, so it should be stored."""
-    if firsts.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return broadcast_origins(points, firsts, keys)
-    return split_origins(points, firsts, keys, rows_per_split)
-
-
 AWAY_FROM_ORIGIN = X.distance("x", "y", "origin.x", "origin.y")
 
 
 def farthest(
-    df: DataFrame,
-    keys: tuple[str, ...],
-    broadcast_rows: int = BROADCAST_ROWS,
-    rows_per_split: int = ROWS_PER_SPLIT,
+    df: DataFrame, keys: tuple[str, ...], rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
     """Largest distance from the group's first fix, per group."""
     points = df.select(*keys, "record_time", "point_id", "x", "y")
-    firsts = checkpointed(first_fixes(points, keys))
-    joined = join_origins(points, firsts, keys, broadcast_rows, rows_per_split)
+    firsts = stored(first_fixes(points, keys), "first-fixes")
+    joined = join_origins(points, firsts, keys, rows_per_split)
     return joined.groupBy(*keys).agg(F.expr(f"max({AWAY_FROM_ORIGIN}) AS dist"))
 
 

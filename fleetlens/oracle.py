@@ -36,6 +36,13 @@ FROM events"""
 _T = f"WITH f AS ({_FIXES}), t AS (SELECT * FROM f WHERE speed > 0 AND speed < 20)"
 
 
+# The same over the first fixes in time order.
+_PREFIX = _T.replace(", t AS (", ", every AS (") + ", t AS (SELECT * FROM every ORDER BY record_time, point_id LIMIT 2500)"
+
+_DIRTY_DAYS = f"""{_T} SELECT vessel_id, count(DISTINCT CASE WHEN point_id % 40 <> 8 THEN dt END) AS days_at_sea
+  FROM t GROUP BY 1"""
+
+
 def _r(value: str, digits: int) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
 
@@ -146,9 +153,6 @@ def _rows(source: str, *columns: str) -> str:
     return f"SELECT to_json(struct_pack({packed}))::VARCHAR AS payload FROM {source}"
 
 
-_PIVOT_COLUMNS = ", ".join(
-    f"count(DISTINCT vessel_id) FILTER (WHERE gx = {c}) AS gx_{c}" for c in range(0, 600, 10)
-)
 _BOUNDS = "(SELECT min(minutes) AS lo, max(minutes) AS hi FROM m)"
 
 
@@ -231,8 +235,7 @@ ORACLES: dict[str, str] = {
     "grid_density_today": f"{_T}{_GRID_TODAY} SELECT * FROM gr",
     "grid_density_pivot": f"""{_T}, c AS (SELECT sea_area, {_GX} * 10 AS gx, {_GY} * 10 AS grid_y, vessel_id FROM t
         WHERE {_LOCATED} AND sea_area IS NOT NULL)
-      SELECT sea_area, grid_y, {_PIVOT_COLUMNS},
-        count(DISTINCT vessel_id) FILTER (WHERE gx < 0 OR gx >= 600) AS gx_other FROM c GROUP BY 1, 2""",
+      SELECT sea_area, grid_y, gx AS grid_x, count(DISTINCT vessel_id) AS density FROM c GROUP BY 1, 2, 3""",
     "grid_density_scaled": f"""{_T}, d AS (SELECT sea_area, {_GX} AS grid_x, {_GY} AS grid_y,
         count(DISTINCT vessel_id) AS density FROM t WHERE {_VALID} GROUP BY 1, 2, 3)
       SELECT *, max(density) OVER () AS scale_max FROM d""",
@@ -279,6 +282,16 @@ ORACLES: dict[str, str] = {
       SELECT CAST(i.bin AS INTEGER) AS bin, round(lo + (hi - lo) / 20 * i.bin, 6) AS bin_low,
         round(lo + (hi - lo) / 20 * (i.bin + 1), 6) AS bin_high, coalesce(cnt, 0) AS cnt
       FROM range(20) AS i(bin) CROSS JOIN {_BOUNDS} LEFT JOIN h ON h.bin = i.bin""",
+    "work_hours_buckets_prefix": f"{_PREFIX}{_BUCKETS} SELECT * FROM buckets",
+    "top20_vessels_prefix": f"{_PREFIX}{_TOP20} SELECT * FROM top20",
+    "last7_days_prefix": f"{_PREFIX}{_LAST7} SELECT * FROM last7",
+    "range_vessel_day_prefix": f"{_PREFIX}{_RANGE20} SELECT * FROM range20",
+    "dirty_grid_density": f"""{_T} SELECT sea_area, {_GX} AS grid_x, {_GY} AS grid_y, count(DISTINCT vessel_id) AS density
+      FROM t WHERE {_VALID} AND point_id % 40 NOT IN (5, 6, 7) GROUP BY 1, 2, 3""",
+    "dirty_days_at_sea": _DIRTY_DAYS,
+    "dirty_days_at_sea_rollup": _DIRTY_DAYS,
+    "dirty_current_day": f"""{_T}, d AS (SELECT dt FROM t WHERE point_id % 40 <> 8)
+      SELECT dt, count(*) AS count FROM d WHERE dt = (SELECT max(dt) FROM d) GROUP BY 1""",
     "work_hours_buckets": f"{_T}{_BUCKETS} SELECT * FROM buckets",
     "max_range": f"{_T}{_ranges('vessel_id', _VALID)} SELECT vessel_id, {_r('dist', 2)} AS max_dist FROM rng",
     "max_range_daily": f"{_T}{_DAY_RANGE} SELECT vessel_id, round(max(dist), 6) AS max_dist FROM rng GROUP BY 1",

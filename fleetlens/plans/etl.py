@@ -13,16 +13,18 @@ OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 def clean(raw: DataFrame) -> DataFrame:
     """Type the text columns and keep 0 < speed < 20. Values that do not parse become NULL.
 
-    Without a `point_id` of its own a fix gets one from its content. Equal ids then mean equal rows,
-    whose order among themselves cannot show in any result.
+    Coordinates that are not finite become NULL as well. Without a `point_id` of its own a fix gets one from
+    its content: equal rows have equal ids, and different rows share one only if a 63-bit hash collides.
     """
     own_id = "CAST(point_id AS BIGINT)" if "point_id" in raw.columns else None
-    content_id = f"shiftrightunsigned(xxhash64({', '.join(S.RAW_COLUMNS)}), 1)"
+    # NULL and the end of a value have characters of their own: a hash of the columns would pass over NULLs.
+    content = ", ".join(f"coalesce({c}, char(2))" for c in S.RAW_COLUMNS)
+    content_id = f"shiftrightunsigned(xxhash64(concat_ws(char(1), {content})), 1)"
     speed = "try_cast(speed AS DOUBLE)"
     return raw.where(f"{speed} > 0D AND {speed} < {S.MAX_SPEED}D").selectExpr(
         "vessel_id",
-        "try_cast(x AS DOUBLE) AS x",
-        "try_cast(y AS DOUBLE) AS y",
+        f"{X.finite('try_cast(x AS DOUBLE)')} AS x",
+        f"{X.finite('try_cast(y AS DOUBLE)')} AS y",
         "try_cast(speed AS FLOAT) AS speed",
         "try_cast(direction AS INT) AS direction",
         "record_time",

@@ -11,24 +11,21 @@ from fleetlens.operators.filters import current_day, last
 from fleetlens.plans import rollup as R
 from fleetlens.session import checkpointed
 
-# An array payload is one row. Its inputs are charts of at most a few dozen points; a longer one is an error.
-MAX_ARRAY_ROWS = 10_000
+# As in the published payloads, a missing value is an explicit null.
+KEEP_NULLS = "map('ignoreNullFields', 'false')"
 
 
 def row_payload(df: DataFrame) -> DataFrame:
     """One JSON object per row: stays distributed, and an array file of any length can be written from it."""
-    return df.selectExpr(f"to_json(struct({', '.join(df.columns)})) AS payload")
+    return df.selectExpr(f"to_json(struct({', '.join(df.columns)}), {KEEP_NULLS}) AS payload")
 
 
 def array_payload(df: DataFrame, order: Sequence[str], **arrays: str) -> DataFrame:
-    """One JSON object of parallel arrays, `name=column`, in the given order."""
+    """One JSON object of parallel arrays, `name=column`, in the given order. It is one row, meant for charts."""
     entry = ", ".join([f"{text} AS o{i}" for i, text in enumerate(order)] + list(arrays.values()))
     columns = ", ".join(f"rows.{column} AS {name}" for name, column in arrays.items())
-    # One row past the bound is enough to tell that it is exceeded; then the query fails instead of cutting.
-    listed = df.limit(MAX_ARRAY_ROWS + 1).selectExpr(f"sort_array(collect_list(struct({entry}))) AS rows")
-    too_long = f"raise_error('more than {MAX_ARRAY_ROWS} rows in one array payload')"
-    checked = listed.selectExpr(f"IF(size(rows) > {MAX_ARRAY_ROWS}, {too_long}, rows) AS rows")
-    return checked.selectExpr(f"to_json(struct({columns})) AS payload")
+    listed = df.selectExpr(f"sort_array(collect_list(struct({entry}))) AS rows")
+    return listed.selectExpr(f"to_json(struct({columns}), {KEEP_NULLS}) AS payload")
 
 
 def summary(df: DataFrame, day: DataFrame) -> DataFrame:

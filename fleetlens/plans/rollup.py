@@ -20,6 +20,10 @@ MEAN_SLOW_X = "try_divide(sum(slow_x_sum), CAST(sum(slow_points) AS DOUBLE))"
 MEAN_SLOW_Y = "try_divide(sum(slow_y_sum), CAST(sum(slow_points) AS DOUBLE))"
 
 
+# The day of a summary row, as the direct operators have it: NULL where the text names no date.
+DATE = "CAST(try_cast(dt AS DATE) AS STRING)"
+
+
 def activity_rollup(df: DataFrame) -> DataFrame:
     """Fixes per day, hour, vessel, gear and area."""
     stopped = f"{X.IS_SLOW} AND {X.HAS_POINT}"
@@ -73,7 +77,7 @@ def hour_hist(rollup: DataFrame) -> DataFrame:
 
 def vessel_days(rollup: DataFrame) -> DataFrame:
     seconds = X.seconds_between("min(first_time)", "max(last_time)")
-    return rollup.groupBy("vessel_id", "dt").agg(F.expr(f"{seconds} AS seconds"))
+    return rollup.groupBy("vessel_id", F.expr(f"{DATE} AS dt")).agg(F.expr(f"{seconds} AS seconds"))
 
 
 def work_hours(rollup: DataFrame) -> DataFrame:
@@ -81,7 +85,7 @@ def work_hours(rollup: DataFrame) -> DataFrame:
 
 
 def days_at_sea(rollup: DataFrame) -> DataFrame:
-    return rollup.groupBy("vessel_id").agg(F.expr("count(DISTINCT dt) AS days_at_sea"))
+    return rollup.groupBy("vessel_id").agg(F.expr(f"count(DISTINCT {DATE}) AS days_at_sea"))
 
 
 def speed_by_gear(rollup: DataFrame) -> DataFrame:
@@ -96,7 +100,7 @@ def speed_by_gear(rollup: DataFrame) -> DataFrame:
 
 
 def daily_points(rollup: DataFrame) -> DataFrame:
-    return rollup.groupBy(F.expr("dt AS work_date")).agg(F.expr("sum(fixes) AS cnt"))
+    return rollup.groupBy(F.expr(f"{DATE} AS work_date")).agg(F.expr("sum(fixes) AS cnt"))
 
 
 def abnormal_stop(rollup: DataFrame) -> DataFrame:
@@ -119,7 +123,7 @@ def top_vessels(rollup: DataFrame, k: int = 20) -> DataFrame:
 
 
 def last_days(rollup: DataFrame, days: int = 7) -> DataFrame:
-    daily = rollup.groupBy(F.expr("dt AS date")).agg(F.expr("sum(fixes) AS value"))
+    daily = rollup.groupBy(F.expr(f"{DATE} AS date")).agg(F.expr("sum(fixes) AS value"))
     return daily.orderBy(F.desc("date")).limit(days).orderBy("date")
 
 

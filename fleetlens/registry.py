@@ -137,6 +137,31 @@ def half_prefix(df: DataFrame) -> DataFrame:
     return filters.cut_prefix(df, df.count() // 2)
 
 
+def over_prefix(operator: Callable[[DataFrame], DataFrame], n: int = 2_500) -> Query:
+    """The operator over the first `n` fixes in time order."""
+    return _over_trajectories(lambda df: operator(filters.replay_prefix(df, n)))
+
+
+def dirty_fixes(df: DataFrame) -> DataFrame:
+    """The fixes as landing text with values that do not belong there, cleaned again."""
+    text = df.selectExpr(
+        "vessel_id",
+        "CASE point_id % 40 WHEN 5 THEN 'Infinity' WHEN 6 THEN '1e12' WHEN 7 THEN 'NaN' ELSE CAST(x AS STRING) END AS x",
+        "CAST(y AS STRING) AS y",
+        "CAST(speed AS STRING) AS speed",
+        "CAST(direction AS STRING) AS direction",
+        f"IF(point_id % 40 = 8, 'garbage', {X.time_text('record_time')}) AS record_time",
+        "operation_type",
+        "sea_area",
+        "point_id",
+    )
+    return cleaned.as_trajectory(etl.clean(text))
+
+
+def over_dirty(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return _over_trajectories(lambda df: operator(dirty_fixes(df)))
+
+
 # --- streams -------------------------------------------------------------------------------------
 
 
@@ -270,6 +295,14 @@ QUERIES: dict[str, Query] = {
     ),
     "work_minutes_outliers": _over_trajectories(duration.work_minutes_outliers, six_digits=("minutes",)),
     "work_minutes_hist": _over_trajectories(duration.work_minutes_hist, six_digits=("bin_low", "bin_high")),
+    "work_hours_buckets_prefix": over_prefix(duration.work_hours_buckets),
+    "top20_vessels_prefix": over_prefix(activity.top_vessels),
+    "last7_days_prefix": over_prefix(activity.last_days),
+    "range_vessel_day_prefix": over_prefix(reach.range_vessel_day),
+    "dirty_grid_density": over_dirty(density.grid_density),
+    "dirty_days_at_sea": over_dirty(activity.days_at_sea),
+    "dirty_days_at_sea_rollup": over_dirty(lambda df: R.days_at_sea(R.vessel_day_rollup(df))),
+    "dirty_current_day": over_dirty(lambda df: filters.current_day(df).groupBy("dt").count()),
     "work_hours_buckets": _over_trajectories(duration.work_hours_buckets),
     # range
     "max_range": _over_trajectories(reach.max_range),

@@ -74,6 +74,8 @@ DURATION_LABELS = ("0-2小时", "2-4小时", "4-6小时", "6-8小时", "8-10小
 DURATION_UPPER_HOURS = (2.0, 4.0, 6.0, 8.0, 10.0)
 PEAK_HOURS = (6, 7, 8, 9, 14, 15, 16, 17)
 GRID_KM = 10.0
+# Coordinates beyond this have no grid cell.
+GRID_LIMIT = 1e9
 MAX_SPEED = 20.0
 SLOW_SPEED = 3.0
 WORKING_SPEED = 5.0

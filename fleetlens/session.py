@@ -47,3 +47,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder, where it outlives the executors that computed it."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back: unlike a checkpoint, Spark then knows its size in bytes."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

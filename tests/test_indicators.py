@@ -20,10 +20,9 @@ def test_density_keys_of_the_variants(fixes):
     assert rows(density.grid_density(df)) == [(None, 11, 33, 1), ("渤海湾", 11, 33, 2), ("渤海湾", 60, -1, 1)]
     assert rows(density.grid_density_today(df)) == [(110, 330, 2), (600, -10, 1)]
     matrix = density.grid_density_pivot(df)
-    assert rows(matrix, "sea_area", "grid_y", "gx_0", "gx_110", "gx_120", "gx_other") == [
-        ("渤海湾", -10, 0, 0, 0, 1),
-        ("渤海湾", 330, 1, 2, 0, 0),
-    ]
+    assert rows(matrix, "sea_area", "grid_y", "grid_x", "density") == [
+        ("渤海湾", -10, 600, 1), ("渤海湾", 330, 0, 1), ("渤海湾", 330, 110, 2),
+    ]
     assert rows(density.with_scale(density.grid_density_today(df), "ship_cnt"), "ship_cnt", "scale_max") == [
         (1, 2),
         (2, 2),

@@ -5,6 +5,9 @@ from __future__ import annotations
 import pytest
 from conftest import plan_of, rows
 
+from fleetlens.operators import activity, density, filters, monitor
+from fleetlens.plans import rollup
+from fleetlens.sources import cleaned as cleaned_source
 from fleetlens.plans import etl
 from fleetlens.session import scratch_path, shared_dir
 from fleetlens.sources import catalog, cleaned, raw
@@ -123,3 +126,22 @@ def test_shared_dir_is_the_checkpoint_dir(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (configured or shared_dir(spark))
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_dirty_landing_text(spark):
+    columns = "vessel_id string, x string, y string, speed string, direction string, record_time string, operation_type string, sea_area string"
+    time = "2025-06-01 04:00:00"
+    dirty = [
+        ("a", "Infinity", "1", "4", "1", time, "g", "s"), ("b", "1e12", "1", "4", "1", time, "g", "s"), ("c", "NaN", "5", "4", "1", time, "g", "s"),
+        ("d", "15", "15", "4", "1", time, "g", "s"), ("d", "15", "15", "4", "1", "garbage", "g", "s"), ("e", None, "5", "4", "1", time, "g", "s"), ("e", "5", None, "4", "1", time, "g", "s"),
+    ]
+    cleaned = etl.clean(spark.createDataFrame(dirty, columns))
+    df = cleaned_source.as_trajectory(cleaned)
+    assert rows(density.grid_density(df)) == [("s", 1, 1, 1)]
+    assert rows(density.grid_density_pivot(df)) == [("s", 10, 10, 1)]
+    assert rows(activity.days_at_sea(df)) == rows(rollup.days_at_sea(rollup.vessel_day_rollup(df)))
+    assert rows(activity.daily_points(df)) == rows(rollup.daily_points(rollup.vessel_day_rollup(df)))
+    assert filters.latest_date(df).first().today == "2025-06-01"
+    assert filters.current_day(df).count() == 6
+    assert monitor.kpi_day(df).count() == 1
+    assert cleaned.select("point_id").distinct().count() == 7

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from fleetlens.operators import monitor
@@ -84,6 +85,11 @@ def test_payloads_are_written_as_json_lines(fixes, spark):
 
 
 def test_array_payload_never_cuts(spark):
-    many = spark.range(payloads.MAX_ARRAY_ROWS + 5)
-    with pytest.raises(Exception, match="rows in one array payload"):
-        payloads.array_payload(many, ["id"], ids="id").collect()
+    made = json.loads(payloads.array_payload(spark.range(10_005), ["id"], ids="id").first().payload)
+    assert made["ids"] == list(range(10_005))
+
+
+def test_payloads_keep_nulls(fixes):
+    df = fixes({"record_time": None}).withColumn("dt", F.lit("2025-06-01"))
+    made = json.loads(payloads.row_payload(monitor.latest_status(df)).first().payload)
+    assert "time" in made and made["time"] is None

@@ -64,7 +64,7 @@ def brute_force(made, key):
     return result
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "rows_per_split": 20}])
+@pytest.mark.parametrize("options", [{}, {"rows_per_split": 20}])
 def test_join_paths_agree_with_brute_force(skewed, options):
     df, made = skewed
     per_vessel = {r.vessel_id: r.dist for r in reach.farthest(df, ("vessel_id",), **options).collect()}
@@ -77,7 +77,7 @@ def test_large_groups_are_spread(skewed, spark):
     df, _ = skewed
     points = df.select("vessel_id", "record_time", "point_id", "x", "y")
     firsts = reach.first_fixes(points, ("vessel_id",))
-    joined = reach.split_origins(points, firsts, ("vessel_id",), rows_per_split=20)
+    joined = reach.join_origins(points, firsts, ("vessel_id",), rows_per_split=20)
     assert joined.count() == df.count()
     per_task = joined.groupBy("vessel_id", "split").count()
     assert per_task.where("vessel_id = 'hot'").count() == 15
@@ -86,6 +86,14 @@ def test_large_groups_are_spread(skewed, spark):
 
 def test_no_window_and_no_cross_join(skewed):
     df, _ = skewed
-    for options in ({}, {"broadcast_rows": 0, "rows_per_split": 20}):
+    for options in ({}, {"rows_per_split": 20}):
         plan = plan_of(reach.max_range(df, **options))
         assert "Window" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_first_fixes_aggregate_by_hash(fixes):
+    df = fixes({}, {"record_time": None, "vessel_id": "b"}, {"vessel_id": "b"})
+    firsts = reach.first_fixes(df, ("vessel_id",))
+    plan = plan_of(firsts)
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort (" not in plan
+    assert firsts.where("vessel_id = 'b' AND origin.x = 110").count() == 1
