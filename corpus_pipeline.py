@@ -13,13 +13,16 @@ NEAR = minhash.Rule(words=5, percent=80, bands=68, rows=7)
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_trees.keep_good(docs, quality_trees.fit_quality(docs, table(spark, sf_dir, "labels")))
+    """Documents that the quality rules keep; the trees are fitted on labelled rows of the whole table."""
+    return quality_trees.keep_good(docs, quality_trees.fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on labelled ones among them, predicts to be good."""
-    return nb_svm.keep_good(docs, nb_svm.fit_classifier(docs, table(spark, sf_dir, "labels")))
+    """Documents that the classifier predicts to be good.
+
+    It is fitted on labelled rows of the whole table: few bad ones are left among those that the rules kept.
+    """
+    return nb_svm.keep_good(docs, nb_svm.fit_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
