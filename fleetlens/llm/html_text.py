@@ -16,7 +16,7 @@ row at each side.
 
 Defined cases. NULL or empty html gives an empty text. NULL URLs have an empty host and path and are paired among themselves.
 Equal rows are compared once and get equal results; a page without a neighbour on its host has no shared lines. Broken markup:
-unclosed elements end with the page, a tag cut off at the end is dropped.
+paragraphs and items end with the next one, other unclosed elements with the page; a tag cut off at the end is dropped.
 """
 
 from __future__ import annotations
@@ -53,6 +53,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub "
     "sup time tt u var wbr".split()
 )
+# Elements that the next one of the same line ends, if their own end is missing.
+SIBLINGS = ({"li"}, {"dd", "dt"}, {"td", "th"}, {"tr"}, {"option"})
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OPEN, ARTICLE_ZONE, FRAME_ZONE = 0, 1, 2
 
@@ -102,6 +104,9 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
                     if name == tag:
                         break
             continue
+        # A paragraph is ended by the next block, an item by the next item.
+        if opened and (opened[-1][0] == "p" or any(opened[-1][0] in s and tag in s for s in SIBLINGS)):
+            zone = opened.pop()[1]
         if tag in RAW and not attributes.endswith("/"):
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)

@@ -138,7 +138,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
         base, every, score, starts = [""] * rows, [""] * rows, np.zeros(rows), [[] for _ in range(rows)]
         hit = np.unique(found.doc[marked[found.codes]]) if len(found.codes) else []
         for i in hit:
-            words = plain[int(i)].as_py().split()
+            words = [w for w in plain[int(i)].as_py().split(" ") if w]
             places = base_places(words)
             own = [(k, label) for k, w in enumerate(words) if w in keys for label, a in automata.items() if a.accepts(words, k)]
             if places:

@@ -233,12 +233,14 @@ def test_licenses(spark, awkward, nothing):
     texts = {
         1: "Licensed under the Apache License, Version 2.0. And MIT  licensed; the MIT-License.", 2: "GNU General  Public License", 3: "Copyright (c) 2020 Some One All rights reserved",
         4: "Released under the terms of the MIT License.", 5: "Licensed under CC BY-NC 4.0.", 6: "nothing here", 7: None, 8: "éapache license", 9: "licensed under the apache license version 3",
+        10: "the mit\u00a0license\u3000mit license",
     }
     got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
     picked = {i: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) for i, r in got.items()}
     assert picked == {
         1: (14, 2, 3, 12, "apache,mit", "apache,apache-2.0,mit"), 2: (4, 1, 0, 0, "gpl", "gpl"), 3: (8, 0, None, None, "", "copyright"), 4: (8, 1, 6, 6, "mit", "mit,mit-notice"),
         5: (7, 1, 2, 2, "cc-by", "cc-by,cc-by-nc-4.0"), 6: (2, 0, None, None, "", ""), 7: (0, 0, None, None, "", ""), 8: (2, 0, None, None, "", ""), 9: (7, 1, 3, 3, "apache", "apache"),
+        10: (3, 0, None, None, "", ""),
     }
     assert licenses.scan(awkward).count() == 9 and licenses.scan(nothing).count() == 0
 
@@ -296,6 +298,11 @@ def test_html(spark):
         assert (made[p.page_id].text, made[p.page_id].n_chars) == (text, len(text))
 
 
+def test_html_unclosed_elements():
+    page = "<article><p>one<p class='ad'>buy<p>two<ul><li class=promo>now<li>three</ul><div><p>four</div>five</article>"
+    assert html_text.main_text(page, []) == "one\ntwo\nthree\nfour\nfive"
+
+
 def test_html_differencing(spark):
     def page(k: int) -> str:
         return f"<body><div>Welcome to the site</div><p>Own text {k} &lt;here&gt;</p><div>All rights reserved</div><aside>menu {k}</aside>"
