@@ -263,7 +263,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # Equal sets: every document to the smallest id of its set.
     firsts = known.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("first"))
     same = known.select("doc_id", "set_a", "set_b", "n").join(firsts, ["set_a", "set_b", "n"]).where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    nodes = known.join(firsts, ["set_a", "set_b", "n"], "left_semi").groupBy("set_a", "set_b", "n").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("node"))
+    # Combined in the map tasks, so that a set with a third of all documents sends one row a task.
+    nodes = known.groupBy("set_a", "set_b", "n").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("node"))
     banded = stored(nodes.select("node", "n", F.explode("bands").alias("band")), "bands")
     pivots = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("c")).where("c > 1").select("band", "pivot")
     pairs = stored(banded.join(pivots, "band").where("node != pivot").select("node", "pivot", "n").distinct(), "pairs")
