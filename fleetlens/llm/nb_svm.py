@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,29 +85,31 @@ def margins(doc: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
     return np.bincount(doc, weights=values, minlength=rows) / np.sqrt(np.maximum(size, 1))
 
 
-def ratios(doc: np.ndarray, bucket: np.ndarray, y: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
-    """Log-count ratio of every bucket."""
-    size = 1 << BUCKET_BITS
-    good, bad = (np.bincount(bucket[y[doc] == k], minlength=size) + smoothing for k in (1, 0))
-    return np.log(good / good.sum()) - np.log(bad / bad.sum())
+def ratios(bags: list[np.ndarray], y: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
+    """Log-count ratio of every bucket; a bag holds distinct buckets."""
+    counts = np.full((2, 1 << BUCKET_BITS), smoothing)
+    for bag, label in zip(bags, y, strict=True):
+        counts[label, bag] += 1
+    return np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
 
 
-def descend(starts: np.ndarray, bucket: np.ndarray, values: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 12) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for the hinge loss; row i holds bucket[starts[i]:starts[i + 1]] and a constant 1 for the bias."""
+def descend(bags: list[np.ndarray], r: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 12) -> tuple[np.ndarray, float]:
+    """Dual coordinate descent for the hinge loss; a row's values, its ratios over the root of its size, are made when it is visited."""
     sign = np.where(y == 1, 1.0, -1.0)
+    root = np.sqrt([max(len(bag), 1) for bag in bags])
     alpha = np.zeros(len(y))
     w, bias = np.zeros(1 << BUCKET_BITS), 0.0
-    norm = np.add.reduceat(np.append(values**2, 0), starts[:-1]) * (np.diff(starts) > 0) + 1
+    # A constant 1 stands for the bias.
+    norm = np.array([r[bag] @ r[bag] for bag in bags]) / root**2 + 1
     random = np.random.default_rng(7)
     for _ in range(rounds):
         for i in random.permutation(len(y)):
-            a, b = starts[i], starts[i + 1]
-            at, v = bucket[a:b], values[a:b]
-            slope = sign[i] * (w[at] @ v + bias) - 1
+            v = r[bags[i]] / root[i]
+            slope = sign[i] * (w[bags[i]] @ v + bias) - 1
             new = min(max(alpha[i] - slope / norm[i], 0.0), cost[i])
             if new != alpha[i]:
                 step = (new - alpha[i]) * sign[i]
-                w[at] += step * v
+                w[bags[i]] += step * v
                 bias += step
                 alpha[i] = new
     return w, bias
@@ -131,25 +134,23 @@ def fit(bags: list[np.ndarray], y: np.ndarray) -> NbSvm:
         share = np.clip(y.mean(), 0.01, 0.99) if len(y) else 0.5
         return NbSvm(np.zeros(size), 0.0, 1.0, float(np.log(share / (1 - share))))
     test = np.arange(len(y)) % 5 == 4
-    length = np.array([len(b) for b in bags])
-    bucket = np.concatenate(bags)
-    doc = np.repeat(np.arange(len(y)), length)
-    learn = ~test[doc]
-    r = ratios(doc[learn], bucket[learn], y)
-    values = r[bucket] / np.sqrt(np.maximum(length, 1))[doc]
-    rows = np.flatnonzero(~test)
-    starts = np.concatenate([[0], np.cumsum(length[rows])])
-    share = max(y[rows].mean(), 1e-3)
-    cost = np.where(y[rows] == 1, 0.5 / share, 0.5 / max(1 - share, 1e-3))
-    w, bias = descend(starts, bucket[learn], values[learn], y[rows], cost)
+    learn = [bag for bag, later in zip(bags, test, strict=True) if not later]
+    known = y[~test]
+    r = ratios(learn, known)
+    share = max(known.mean(), 1e-3)
+    cost = np.where(known == 1, 0.5 / share, 0.5 / max(1 - share, 1e-3))
+    w, bias = descend(learn, r, known, cost)
     weights = (r * w).astype(np.float32)
-    margin = margins(doc, weights[bucket], len(y)) + bias
-    slope, offset = curve(margin[test], y[test])
+    margin = np.array([weights[bag].sum(dtype=np.float64) / np.sqrt(max(len(bag), 1)) for bag in bags[4::5]]) + bias
+    slope, offset = curve(margin, y[test])
     return NbSvm(weights, bias, slope, offset)
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> NbSvm:
-    """Fit on a bounded sample of labelled documents outside the held-out fold; tasks make the indicators."""
+    """Fit on a bounded sample of labelled documents outside the held-out fold; tasks make the indicators.
+
+    The driver holds the sample's buckets once, four bytes each.
+    """
     sample = labelled_sample(docs, labels, "quality", HELD_OUT, fit_rows)
 
     def work(texts: pa.Array, others: dict[str, pa.Array]) -> dict[str, object]:
@@ -158,9 +159,11 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
         packed = [bucket[ends[i] : ends[i + 1]].astype("<i4").tobytes() for i in range(len(texts))]
         return {"doc_id": others["doc_id"], "label": others["label"], "bag": packed}
 
-    got = in_slices(sample, ["doc_id", "label", "text"], "doc_id bigint, label int, bag binary", work).toPandas()
-    got = got.sort_values(["doc_id", "bag"]).sample(frac=1, random_state=3)
-    return fit([np.frombuffer(b, "<i4").astype(np.int64) for b in got["bag"]], got["label"].to_numpy(np.int64))
+    got = in_slices(sample, ["doc_id", "label", "text"], "doc_id bigint, label int, bag binary", work).toArrow()
+    order = pc.sort_indices(got, [("doc_id", "ascending"), ("bag", "ascending")]).to_numpy()
+    order = order[np.random.default_rng(3).permutation(len(order))]
+    bags = [np.frombuffer(b.as_buffer(), "<i4") for b in got["bag"]]
+    return fit([bags[i] for i in order], got["label"].to_numpy().astype(np.int64)[order])
 
 
 def classify(docs: DataFrame, model: NbSvm) -> DataFrame:
