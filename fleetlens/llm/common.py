@@ -192,11 +192,14 @@ def bit_table(hashes: DataFrame, words: int) -> DataFrame:
     return stored(every.agg(F.transform(F.array_sort(F.collect_list(filled)), lambda x: x.bits).alias("bits")), "bits")
 
 
-def marked(df: DataFrame, h: str, table: DataFrame, words: int) -> DataFrame:
-    """The rows of `df` whose hash `h` is marked: all that were put in, and some by chance."""
-    word, bit = _place(h, words)
-    cell = df.withColumn("cell", F.element_at(table.scalar(), F.expr(f"{word} + 1")))
-    return cell.where(f"shiftrightunsigned(cell, {bit}) & 1 = 1").drop("cell")
+def marked(df: DataFrame, hashes: str | list[str], table: DataFrame, words: int) -> DataFrame:
+    """The rows of `df` of whose `hashes` one is marked: all that were put in, and some by chance."""
+    cells, tests = {}, []
+    for k, h in enumerate([hashes] if isinstance(hashes, str) else hashes):
+        word, bit = _place(h, words)
+        cells[f"cell{k}"] = F.element_at(table.scalar(), F.expr(f"{word} + 1"))
+        tests.append(f"shiftrightunsigned(cell{k}, {bit}) & 1 = 1")
+    return df.withColumns(cells).where(" OR ".join(tests)).drop(*cells)
 
 
 def per_process(name: str, make: Callable[[], object]) -> object:

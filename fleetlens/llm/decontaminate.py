@@ -4,11 +4,13 @@ Method. Words are the runs of letters and digits. A word becomes a typed placeho
 capital (name) or is a unit of measure; other words stay. Windows of five such words are hashed and joined with those of the
 benchmark, the five words being compared as well. Windows of placeholders alone carry no wording and are left out. A match of a
 document and an item lies on a diagonal (the distance of their positions); on it, every slot value of the item must stand for one
-value of the document, or the diagonal does not count. An item is found in a document if the consistent diagonals cover at least
-0.8 of its windows. So a question with other numbers and names is found as well as a verbatim copy.
+value of the document, or the diagonal does not count. The same windows are also joined by their words with the case folded: such
+a window is verbatim and needs no diagonal. An item is found in a document if the windows of the consistent diagonals and the
+verbatim ones cover at least 0.8 of its windows. So a question with other numbers and names is found as well as a verbatim copy,
+and the latter also if its case was changed.
 
-Before the join, document windows pass a bit table of fixed size that marks the hashes of the benchmark, whatever its size; what
-it lets through by chance ends in the join.
+Before the joins, document windows pass a bit table of fixed size that marks both hashes of the benchmark, whatever its size; what
+it lets through by chance ends in the joins.
 
 Defined cases. NULL ids of documents or items are never reported. NULL and empty texts, and items of fewer than five words or
 without any window with wording, match nothing. Repeated rows of a document give the same pair once. Only ids and texts are read.
@@ -41,18 +43,23 @@ def canonical(word: Column) -> Column:
     )
 
 
+def folded(word: Column) -> Column:
+    """Without case; the sharp s, whose upper case is two letters, folds to these."""
+    return F.replace(F.lower(F.upper(word)), F.lit("ß"), F.lit("ss"))
+
+
 def windows(df: DataFrame, key: str) -> DataFrame:
-    """(key, pos, h, c0..c4, w0..w4): every window as placeholders (c) and as words (w), h the hash of the former."""
+    """(key, pos, h, g, c0..c4, w0..w4): every window as placeholders (c) and as case-folded words (w), and the hashes of both."""
     parts = [f"{kind}{k}" for kind in "cw" for k in range(WINDOW)]
     words = (
         df.where(f"{key} IS NOT NULL AND text IS NOT NULL")
         .select(key, F.array_remove(F.split("text", r"[^\p{L}\p{N}]+"), "").alias("w"))
         .where(F.size("w") >= WINDOW)
-        .select(key, "w", F.transform("w", canonical).alias("c"))
+        .select(key, F.transform("w", folded).alias("w"), F.transform("w", canonical).alias("c"))
     )
     cut = words.select(key, *[F.slice(p[0], int(p[1]) + 1, F.size("w") - (WINDOW - 1)).alias(p) for p in parts])
     rows = cut.select(key, F.posexplode(F.arrays_zip(*parts)).alias("pos", "z")).select(key, "pos", *[f"z.{p}" for p in parts])
-    return rows.select(key, "pos", F.xxhash64(*parts[:WINDOW]).alias("h"), *parts)
+    return rows.select(key, "pos", F.xxhash64(*parts[:WINDOW]).alias("h"), F.xxhash64(*parts[WINDOW:]).alias("g"), *parts)
 
 
 def worded() -> Column:
@@ -64,19 +71,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, share) of the items found in documents."""
     items = stored(windows(benchmark.select("item_id", "text"), "item_id").where(worded()), "items")
     sizes = items.groupBy("item_id").agg(F.countDistinct("pos").alias("n_windows"))
-    found = marked(windows(docs.select("doc_id", "text"), "doc_id"), "h", bit_table(items.select("h"), BIT_WORDS), BIT_WORDS)
-    theirs = items.select("item_id", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"), *[F.col(f"c{k}").alias(f"t{k}") for k in range(WINDOW)], *[F.col(f"w{k}").alias(f"v{k}") for k in range(WINDOW)])
+    table = bit_table(items.select("h").union(items.select("g")), BIT_WORDS)
+    found = stored(marked(windows(docs.select("doc_id", "text"), "doc_id"), ["h", "g"], table, BIT_WORDS), "found")
+    theirs = items.select("item_id", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"), F.col("g").alias("item_g"), *[F.col(f"c{k}").alias(f"t{k}") for k in range(WINDOW)], *[F.col(f"w{k}").alias(f"v{k}") for k in range(WINDOW)])
     same = F.col("h") == F.col("item_h")
+    verbatim = F.col("g") == F.col("item_g")
     for k in range(WINDOW):
         same = same & (F.col(f"c{k}") == F.col(f"t{k}"))
+        verbatim = verbatim & (F.col(f"w{k}") == F.col(f"v{k}"))
     slots = F.filter(
-        F.array(*[F.struct(F.col(f"c{k}").isin(NUMBER, NAME, UNIT).alias("slot"), F.lower(f"v{k}").alias("asked"), F.lower(f"w{k}").alias("told")) for k in range(WINDOW)]), lambda x: x.slot
+        F.array(*[F.struct(F.col(f"c{k}").isin(NUMBER, NAME, UNIT).alias("slot"), F.col(f"v{k}").alias("asked"), F.col(f"w{k}").alias("told")) for k in range(WINDOW)]), lambda x: x.slot
     )
     matched = stored(found.join(theirs, same).select("doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), slots.alias("slots")), "matched")
     place = ["doc_id", "item_id", "diagonal"]
     values = matched.select(*place, F.explode("slots").alias("s")).select(*place, "s.asked", "s.told").distinct()
     torn = values.groupBy(*place, "asked").agg(F.count("*").alias("n")).where("n > 1").select(*place).distinct()
-    covered = matched.join(torn, place, "left_anti").groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("n_matched"))
+    place_of_item = ["doc_id", "item_id", "item_pos"]
+    by_either = matched.join(torn, place, "left_anti").select(*place_of_item).union(found.join(theirs, verbatim).select(*place_of_item))
+    covered = by_either.groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("n_matched"))
     return (
         covered.join(sizes, "item_id")
         .where(F.col("n_matched") >= SHARE * F.col("n_windows"))
