@@ -282,8 +282,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
-    """The rows of `docs` with the smallest id of their group; of several rows with that id, one of each text."""
+    """The rows of `docs` with the smallest id of their group; of several rows with that id, one of each text.
+
+    Rows without an id are all kept. NULL is a text of its own.
+    """
     lost = near_duplicates(docs, rule).where("NOT kept").select("doc_id").distinct()
-    kept = docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").isEmpty()
-    return kept if repeated else kept.dropDuplicates(["doc_id"])
+    named = docs.where("doc_id IS NOT NULL").join(lost, "doc_id", "left_anti").select(*docs.columns)
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))

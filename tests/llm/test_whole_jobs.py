@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetlens.llm import decontaminate
+from fleetlens.llm import decontaminate, minhash
 
 
 def test_decontamination_finds_copies_whose_case_was_changed(spark):
@@ -16,3 +16,11 @@ def test_decontamination_finds_copies_whose_case_was_changed(spark):
     # 4 is no copy, and its words are all names of the item's template.
     assert got == {0: 1.0, 1: 1.0, 2: 1.0, 3: 1.0}
     assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == [4, 5, 6]
+
+
+def test_one_of_each_keeps_rows_without_id_and_other_texts(spark):
+    one, two = "the first text is about a boat", "the second text tells of nets and fish"
+    rows = [(None, one), (None, one), (None, two), (1, one), (1, one), (2, two), (2, "another text that shares the id"), (3, None), (3, None), (4, two)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(((r.doc_id or 0, r.text or "") for r in minhash.one_of_each(docs, minhash.Rule()).collect()))
+    assert kept == sorted([(0, one), (0, one), (0, two), (1, one), (2, two), (2, "another text that shares the id"), (3, "")])
