@@ -1,9 +1,10 @@
 """License scans: licence templates with optional and replaceable regions, compiled into token automata.
 
 Method. A template is text with the marks <<beginOptional>>, <<endOptional>> and <<var;match="...">>. It is compiled into an
-automaton over words: a mandatory word has one edge, an optional region may be passed by, and a replaceable region takes one to
-`most` words that fit its pattern as a whole. The automaton runs at every place where the template's first word stands; it accepts
-if the mandatory wording is there exactly, in order. Beside that, short phrases give base labels.
+automaton over words: a mandatory word has one edge, an optional region may be passed by, and a replaceable region is a state
+that loops on its pattern: it takes one word or more, however many, each of which fits as a whole. The automaton accepts at a place
+if the mandatory wording is there exactly, in order. It runs once from the end of a text to its beginning, over the states from
+which it can accept, so a text costs its length, whatever the number of places. Beside that, short phrases give base labels.
 
 Words are runs of a-z, 0-9 and characters beyond ASCII, after A-Z are lower-cased. The score is 1 with an accepted template, 0.5
 with base labels alone, else 0.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +38,37 @@ TEMPLATES = {
     "mit-notice": "Released under the <<beginOptional>>terms of the <<endOptional>>MIT License",
     "mit-text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and <<beginOptional>>to any "
-        "<<endOptional>>associated documentation files (the <<var;match=\"[a-z]+\">>), to deal in the <<var;match=\"[a-z]+\">> without restriction"
+        "<<endOptional>>associated documentation files (the <<var;match=\"[a-z]+\">>), to deal in the <<var;match=\"[a-z]+\">> without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "<<var;match=\"[a-z]+\">>, and to permit persons to whom the <<var;match=\"[a-z]+\">> is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph) <<endOptional>>shall be "
+        "included in all copies or substantial portions of the <<var;match=\"[a-z]+\">>. THE <<var;match=\"[a-z]+\">> IS PROVIDED \"AS IS\", WITHOUT "
+        "WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+        "AND <<beginOptional>>NON-<<endOptional>><<var;match=\"(non)?infringement\">>. IN NO EVENT SHALL <<var;match=\".+\">> BE LIABLE FOR ANY "
+        "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "<<var;match=\"[a-z]+\">> OR THE USE OR OTHER DEALINGS IN THE <<var;match=\"[a-z]+\">>"
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
-        "conditions are met"
+        "conditions are met: <<beginOptional>><<var;match=\"[0-9a-z]\">> <<endOptional>>Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. <<beginOptional>><<var;match=\"[0-9a-z]\">> <<endOptional>>Redistributions in "
+        "binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution. <<beginOptional>><<beginOptional>><<var;match=\"[0-9a-z]\">> <<endOptional>>All advertising "
+        "materials mentioning features or use of this software must display the following acknowledgement: This product includes software "
+        "developed by <<var;match=\".+\">>. <<endOptional>><<beginOptional>><<beginOptional>><<var;match=\"[0-9a-z]\">> <<endOptional>>Neither the name of "
+        "<<var;match=\".+\">> may be used to endorse or promote products derived from this software without specific prior written permission. "
+        "<<endOptional>>THIS SOFTWARE IS PROVIDED BY <<var;match=\".+\">> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED "
+        "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;match=\".+\">> BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+        "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, "
+        "EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"
     ),
     "copyright": "Copyright <<beginOptional>>(c) <<endOptional>><<var;match=\"[0-9]{4}\">> <<var;match=\".+\">> All rights reserved",
 }
 
 TABLE = bytes(b + 32 if 65 <= b < 91 else b if 48 <= b < 58 or 97 <= b < 123 or b > 127 else 32 for b in range(256))
 MARK = re.compile(r"<<(beginOptional|endOptional|var;match=\"[^\"]*\")>>")
-MOST = 8
 
 
 def words_of(text: str) -> list[str]:
@@ -63,33 +84,51 @@ class Automaton:
     free: list[tuple[int, int]] = field(default_factory=list)
     final: int = 0
 
+    @cached_property
+    def before(self) -> dict[int, set[int]]:
+        """For a state, itself and the states from which free edges lead to it."""
+        out = {s: {s} for s in range(self.final + 1)}
+        for s, found in out.items():
+            todo = [s]
+            while todo:
+                b = todo.pop()
+                for a in {a for a, x in self.free if x == b} - found:
+                    found.add(a)
+                    todo.append(a)
+        return out
+
+    @cached_property
+    def by_word(self) -> dict[str, list[tuple[int, int]]]:
+        out: dict[str, list[tuple[int, int]]] = {}
+        for a, x, b in self.word:
+            out.setdefault(x, []).append((a, b))
+        return out
 
-    def closed(self, states: set[int]) -> set[int]:
-        todo, out = list(states), set(states)
-        while todo:
-            s = todo.pop()
-            for a, b in self.free:
-                if a == s and b not in out:
-                    out.add(b)
-                    todo.append(b)
+    @cached_property
+    def by_target(self) -> dict[int, list[tuple[int, re.Pattern[str]]]]:
+        out: dict[int, list[tuple[int, re.Pattern[str]]]] = {}
+        for a, p, b in self.pattern:
+            out.setdefault(b, []).append((a, p))
         return out
 
-    def accepts(self, words: list[str], start: int) -> bool:
-        """Whether a run from `start` reaches the final state."""
-        states = self.closed({0})
-        for w in words[start:]:
-            if self.final in states:
-                return True
-            step = {b for a, x, b in self.word if a in states and x == w} | {b for a, p, b in self.pattern if a in states and p.fullmatch(w)}
-            if not step:
-                return False
-            states = self.closed(step)
-        return self.final in states
+    def accepted(self, words: list[str]) -> list[int]:
+        """The places from which a run reaches the final state, in order."""
+        out: list[int] = []
+        done = self.before[self.final]
+        live = set(done)
+        for k in range(len(words) - 1, -1, -1):
+            w = words[k]
+            step = {a for a, b in self.by_word.get(w, ()) if b in live}
+            for b in live & self.by_target.keys():
+                step.update(a for a, p in self.by_target[b] if p.fullmatch(w))
+            live = set(done).union(*(self.before[a] for a in step))
+            if 0 in live:
+                out.append(k)
+        return out[::-1]
 
     def firsts(self) -> set[str]:
         """Words that a run can begin with."""
-        begin = self.closed({0})
-        return {x for a, x, _ in self.word if a in begin}
+        return {x for a, x, _ in self.word if 0 in self.before[a]}
 
 
 def compile_template(template: str) -> Automaton:
@@ -107,11 +146,9 @@ def compile_template(template: str) -> Automaton:
             made.free += [(state, state + 1), (opened.pop(), state + 1)]
             state += 1
         else:
-            pattern, begin = re.compile(part[len('var;match="') : -1]), state
-            for _ in range(MOST):
-                made.pattern.append((state, pattern, state + 1))
-                state += 1
-            made.free += [(s, state) for s in range(begin + 1, state)]
+            pattern = re.compile(part[len('var;match="') : -1])
+            made.pattern += [(state, pattern, state + 1), (state + 1, pattern, state + 1)]
+            state += 1
     if opened:
         raise ValueError("an optional region is not closed")
     made.final = state
@@ -121,9 +158,10 @@ def compile_template(template: str) -> Automaton:
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, and where templates begin."""
     automata = {label: compile_template(t) for label, t in templates.items()}
+    begins = {label: a.firsts() for label, a in automata.items()}
     sought = [(p.split(" "), label) for p, label in phrases.items()]
     # A text can only match if it holds one of these words.
-    keys = {p[0] for p, _ in sought} | {w for a in automata.values() for w in a.firsts()}
+    keys = {p[0] for p, _ in sought} | {w for first in begins.values() for w in first}
     key_bytes = {k.encode() for k in keys}
 
     def base_places(words: list[str]) -> list[tuple[int, str]]:
@@ -140,14 +178,15 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
         for i in hit:
             words = [w for w in plain[int(i)].as_py().split(" ") if w]
             places = base_places(words)
-            own = [(k, label) for k, w in enumerate(words) if w in keys for label, a in automata.items() if a.accepts(words, k)]
+            held = keys.intersection(words)
+            own = sorted((k, n, label) for n, (label, a) in enumerate(automata.items()) if held & begins[label] for k in a.accepted(words))
             if places:
                 out["n_base"][i] = len(places)
                 out["first_word"][i], out["last_word"][i] = places[0][0], places[-1][0]
             base[i] = ",".join(sorted({label for _, label in places}))
-            every[i] = ",".join(sorted({label for _, label in places + own}))
+            every[i] = ",".join(sorted({label for *_, label in [*places, *own]}))
             score[i] = 1.0 if own else 0.5 if places else 0.0
-            starts[i] = [k for k, _ in own]
+            starts[i] = [k for k, *_ in own]
         return {**out, "base_labels": base, "labels": every, "score": score, "template_words": starts}
 
     schema = (

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from fleetlens.llm import decontaminate, minhash
+import re
+
+from fleetlens.llm import decontaminate, licenses, minhash
 
 
 def test_decontamination_finds_copies_whose_case_was_changed(spark):
@@ -24,3 +26,19 @@ def test_one_of_each_keeps_rows_without_id_and_other_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = sorted(((r.doc_id or 0, r.text or "") for r in minhash.one_of_each(docs, minhash.Rule()).collect()))
     assert kept == sorted([(0, one), (0, one), (0, two), (1, one), (2, two), (2, "another text that shares the id"), (3, "")])
+
+
+def test_licenses_without_word_limits(spark):
+    long = " ".join(f"holder{k}" for k in range(30))
+    fill = dict(zip(("[a-z]+", ".+", "[0-9a-z]", "(non)?infringement", "[0-9]{4}"), ("Software", long, "1", "noninfringement", "2010"), strict=True))
+
+    def filled(label: str) -> str:
+        text = re.sub(r'<<var;match="(.*?)">>', lambda m: fill[m[1]], licenses.TEMPLATES[label])
+        return re.sub("<<(begin|end)Optional>>", "", text)
+
+    nine = "Copyright 2010 The Regents of the University of California and others. All rights reserved"
+    texts = [nine, f"Copyright (c) 2010 2011 {long} All rights reserved.", f"Copyright 2010 {long}", filled("mit-text"), filled("bsd")]
+    texts += [t.replace("WARRANT", "PROMISE") for t in texts[3:]] + [t[:300] for t in texts[3:5]] + ["copyright 2010 " * 20_000 + "all rights reserved"]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert [r.labels for r in got] == ["copyright", "copyright", "", "mit-text", "bsd", "", "", "", "", "copyright"]
+    assert len(got[-1].template_words) == 20_000 - 1
