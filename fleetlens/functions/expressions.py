@@ -84,6 +84,15 @@ def hour_of_text(text: str) -> str:
     return f"coalesce(hour({parse_time(text)}), try_cast(substring({text}, 12, 2) AS INT))"
 
 
+# Hour of a fix. Frames read from text also carry `text_hour`, the hour that the digits of the time name.
+HOUR = "hour(record_time)"
+
+
+def hour_or_digits(columns: list[str]) -> str:
+    """Hour of a fix of a frame with these columns, by its digits if its time did not parse."""
+    return f"coalesce({HOUR}, text_hour)" if "text_hour" in columns else HOUR
+
+
 def finite(number: str) -> str:
     """NULL for NaN and infinities, which no comparison of the published rules accepts."""
     return f"CASE WHEN abs({number}) < 1.7976931348623157E308D THEN {number} END"

@@ -22,9 +22,9 @@ def hour_hist_peak(df: DataFrame) -> DataFrame:
 
 
 def hour_hist_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Hours as text, in numeric order."""
-    timed = current_day(df, as_of).where("record_time IS NOT NULL")
-    return hour_hist(timed).selectExpr("CAST(hour_val AS STRING) AS hour", "cnt AS value")
+    """Hours as text, in numeric order. A fix whose time did not parse counts by the digits of its hour, if they are there."""
+    hours = current_day(df, as_of).groupBy(F.expr(f"{X.hour_or_digits(df.columns)} AS hour_val")).agg(F.expr("count(*) AS value"))
+    return hours.where("hour_val IS NOT NULL").orderBy("hour_val").selectExpr("CAST(hour_val AS STRING) AS hour", "value")
 
 
 def daily_points(df: DataFrame) -> DataFrame:

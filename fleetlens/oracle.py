@@ -39,6 +39,10 @@ _T = f"WITH f AS ({_FIXES}), t AS (SELECT * FROM f WHERE speed > 0 AND speed < 2
 # The same over the first fixes in time order.
 _PREFIX = _T.replace(", t AS (", ", every AS (") + ", t AS (SELECT * FROM every ORDER BY record_time, point_id LIMIT 2500)"
 
+# Where the time holds no minutes, its hour is left.
+_DIRTY_HOURS = f"""{_T}, d AS (SELECT * FROM t WHERE point_id % 40 <> 8)
+  SELECT CAST(hour(record_time) AS VARCHAR) AS hour, count(*) AS value FROM d WHERE dt = (SELECT max(dt) FROM d) GROUP BY 1"""
+
 _DIRTY_DAYS = f"""{_T} SELECT vessel_id, count(DISTINCT CASE WHEN point_id % 40 <> 8 THEN dt END) AS days_at_sea
   FROM t GROUP BY 1"""
 
@@ -290,6 +294,8 @@ ORACLES: dict[str, str] = {
       FROM t WHERE {_VALID} AND point_id % 40 NOT IN (5, 6, 7) GROUP BY 1, 2, 3""",
     "dirty_days_at_sea": _DIRTY_DAYS,
     "dirty_days_at_sea_rollup": _DIRTY_DAYS,
+    "dirty_hour_hist_today": _DIRTY_HOURS,
+    "dirty_hour_hist_today_rollup": _DIRTY_HOURS,
     "dirty_current_day": f"""{_T}, d AS (SELECT dt FROM t WHERE point_id % 40 <> 8)
       SELECT dt, count(*) AS count FROM d WHERE dt = (SELECT max(dt) FROM d) GROUP BY 1""",
     "work_hours_buckets": f"{_T}{_BUCKETS} SELECT * FROM buckets",

@@ -25,10 +25,10 @@ DATE = "CAST(try_cast(dt AS DATE) AS STRING)"
 
 
 def activity_rollup(df: DataFrame) -> DataFrame:
-    """Fixes per day, hour, vessel, gear and area."""
+    """Fixes per day, hour, vessel, gear and area; and per hour by the time's text if the frame carries it."""
     stopped = f"{X.IS_SLOW} AND {X.HAS_POINT}"
-    hour = F.expr("hour(record_time) AS hour")
-    return df.groupBy("dt", hour, "vessel_id", "operation_type", "sea_area").agg(
+    hours = [F.expr(f"{X.HOUR} AS hour"), *[c for c in ("text_hour",) if c in df.columns]]
+    return df.groupBy("dt", *hours, "vessel_id", "operation_type", "sea_area").agg(
         *X.exprs(
             "count(*) AS fixes",
             "count(speed) AS speeds",
@@ -142,7 +142,8 @@ def speed_by_gear_today(rollup: DataFrame) -> DataFrame:
 
 
 def hour_hist_today(rollup: DataFrame) -> DataFrame:
-    hours = hour_hist(current_day(rollup).where("hour IS NOT NULL"))
+    hour = "coalesce(hour, text_hour)" if "text_hour" in rollup.columns else "hour"
+    hours = hour_hist(current_day(rollup).withColumn("hour", F.expr(hour)).where("hour IS NOT NULL"))
     return hours.selectExpr("CAST(hour_val AS STRING) AS hour", "cnt AS value")
 
 

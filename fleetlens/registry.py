@@ -67,7 +67,7 @@ def etl_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaned.read_cleaned(spark, _written_cleaned(spark, sf_dir))
-    return _as_text(rows).withColumn("speed", F.round("speed", 4))
+    return _as_text(rows).drop("text_hour").withColumn("speed", F.round("speed", 4))
 
 
 def clean_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +150,7 @@ def dirty_fixes(df: DataFrame) -> DataFrame:
         "CAST(y AS STRING) AS y",
         "CAST(speed AS STRING) AS speed",
         "CAST(direction AS STRING) AS direction",
-        f"IF(point_id % 40 = 8, 'garbage', {X.time_text('record_time')}) AS record_time",
+        f"CASE WHEN point_id % 40 = 8 THEN 'garbage' ELSE substring({X.time_text('record_time')}, 1, IF(point_id % 10 = 9, 13, 19)) END AS record_time",
         "operation_type",
         "sea_area",
         "point_id",
@@ -302,6 +302,8 @@ QUERIES: dict[str, Query] = {
     "dirty_grid_density": over_dirty(density.grid_density),
     "dirty_days_at_sea": over_dirty(activity.days_at_sea),
     "dirty_days_at_sea_rollup": over_dirty(lambda df: R.days_at_sea(R.vessel_day_rollup(df))),
+    "dirty_hour_hist_today": over_dirty(activity.hour_hist_today),
+    "dirty_hour_hist_today_rollup": over_dirty(lambda df: R.hour_hist_today(R.activity_rollup(df))),
     "dirty_current_day": over_dirty(lambda df: filters.current_day(df).groupBy("dt").count()),
     "work_hours_buckets": _over_trajectories(duration.work_hours_buckets),
     # range

@@ -10,9 +10,10 @@ from fleetlens.functions import expressions as X
 
 
 def as_trajectory(cleaned: DataFrame) -> DataFrame:
-    """Cleaned rows as the frame the operators take: double speed, parsed time."""
+    """Cleaned rows as the frame the operators take: double speed, parsed time; `text_hour` is the hour by the time's text."""
     computed = {"speed": "CAST(speed AS DOUBLE) AS speed", "record_time": "event_time AS record_time"}
-    return cleaned.selectExpr(*[computed.get(name, name) for name in S.TRAJECTORY_COLUMNS])
+    columns = [computed.get(name, name) for name in S.TRAJECTORY_COLUMNS]
+    return cleaned.selectExpr(*columns, f"{X.hour_of_text('record_time')} AS text_hour")
 
 
 def read_cleaned(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:

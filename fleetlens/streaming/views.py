@@ -32,7 +32,7 @@ NEWEST = (
 # Stored columns of each part, beside the folder column `batch_id`.
 SCHEMAS = {
     "activity": (
-        "hour int, vessel_id string, operation_type string, sea_area string, fixes bigint, speeds bigint, "
+        "hour int, text_hour int, vessel_id string, operation_type string, sea_area string, fixes bigint, speeds bigint, "
         "speed_sum double, speed_min double, speed_max double, first_time timestamp, last_time timestamp, "
         "slow_fixes bigint, slow_points bigint, slow_x_sum double, slow_y_sum double, dt string"
     ),
