@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from fleetlens.llm import decontaminate, licenses, minhash
+from fleetlens.llm import decontaminate, html_text, licenses, minhash
 
 
 def test_decontamination_finds_copies_whose_case_was_changed(spark):
@@ -42,3 +42,13 @@ def test_licenses_without_word_limits(spark):
     got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).orderBy("doc_id").collect()
     assert [r.labels for r in got] == ["copyright", "copyright", "", "mit-text", "bsd", "", "", "", "", "copyright"]
     assert len(got[-1].template_words) == 20_000 - 1
+
+
+def test_html_differencing_decides_without_articles(spark):
+    lines = "<div>Welcome to the site</div><p>Own text {}</p><div>All rights reserved</div>"
+    rows = [(k, f"http://h.net/a/{k}", lines.format(k)) for k in range(4)]
+    rows += [(k, f"http://m.net/a/{k}", f"<article>{lines.format(k)}</article>") for k in range(10, 14)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got if r.page_id < 10} == {k: f"Own text {k}" for k in range(4)}
+    assert all("Welcome to the site" in r.text for r in got if r.page_id >= 10)
+    assert all(r.n_shared == 2 for r in got)
