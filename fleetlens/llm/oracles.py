@@ -158,10 +158,30 @@ SELECT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS share
 FROM covered JOIN sizes USING (item_id) WHERE n_matched >= CAST(0.8 AS DOUBLE) * n_windows
 """
 
+# Every anchor against every row: the windows without blocks, strips and thresholds.
+OP13 = """
+WITH rows_in AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.vec, r.vec) AS BIGINT) AS score
+  FROM rows_in a JOIN rows_in r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op1_near_duplicates": OP1,
     "op3_url_filters": OP3,
     "op5_license_scans": OP5,
     "op6_chat_formatting": OP6,
     "op7_decontamination": OP7,
+    "op13_hard_negatives": OP13,
 }

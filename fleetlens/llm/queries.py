@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, decontaminate, html_text, language_model, licenses, minhash, nb_svm, packing, quality_trees, url_trie
+from fleetlens.llm import (
+    alignment, byte_gru, chat, decontaminate, hard_negatives, html_text, language_model, licenses, minhash, nb_svm, packing, quality_trees, url_trie,
+)
 from fleetlens.llm.common import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +63,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), ids=False)
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_gru.identify(docs, byte_gru.fit_languages(docs))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row has the next label; every hundredth is an anchor."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), F.col("embedding").alias("vec"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality_classifier": op2_quality_classifier,
@@ -71,4 +90,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_language_id": op12_language_id,
+    "op13_hard_negatives": op13_hard_negatives,
 }
