@@ -14,6 +14,7 @@ columns are read.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,10 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from fleetlens.llm.common import Words, per_process, slices, texts_of
+from fleetlens.llm.word_memory import WordMemory, gathered
 
 END_ID = 1
-# The most words whose ids a Python worker remembers, from task to task, to tokenise each of them once.
-REMEMBERED = 200_000
+# Below this, letters are those of the Latin blocks, whose small ones no normalisation changes.
+LATIN = "\u0250"
 # Marks that may end a word. The apostrophe is left out, as tokenizers treat what follows it apart.
 TAIL = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
@@ -46,47 +48,39 @@ class WordTokenizer:
 
     A word is looked up by its lower-cased (A-Z) head and its tail of ASCII marks, since the tokenizer lower-cases and separates
     letters from marks; so each distinct head is tokenised once. Words in which that might not hold stay whole.
+
+    Words of small letters of the Latin blocks need neither the normaliser nor the splitting pattern: many at once go through the
+    merges alone, as one text. Where a word ends is known from the ids, whose entries end with the mark of word ends.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.between = min(special, default=None)
-        self.mark = special[self.between].content if special else ""
-        self.opening = [t.content[:1] for t in special.values()]
-        self._forget()
-
-    def _forget(self) -> None:
-        """`known` numbers the remembered words; word k has `size[k]` ids from `begin[k]` of `flat`."""
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(0, np.int32)
-        self.begin = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-
-    def _remember(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, ids])
-
-    def _learn(self, words: list[str]) -> None:
-        """Tokenise new words; a special token after each tells where it ends."""
-        plain, rest = [], []
-        for w in words:
-            (plain if self.mark and w and not any(o in w for o in self.opening) else rest).append(w)
-        made = []
-        for i in range(0, len(plain), 5000):
-            text = "".join(f"{w} {self.mark} " for w in plain[i : i + 5000])
-            made.append(np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32))
-        if made:
-            ids = np.concatenate(made)
-            ends = ids == self.between
-            self._remember(plain, ids[~ends], np.diff(np.flatnonzero(ends), prepend=-1) - 1)
-        if rest:
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-            self._remember(rest, np.array([i for x in lists for i in x], np.int32), np.array([len(x) for x in lists], np.int64))
+        described = json.loads(self.tokenizer.to_str())
+        described |= {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
+        self.merges = Tokenizer.from_str(json.dumps(described))
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        suffix = described["model"]["end_of_word_suffix"]
+        self.ends[[k for entry, k in self.tokenizer.get_vocab().items() if suffix and entry.endswith(suffix)]] = True
+        self.memory = WordMemory(self._encode)
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter((w.isalpha() and max(w) < LATIN and w == w.lower() for w in words), bool, len(words))
+        sizes, parts = np.zeros(len(words), np.int64), []
+        if plain.any():
+            text = " ".join([w for w, p in zip(words, plain, strict=True) if p])
+            ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            sizes[plain] = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            parts.append(ids)
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False)]
+        sizes[~plain] = [len(ids) for ids in rest]
+        parts.append(np.array([k for ids in rest for k in ids], np.int32))
+        order = np.argsort(~plain, kind="stable")
+        begin = np.zeros(len(words), np.int64)
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        return gathered(np.concatenate(parts), begin, sizes), sizes
 
     def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
         words = Words(texts)
@@ -96,19 +90,12 @@ class WordTokenizer:
         tail = pc.replace_substring_regex(low, r"^.*[\p{L}\p{N}]", "")
         whole = pc.or_(pc.not_equal(pc.add(pc.binary_length(head), pc.binary_length(tail)), pc.binary_length(low)), pc.match_substring(low, "<"))
         coded = pa.concat_arrays([pc.if_else(whole, low, head), pc.if_else(whole, "", tail)]).dictionary_encode()
-        seen = coded.dictionary.to_pylist()
-        new = [w for w in seen if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self._forget()
-            new = seen
-        self._learn(new)
-        at = np.fromiter((self.known[w] for w in seen), np.int64, len(seen))
-        code = at[coded.indices.to_numpy()]
+        flat, size = self.memory.lists(coded.dictionary.to_pylist())
+        code = coded.indices.to_numpy()
         parts = np.column_stack([code[: len(head)], code[len(head) :]])[words.codes].ravel()
-        per_part = self.size[parts]
-        ends = np.cumsum(per_part)
-        every = self.flat[np.repeat(self.begin[parts] - (ends - per_part), per_part) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[2 * np.concatenate([words.starts, [len(words.codes)]])]
+        per_part = size[parts]
+        every = gathered(flat, (np.cumsum(size) - size)[parts], per_part)
+        bounds = np.concatenate([[0], np.cumsum(per_part)])[2 * np.concatenate([words.starts, [len(words.codes)]])]
         for i in range(len(texts)):
             yield np.append(every[bounds[i] : bounds[i + 1]], np.int32(END_ID))
 
@@ -128,7 +115,8 @@ class Item:
 
     def most(self, tokens: int, loss: int) -> int:
         """Length of the longest next piece within `tokens` and `loss`."""
-        return min(len(self.ids) - self.start, tokens, max(0, self.silent - self.start) + loss)
+        left, bearing = self.rest()
+        return min(left, tokens, left - bearing + loss)
 
 
 class Packer:
@@ -179,7 +167,8 @@ class Packer:
                 k = int(np.where(fits, worth, -1).argmax())
                 self._take(k, int(sizes[k, 0]))
                 continue
-            lengths = np.array([i.most(int(self.room[0]), int(self.room[2])) for i in self.items])
+            # The longest next piece of each, as in Item.most.
+            lengths = np.minimum(np.minimum(sizes[:, 0], self.room[0]), sizes[:, 0] - sizes[:, 1] + self.room[2])
             k = int(np.lexsort((sizes[:, 0], lengths))[-1])
             if lengths[k] == 0:
                 break

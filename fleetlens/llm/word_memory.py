@@ -28,16 +28,18 @@ class Generation:
         self.known: dict[object, int] = {}
         self.flat, self.begin, self.size = Column(np.int32), Column(np.int64), Column(np.int64)
 
-    def add(self, words: list, flat: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, words: list, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Add distinct new words; their numbers."""
+        numbers = np.arange(len(self.known), len(self.known) + len(words))
         self.begin.add(self.flat.size + np.cumsum(sizes) - sizes)
         self.size.add(sizes)
         self.flat.add(flat)
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.known.update(zip(words, numbers.tolist(), strict=True))
+        return numbers
 
     def find(self, words: list) -> np.ndarray:
         """The number of each word, -1 if it is unknown."""
-        known = self.known
-        return np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        return np.array([self.known.get(w, -1) for w in words], np.int64)
 
     def lists(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return gathered(self.flat.buffer, self.begin.buffer[at], self.size.buffer[at]), self.size.buffer[at]
@@ -67,13 +69,11 @@ class WordMemory:
         at = self.young.find(words)
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            asked = [words[k] for k in missing]
+            asked = [words[k] for k in missing.tolist()]
             older = self.old.find(asked)
             kept = older >= 0
-            if kept.any():
-                self.young.add([w for w, k in zip(asked, kept, strict=True) if k], *self.old.lists(older[kept]))
-            fresh = [w for w, k in zip(asked, kept, strict=True) if not k]
+            at[missing[kept]] = self.young.add([w for w, k in zip(asked, kept.tolist(), strict=True) if k], *self.old.lists(older[kept]))
+            fresh = [w for w, k in zip(asked, kept.tolist(), strict=True) if not k]
             if fresh:
-                self.young.add(fresh, *self.make(fresh))
-            at[missing] = self.young.find(asked)
+                at[missing[~kept]] = self.young.add(fresh, *self.make(fresh))
         return self.young.lists(at)
