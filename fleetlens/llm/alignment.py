@@ -35,9 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import byte_texts, per_process, slices, stored, texts_of
-from fleetlens.llm.word_memory import WordMemory, gathered
+from fleetlens.llm.word_memory import gathered
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 2 << 20
+# Words that are encoded at once, as one text.
+TEXT_BYTES = 1 << 10
 # Parts that the documents of a text above a ten-thousandth of all are dealt over.
 SALTS = 64
 KEYS = ("key_a", "key_b")
@@ -58,14 +60,9 @@ class ByteTokens:
         entries = sorted(self.tokenizer.get_vocab().items(), key=lambda e: e[1])
         self.token_bytes = [bytes(byte_of.get(c, 0) for c in entry) for entry, _ in entries]
 
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        flat, sizes = [], np.zeros(len(words), np.int64)
-        for i in range(0, len(words), 4096):
-            for k, made in enumerate(self.tokenizer.encode_batch_fast([w.decode() for w in words[i : i + 4096]], add_special_tokens=False), i):
-                ids = made.ids
-                sizes[k] = len(ids)
-                flat += ids
-        return np.array(flat, np.int32), sizes
+    def encode(self, texts: list[str]) -> np.ndarray:
+        """The ids of all texts, one after the other."""
+        return np.concatenate([np.zeros(0, np.int32), *[np.array(made.ids, np.int32) for made in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]])
 
 
 class PieceTokens:
@@ -83,11 +80,21 @@ class PieceTokens:
         self.token_bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(k) else p.replace(self.SPACE, " ").encode() for k, p in enumerate(pieces)]
         self.space = self.model.piece_to_id(self.SPACE)
 
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """`words` begin with a space, which the model adds by itself, but not to an empty text."""
-        lists = self.model.encode([w[1:].decode() for w in words], num_threads=1)
-        lists = [made if len(w) > 1 else [self.space] for made, w in zip(lists, words, strict=True)]
-        return np.array([k for made in lists for k in made], np.int32), np.array([len(made) for made in lists], np.int64)
+    def encode(self, texts: list[str]) -> np.ndarray:
+        """`texts` begin with a space, which the model adds by itself, but not to an empty text."""
+        lists = self.model.encode([t[1:] for t in texts], num_threads=1)
+        return np.concatenate([np.zeros(0, np.int32), *[np.array(made if len(t) > 1 else [self.space], np.int32) for made, t in zip(lists, texts, strict=True)]])
+
+
+class Bytes:
+    """Byte strings as one array; `of` gives those of some numbers, one after the other."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array([len(x) for x in strings], np.int64)
+        self.begin, self.flat = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(strings), np.uint8)
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        return gathered(self.flat, self.begin[numbers], self.size[numbers])
 
 
 @dataclass
@@ -99,70 +106,110 @@ class Aligned:
     n_b: np.ndarray
     n_groups: np.ndarray
     n_links: np.ndarray
-    groups: list[str]
+    groups: list[bytes]
     links: np.ndarray
 
 
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = ByteTokens(path_a), PieceTokens(path_b)
-        self.memory = [WordMemory(t.encode) for t in (self.a, self.b)]
-        self.lengths = [np.array([len(x) for x in t.token_bytes], np.int64) for t in (self.a, self.b)]
-        self.names = [[str(k) for k in range(len(t.token_bytes))] for t in (self.a, self.b)]
-
-    def align(self, words: list[bytes]) -> Aligned:
+        self.tokens = ByteTokens(path_a), PieceTokens(path_b)
+        self.bytes = [Bytes(t.token_bytes) for t in self.tokens]
+        # Ids as they are written: inside a group, and at the end of the group's part.
+        a, b = (range(len(t.token_bytes)) for t in self.tokens)
+        self.written = Bytes([b"%d%c" % (k, c) for k in a for c in b",|"] + [b"%d%c" % (k, c) for k in b for c in b",;"])
+        self.first_b = 2 * len(a)
+
+    def encode(self, words: pa.Array, closed: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """(ids of A and of B, the end of every word, whether it is sound), of the sound words one after the other.
+
+        Words that end in an ASCII character that is not white space (`closed`) are encoded many at once, as one text: neither
+        tokenizer goes over the space that follows. Should the bytes differ after all, every word is encoded alone and tested.
+        """
+        sound = ~pc.match_substring(words, PieceTokens.SPACE).to_numpy(zero_copy_only=False)
+        for alone in (False, True):
+            data, ends = joined(words.filter(pa.array(sound)))
+            together = closed[sound] & (not alone)
+            # A word starts a text if it or the one before stands alone, or if a text has become long enough.
+            part = ends // TEXT_BYTES
+            last = np.ones(len(ends), bool)
+            last[:-1] = ~together[1:] | ~together[:-1] | (part[1:] != part[:-1])
+            at = [0, *ends[last].tolist()]
+            texts = [data[i:j].decode() for i, j in zip(at, at[1:], strict=False)]
+            ids = [t.encode(texts) for t in self.tokens]
+            if alone or all(self._is(k, ids[k], data, ends) for k in (0, 1)):
+                return ids, ends, sound
+            fine = [all(self.bytes[k].of(t.encode([w.decode()])).tobytes() == w for k, t in enumerate(self.tokens)) for w in byte_texts(words.filter(pa.array(sound)))]
+            sound[np.flatnonzero(sound)[~np.array(fine, bool)]] = False
+        raise AssertionError
+
+    def _is(self, k: int, ids: np.ndarray, asked: bytes, ends: np.ndarray) -> bool:
+        """Whether the ids are the bytes asked for, with a token's end at every word's end."""
+        told = np.cumsum(self.bytes[k].size[ids])
+        return self.bytes[k].of(ids).tobytes() == asked and bool(np.isin(ends, told).all())
+
+    def align(self, words: pa.Array, closed: np.ndarray) -> Aligned:
         """`words` begin with a space and end where both tokenizers end a token."""
-        ids, sizes = zip(*(m.lists(words) for m in self.memory), strict=True)
-        sound = np.ones(len(words), bool)
-        for t, flat, size in zip((self.a, self.b), ids, sizes, strict=True):
-            ends = np.cumsum(size)
-            known = flat.tolist()
-            sound &= np.fromiter(
-                (b"".join(map(t.token_bytes.__getitem__, known[e - n : e])) == w for w, e, n in zip(words, ends.tolist(), size.tolist(), strict=True)),
-                bool, len(words),
-            )
-        kept = [np.repeat(sound, size) for size in sizes]
-        a, b = (flat[k] for flat, k in zip(ids, kept, strict=True))
-        n_a, n_b = (np.where(sound, size, 0) for size in sizes)
-        end_a, end_b = (np.cumsum(length[flat]) for length, flat in zip(self.lengths, (a, b), strict=True))
-        start_a, start_b = end_a - self.lengths[0][a], end_b - self.lengths[1][b]
-        # The sound words lie one after the other; each ends a group.
+        (a, b), ends, sound = self.encode(words, closed)
+        size_a, size_b = (x.size[ids] for x, ids in zip(self.bytes, (a, b), strict=True))
+        end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+        start_a, start_b = end_a - size_a, end_b - size_b
         common = end_a[np.isin(end_a, end_b, assume_unique=True)]
+        # Tokens of the groups up to each, and of the words up to each.
         last_a, last_b = np.searchsorted(end_a, common, "right"), np.searchsorted(end_b, common, "right")
-        tokens = np.cumsum(n_a)
-        group_end = np.searchsorted(last_a, tokens, "right")
+        upto_a, upto_b, upto_groups = (np.searchsorted(e, ends, "right") for e in (end_a, end_b, common))
         low, high = np.searchsorted(end_b, start_a, "right"), np.searchsorted(start_b, end_a, "left")
-        partners = high - low
-        links = (np.repeat(a.astype(np.int64), partners) << 32) | gathered(b, low, partners)
-        link_end = np.concatenate([[0], np.cumsum(partners)])[tokens]
-        names_a, names_b = ([n[k] for k in flat.tolist()] for n, flat in zip(self.names, (a, b), strict=True))
-        texts, from_a, from_b = [], 0, 0
-        for to_a, to_b in zip(last_a.tolist(), last_b.tolist(), strict=True):
-            texts.append(",".join(names_a[from_a:to_a]) + "|" + ",".join(names_b[from_b:to_b]))
-            from_a, from_b = to_a, to_b
-        bounds = [0, *group_end.tolist()]
-        groups = [";".join(texts[i:j]) for i, j in zip(bounds, bounds[1:], strict=False)]
-        return Aligned(sound, n_a, n_b, np.diff(group_end, prepend=0), np.diff(link_end, prepend=0), groups, links)
-
-
-def cut(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """The words of a space and each text: their numbers, the distinct words, and the first word of each text (one more at the end).
-
-    Texts are cut where a space follows an ASCII character that is not white space.
+        links = (np.repeat(a.astype(np.int64), high - low) << 32) | gathered(b, low, high - low)
+        upto_links = np.concatenate([[0], np.cumsum(high - low)])[upto_a]
+        # Tokens as they are written, group by group: those of A, then those of B.
+        group_a, group_b = np.searchsorted(common, end_a, "left"), np.searchsorted(common, end_b, "left")
+        final_a, final_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        final_a[last_a - 1], final_b[last_b - 1] = True, True
+        written = np.zeros(len(a) + len(b), np.int64)
+        written[np.arange(len(a)) + np.concatenate([[0], last_b])[group_a]] = 2 * a.astype(np.int64) + final_a
+        written[np.arange(len(b)) + last_a[group_b]] = self.first_b + 2 * b.astype(np.int64) + final_b
+        text = self.written.of(written).tobytes()
+        bounds = [0, *np.cumsum(self.written.size[written])[upto_a + upto_b - 1].tolist()]
+        groups, k = [b""] * len(sound), np.flatnonzero(sound).tolist()
+        for at, i, j in zip(k, bounds, bounds[1:], strict=False):
+            groups[at] = text[i:j]
+
+        def per_word(upto: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(sound), np.int64)
+            out[sound] = np.diff(upto, prepend=0)
+            return out
+
+        return Aligned(sound, per_word(upto_a), per_word(upto_b), per_word(upto_groups), per_word(upto_links), groups, links)
+
+
+def joined(words: pa.Array) -> tuple[bytes, np.ndarray]:
+    """All words one after the other, and the end of each."""
+    bounds = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    return (words.buffers()[2].slice(bounds[0], bounds[-1] - bounds[0]).to_pybytes() if len(words) else b""), bounds[1:] - bounds[0]
+
+
+def cut(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """The words of a space and each text: their numbers, the distinct words, which of these end in an ASCII character that is not
+    white space, and the first word of each text (one more at the end).
+
+    Texts are cut where a space follows such a character.
     """
     spaced = pc.binary_join_element_wise(pa.scalar(""), texts, pa.scalar(" ")).cast(pa.binary())
     if isinstance(spaced, pa.ChunkedArray):
         spaced = spaced.combine_chunks()
     bounds = np.frombuffer(spaced.buffers()[1], np.int32)[spaced.offset : spaced.offset + len(spaced) + 1]
-    data = np.frombuffer(spaced.buffers()[2], np.uint8)
-    is_start = np.zeros(bounds[-1], bool)
-    is_start[1:] = (data[1 : bounds[-1]] == 0x20) & (data[: bounds[-1] - 1] > 0x20) & (data[: bounds[-1] - 1] < 0x7F)
+    data = np.frombuffer(spaced.buffers()[2], np.uint8)[: bounds[-1]]
+    closing = (data > 0x20) & (data < 0x7F)
+    is_start = np.zeros(len(data), bool)
+    is_start[1:] = (data[1:] == 0x20) & closing[:-1]
     is_start[: bounds[0]] = False
     is_start[bounds[:-1]] = True
     starts = np.flatnonzero(is_start)
     offsets = np.append(starts, bounds[-1]).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), spaced.buffers()[2]]).dictionary_encode()
-    return words.indices.to_numpy().astype(np.int32), words.dictionary, np.searchsorted(starts, bounds)
+    codes = words.indices.to_numpy()
+    closed = np.zeros(len(words.dictionary), bool)
+    closed[codes] = closing[offsets[1:] - 1]
+    return codes.astype(np.int32), words.dictionary, closed, np.searchsorted(starts, bounds)
 
 
 TEXT_COLUMNS = "key_a bigint, key_b bigint, copies bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
@@ -179,8 +226,8 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def align_block(aligner: Aligner, texts: pa.Array, copies: np.ndarray) -> tuple[dict[str, object], dict[str, object]]:
     """Columns of the texts of a block, and the links of its words."""
-    codes, dictionary, first = cut(texts)
-    made = aligner.align(byte_texts(dictionary))
+    codes, dictionary, closed, first = cut(texts)
+    made = aligner.align(dictionary, closed)
     sizes = np.diff(first)
     doc = np.repeat(np.arange(len(texts)), sizes)
     sound = np.bincount(doc[~made.sound[codes]], minlength=len(texts)) == 0
@@ -192,7 +239,7 @@ def align_block(aligner: Aligner, texts: pa.Array, copies: np.ndarray) -> tuple[
     numbers = {name: np.where(sound, _sums(getattr(made, name)[codes], sizes), 0) for name in ("n_a", "n_b", "n_groups", "n_links")}
     listed, groups, digests, words = codes.tolist(), made.groups, [], []
     for good, i, j in zip(sound.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
-        digests.append(hashlib.sha256(";".join([groups[c] for c in listed[i:j]]).encode()).hexdigest() if good else "")
+        digests.append(hashlib.sha256(b"".join([groups[c] for c in listed[i:j]])[:-1]).hexdigest() if good else "")
         words.append(codes[i:j].tobytes() if good else b"")
     # Pairs of unsound texts alone count nothing and are nobody's.
     live = counts > 0
