@@ -28,9 +28,12 @@ def half_up(value: str, digits: int) -> str:
 
 # Both coordinates are known; zero counts as known.
 HAS_POINT = "(x IS NOT NULL AND y IS NOT NULL)"
-# Both are known, non-zero, and have a grid cell: NULL, NaN and numbers beyond the grid fail the comparison.
+# Both are known, finite and non-zero: NULL, NaN and infinities fail the comparisons, which all reach the scan.
+_FINITE = "{0} BETWEEN -1.7976931348623157E308D AND 1.7976931348623157E308D"
+HAS_VALID_POINT = f"(x <> 0D AND y <> 0D AND {_FINITE.format('x')} AND {_FINITE.format('y')})"
+# They also have a grid cell.
 _IN_GRID = f"x > -{S.GRID_LIMIT}D AND x < {S.GRID_LIMIT}D AND y > -{S.GRID_LIMIT}D AND y < {S.GRID_LIMIT}D"
-HAS_VALID_POINT = f"(x <> 0D AND y <> 0D AND {_IN_GRID})"
+HAS_CELL = f"(x <> 0D AND y <> 0D AND {_IN_GRID})"
 
 
 def grid_index(coordinate: str) -> str:
@@ -69,9 +72,10 @@ def label_if_blank(column: str) -> str:
 
 # --- time ----------------------------------------------------------------------------------------
 
-# Calendar day of a fix as a DATE, which groups and hashes faster than text. A fix whose time did not parse
-# counts on the day that its `dt` text names.
-DAY = "coalesce(to_date(record_time), try_cast(dt AS DATE))"
+# The `dt` of a fix if it names a date in full; the one definition of a day, also for fixes whose time did not parse.
+DATED = "CASE WHEN dt RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}$' AND try_cast(dt AS DATE) IS NOT NULL THEN dt END"
+# Calendar day of a fix as a DATE, which groups and hashes faster than text.
+DAY = f"coalesce(to_date(record_time), CAST({DATED} AS DATE))"
 
 
 def parse_time(text: str) -> str:
@@ -98,10 +102,6 @@ def finite(number: str) -> str:
     return f"CASE WHEN abs({number}) < 1.7976931348623157E308D THEN {number} END"
 
 
-# The `dt` of a fix if it names a date.
-DATED = "CASE WHEN dt RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}$' AND try_cast(dt AS DATE) IS NOT NULL THEN dt END"
-
-
 def day_of_text(text: str) -> str:
     return f"substring({text}, 1, 10)"
 

@@ -10,16 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions import expressions as X
-from fleetlens.operators.filters import current_day, last, valid_points
+from fleetlens.operators.filters import current_day, last
+
 
 def grid_density(df: DataFrame) -> DataFrame:
     cell = X.exprs("sea_area", f"{X.grid_index('x')} AS grid_x", f"{X.grid_index('y')} AS grid_y")
-    return valid_points(df).groupBy(*cell).agg(F.expr("count(DISTINCT vessel_id) AS density"))
+    return df.where(X.HAS_CELL).groupBy(*cell).agg(F.expr("count(DISTINCT vessel_id) AS density"))
 
 
 def grid_density_today(df: DataFrame, as_of: str | None = None) -> DataFrame:
     cell = X.exprs(f"{X.grid_origin('x')} AS x", f"{X.grid_origin('y')} AS y")
-    return valid_points(current_day(df, as_of)).groupBy(*cell).agg(F.expr("count(DISTINCT vessel_id) AS ship_cnt"))
+    return current_day(df, as_of).where(X.HAS_CELL).groupBy(*cell).agg(F.expr("count(DISTINCT vessel_id) AS ship_cnt"))
 
 
 def with_scale(density: DataFrame, value: str) -> DataFrame:

@@ -5,25 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens import schema as S
 from fleetlens.functions import expressions as X
-from fleetlens.operators.alerts import slow_groups
 from fleetlens.operators.filters import current_day, current_month, last
 
 
+# Cell of a fix; cells are equal if both numbers are, so that one text stands for both.
+CELL = f"IF({X.HAS_CELL}, concat_ws('|', {X.grid_index('x')}, {X.grid_index('y')}), NULL)"
+
+
 def _figures(rows: DataFrame, points: str, ships: str, speed: str, grids: str) -> DataFrame:
-    cell = f"IF({X.HAS_VALID_POINT}, struct({X.grid_index('x')}, {X.grid_index('y')}), NULL)"
     return rows.selectExpr(
         f"count(*) AS {points}",
         f"count(DISTINCT vessel_id) AS {ships}",
         f"coalesce({X.half_up('avg(speed)', 1)}, 0D) AS {speed}",
-        f"count(DISTINCT {cell}) AS {grids}",
+        f"count(DISTINCT {CELL}) AS {grids}",
     )
 
 
 def kpi_day(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    day = current_day(df, as_of)
-    figures = _figures(day, "total_points", "total_ships", "avg_speed", "hot_grid_count")
-    return figures.withColumn("abnormal_count", last(slow_groups(day), "count(*)"))
+    """Day figures, from one scan: fixes are grouped by vessel and area, by vessel, and by cell at the same time."""
+    fixes = current_day(df, as_of).selectExpr("vessel_id", f"{X.label_if_blank('sea_area')} AS area", f"{CELL} AS cell", "speed", f"{X.IS_SLOW} AS slow")
+    by_area, by_vessel, by_cell = (F.col("vessel_id"), F.col("area")), (F.col("vessel_id"),), (F.col("cell"),)
+    groups = fixes.groupingSets([by_area, by_vessel, by_cell], "vessel_id", "area", "cell").agg(
+        F.expr("CASE grouping_id() WHEN 1 THEN 'area' WHEN 3 THEN 'vessel' ELSE 'cell' END AS kind"),
+        *X.exprs("count(*) AS fixes", "count(speed) AS speeds", "sum(speed) AS speed_sum", "count_if(slow) AS slow_fixes"),
+    )
+    mean = "try_divide(sum(speed_sum) FILTER (WHERE kind = 'area'), CAST(sum(speeds) FILTER (WHERE kind = 'area') AS DOUBLE))"
+    return groups.selectExpr(
+        "coalesce(sum(fixes) FILTER (WHERE kind = 'area'), 0L) AS total_points",
+        "count_if(kind = 'vessel' AND vessel_id IS NOT NULL) AS total_ships",
+        f"coalesce({X.half_up(mean, 1)}, 0D) AS avg_speed",
+        "count_if(kind = 'cell' AND cell IS NOT NULL) AS hot_grid_count",
+        f"count_if(kind = 'area' AND slow_fixes >= {S.MIN_STOP_FIXES}) AS abnormal_count",
+    )
 
 
 def kpi_month(df: DataFrame, as_of: str | None = None) -> DataFrame:

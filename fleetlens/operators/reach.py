@@ -104,11 +104,11 @@ def top_range(df: DataFrame, k: int = 20, **options: int) -> DataFrame:
     return top.orderBy("max_dist", F.desc("vessel_id"))
 
 
-def label_ranges(ranges: DataFrame, k: int = 20) -> DataFrame:
-    """The largest vessel-day ranges as `vessel(date)` labels."""
+def label_ranges(ranges: DataFrame, k: int = 20, *further: str) -> DataFrame:
+    """The largest vessel-day ranges as `vessel(date)` labels, with `further` columns such as the unrounded `dist`."""
     top = ranges.orderBy(F.desc("dist"), "vessel_id", "day").limit(k)
-    return top.selectExpr("concat(vessel_id, '(', day, ')') AS ship", f"{X.half_up('dist', 2)} AS value")
+    return top.selectExpr("concat(vessel_id, '(', day, ')') AS ship", f"{X.half_up('dist', 2)} AS value", *further)
 
 
-def range_vessel_day(df: DataFrame, k: int = 20, **options: int) -> DataFrame:
-    return label_ranges(vessel_day_range(df, **options), k)
+def range_vessel_day(df: DataFrame, k: int = 20, *further: str, **options: int) -> DataFrame:
+    return label_ranges(vessel_day_range(df, **options), k, *further)

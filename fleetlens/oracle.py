@@ -47,6 +47,15 @@ _DIRTY_DAYS = f"""{_T} SELECT vessel_id, count(DISTINCT CASE WHEN point_id % 40
   FROM t GROUP BY 1"""
 
 
+# Landing text with coordinates and times that do not belong there, after cleaning. Only a full date is a day.
+_UNDATED = "point_id % 40 IN (8, 18, 28)"
+_DIRTY = f"""{_T.replace(", t AS (", ", clean AS (")}, t AS (SELECT * REPLACE (
+    CASE WHEN point_id % 40 IN (5, 7) THEN NULL WHEN point_id % 40 = 6 THEN CAST(1e12 AS DOUBLE) ELSE x END AS x,
+    CAST(CAST(speed AS FLOAT) AS DOUBLE) AS speed,
+    CASE WHEN {_UNDATED} OR point_id % 10 = 9 THEN NULL ELSE record_time END AS record_time,
+    CASE WHEN {_UNDATED} THEN NULL ELSE dt END AS dt) FROM clean)"""
+
+
 def _r(value: str, digits: int) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
 
@@ -126,7 +135,7 @@ _CROSS = f""", cross_today AS (SELECT vessel_id AS ship_id, sea_area, x, y, {_TI
 def _figures(prefix: str, where: str) -> str:
     return f"""SELECT count(*) AS {prefix}points, count(DISTINCT vessel_id) AS {prefix}ships,
   coalesce({_r("avg(speed)", 1)}, 0.0) AS {prefix}avg_speed,
-  count(DISTINCT CASE WHEN {_VALID} THEN {_GX} * 100000 + {_GY} END) AS {prefix}hot_grid_count FROM t WHERE {where}"""
+  count(DISTINCT CASE WHEN {_VALID} AND abs(x) < 1e9 THEN {_GX} * 100000 + {_GY} END) AS {prefix}hot_grid_count FROM t WHERE {where}"""
 
 
 _KPI = _SLOW + f""", kd AS ({_figures("total_", _TODAY)}), km AS ({_figures("monthly_", _MONTH)}),
@@ -139,7 +148,7 @@ _GRID_TODAY = f""", gr AS (SELECT {_GX} * 10 AS x, {_GY} * 10 AS y, count(DISTIN
   FROM t WHERE {_TODAY} AND {_VALID} GROUP BY 1, 2)"""
 _TOP20 = ", top20 AS (SELECT vessel_id AS ship, count(*) AS value FROM t GROUP BY 1 ORDER BY value DESC, ship LIMIT 20)"
 _LAST7 = ", last7 AS (SELECT dt AS date, count(*) AS value FROM t GROUP BY 1 ORDER BY date DESC LIMIT 7)"
-_RANGE20 = _DAY_RANGE + f""", range20 AS (SELECT vessel_id || '(' || dt || ')' AS ship, {_r("dist", 2)} AS value
+_RANGE20 = _DAY_RANGE + f""", range20 AS (SELECT vessel_id || '(' || dt || ')' AS ship, {_r("dist", 2)} AS value, dist
   FROM (SELECT * FROM rng ORDER BY dist DESC, vessel_id, dt LIMIT 20))"""
 
 
@@ -217,7 +226,7 @@ ORACLES: dict[str, str] = {
             "ship-top20": _lists("top20", "value DESC, ship", ships="ship", values="value"),
             "avg-speed": _lists("gt", "speed DESC, name", types="name", values="speed"),
             "daily-points": _lists("last7", "date", dates="date", values="value"),
-            "max-distance-top20": _lists("range20", "value DESC, ship", ships="ship", values="value"),
+            "max-distance-top20": _lists("range20", "dist DESC, ship", ships="ship", values="value"),
         }
     ),
     "valid_points": f"{_T} SELECT {_ROW} FROM t WHERE {_VALID}",
@@ -289,7 +298,7 @@ ORACLES: dict[str, str] = {
     "work_hours_buckets_prefix": f"{_PREFIX}{_BUCKETS} SELECT * FROM buckets",
     "top20_vessels_prefix": f"{_PREFIX}{_TOP20} SELECT * FROM top20",
     "last7_days_prefix": f"{_PREFIX}{_LAST7} SELECT * FROM last7",
-    "range_vessel_day_prefix": f"{_PREFIX}{_RANGE20} SELECT * FROM range20",
+    "range_vessel_day_prefix": f"{_PREFIX}{_RANGE20} SELECT ship, value FROM range20",
     "dirty_grid_density": f"""{_T} SELECT sea_area, {_GX} AS grid_x, {_GY} AS grid_y, count(DISTINCT vessel_id) AS density
       FROM t WHERE {_VALID} AND point_id % 40 NOT IN (5, 6, 7) GROUP BY 1, 2, 3""",
     "dirty_days_at_sea": _DIRTY_DAYS,
@@ -298,12 +307,20 @@ ORACLES: dict[str, str] = {
     "dirty_hour_hist_today_rollup": _DIRTY_HOURS,
     "dirty_current_day": f"""{_T}, d AS (SELECT dt FROM t WHERE point_id % 40 <> 8)
       SELECT dt, count(*) AS count FROM d WHERE dt = (SELECT max(dt) FROM d) GROUP BY 1""",
+    "dirty_area_violations": f"""{_DIRTY} SELECT vessel_id, sea_area, round(x, 6) AS coord_x, round(y, 6) AS coord_y, {_TIME} AS ts
+      FROM t WHERE {_VALID} AND {_OUTSIDE}""",
+    "dirty_valid_points": f"{_DIRTY} SELECT count(*) AS fixes, count(*) FILTER (WHERE x > 1e9) AS far FROM t WHERE {_VALID}",
+    "dirty_kpi_day": f"{_DIRTY}{_KPI} SELECT * FROM kpi",
+    "dirty_kpi_month": f"{_DIRTY}{_KPI} SELECT * FROM km",
+    "dirty_kpi_month_rollup": f"{_DIRTY}{_KPI} SELECT * FROM km",
+    "dirty_daily_points": f"{_DIRTY} SELECT dt AS work_date, count(*) AS cnt FROM t GROUP BY 1",
+    "dirty_daily_points_rollup": f"{_DIRTY} SELECT dt AS work_date, count(*) AS cnt FROM t GROUP BY 1",
     "work_hours_buckets": f"{_T}{_BUCKETS} SELECT * FROM buckets",
     "max_range": f"{_T}{_ranges('vessel_id', _VALID)} SELECT vessel_id, {_r('dist', 2)} AS max_dist FROM rng",
     "max_range_daily": f"{_T}{_DAY_RANGE} SELECT vessel_id, round(max(dist), 6) AS max_dist FROM rng GROUP BY 1",
     "top20_range": f"""{_T}{_DAY_RANGE}, v AS (SELECT vessel_id, max(dist) AS d FROM rng GROUP BY 1)
       SELECT vessel_id, round(d, 6) AS max_dist FROM v ORDER BY d DESC NULLS LAST, vessel_id LIMIT 20""",
-    "range_vessel_day": f"{_T}{_RANGE20} SELECT * FROM range20",
+    "range_vessel_day": f"{_T}{_RANGE20} SELECT ship, value FROM range20",
     "abnormal_stop": f"""{_T} SELECT vessel_id, coalesce(sea_area, '未知') AS sea_area, count(*) AS cnt,
       round(avg(x), 6) AS avg_x, round(avg(y), 6) AS avg_y FROM t WHERE speed < 3 AND {_LOCATED}
       GROUP BY 1, 2 HAVING count(*) >= 2""",

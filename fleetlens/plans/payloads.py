@@ -66,7 +66,7 @@ def array_payloads(df: DataFrame) -> dict[str, DataFrame]:
         "ship-top20": array_payload(R.top_vessels(days), ["-value", "ship"], **ships),
         "avg-speed": array_payload(gear.speed_by_gear_today(df), ["-value", "type"], types="type", values="value"),
         "daily-points": array_payload(R.last_days(days), ["date"], dates="date", values="value"),
-        "max-distance-top20": array_payload(reach.range_vessel_day(df), ["-value", "ship"], **ships),
+        "max-distance-top20": array_payload(reach.range_vessel_day(df, 20, "dist"), ["-dist", "ship"], **ships),
     }
 
 

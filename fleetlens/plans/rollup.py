@@ -21,7 +21,7 @@ MEAN_SLOW_Y = "try_divide(sum(slow_y_sum), CAST(sum(slow_points) AS DOUBLE))"
 
 
 # The day of a summary row, as the direct operators have it: NULL where the text names no date.
-DATE = "CAST(try_cast(dt AS DATE) AS STRING)"
+DATE = X.DATED
 
 
 def activity_rollup(df: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def vessel_day_rollup(df: DataFrame) -> DataFrame:
 def grid_rollup(df: DataFrame) -> DataFrame:
     """Which vessels were in which valid grid cell, per day and area."""
     cell = X.exprs(f"{X.grid_index('x')} AS grid_x", f"{X.grid_index('y')} AS grid_y")
-    visits = df.where(X.HAS_VALID_POINT).groupBy("dt", "sea_area", *cell, "vessel_id")
+    visits = df.where(X.HAS_CELL).groupBy("dt", "sea_area", *cell, "vessel_id")
     return visits.agg(F.expr("count(*) AS fixes"))
 
 
@@ -180,6 +180,6 @@ def kpi_day(rollup: DataFrame, grid: DataFrame) -> DataFrame:
 
 
 def kpi_month(rollup: DataFrame, grid: DataFrame) -> DataFrame:
-    cells = grid.where(F.expr("substring(dt, 1, 7)") == last(rollup, "substring(max(dt), 1, 7)"))
+    cells = grid.where(F.expr("substring(dt, 1, 7)") == last(rollup, f"substring(max({X.DATED}), 1, 7)"))
     names = ("monthly_points", "monthly_ships", "monthly_avg_speed", "monthly_hot_grid_count")
     return _figures(current_month(rollup), cells, *names)

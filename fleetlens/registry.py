@@ -142,7 +142,7 @@ def over_prefix(operator: Callable[[DataFrame], DataFrame], n: int = 2_500) -> Q
     return _over_trajectories(lambda df: operator(filters.replay_prefix(df, n)))
 
 
-def dirty_fixes(df: DataFrame) -> DataFrame:
+def dirty_fixes(df: DataFrame, undated: str = "WHEN 8 THEN 'garbage'") -> DataFrame:
     """The fixes as landing text with values that do not belong there, cleaned again."""
     text = df.selectExpr(
         "vessel_id",
@@ -150,7 +150,7 @@ def dirty_fixes(df: DataFrame) -> DataFrame:
         "CAST(y AS STRING) AS y",
         "CAST(speed AS STRING) AS speed",
         "CAST(direction AS STRING) AS direction",
-        f"CASE WHEN point_id % 40 = 8 THEN 'garbage' ELSE substring({X.time_text('record_time')}, 1, IF(point_id % 10 = 9, 13, 19)) END AS record_time",
+        f"CASE point_id % 40 {undated} ELSE substring({X.time_text('record_time')}, 1, IF(point_id % 10 = 9, 13, 19)) END AS record_time",
         "operation_type",
         "sea_area",
         "point_id",
@@ -162,6 +162,12 @@ def over_dirty(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return _over_trajectories(lambda df: operator(dirty_fixes(df)))
 
 
+def over_undated(operator: Callable[[DataFrame], DataFrame], *, six_digits: tuple[str, ...] = ()) -> Query:
+    """The operator over landing text that also has times whose date is not written in full."""
+    texts = "WHEN 8 THEN 'garbage' WHEN 18 THEN '2025' WHEN 28 THEN '2025-6-2 05:00:00'"
+    return _over_trajectories(lambda df: operator(dirty_fixes(df, texts)), six_digits=six_digits)
+
+
 # --- streams -------------------------------------------------------------------------------------
 
 
@@ -305,6 +311,15 @@ QUERIES: dict[str, Query] = {
     "dirty_hour_hist_today": over_dirty(activity.hour_hist_today),
     "dirty_hour_hist_today_rollup": over_dirty(lambda df: R.hour_hist_today(R.activity_rollup(df))),
     "dirty_current_day": over_dirty(lambda df: filters.current_day(df).groupBy("dt").count()),
+    "dirty_area_violations": over_undated(alerts.area_violations, six_digits=("coord_x", "coord_y")),
+    "dirty_valid_points": over_undated(
+        lambda df: filters.valid_points(df).selectExpr("count(*) AS fixes", "count_if(x > 1e9D) AS far")
+    ),
+    "dirty_kpi_day": over_undated(monitor.kpi_day),
+    "dirty_kpi_month": over_undated(monitor.kpi_month),
+    "dirty_kpi_month_rollup": over_undated(lambda df: R.kpi_month(R.activity_rollup(df), R.grid_rollup(df))),
+    "dirty_daily_points": over_undated(activity.daily_points),
+    "dirty_daily_points_rollup": over_undated(lambda df: R.daily_points(R.activity_rollup(df))),
     "work_hours_buckets": _over_trajectories(duration.work_hours_buckets),
     # range
     "max_range": _over_trajectories(reach.max_range),
