@@ -349,6 +349,17 @@ ORACLES: dict[str, str] = {
       d AS (SELECT x0 - (x1 - x0) / 10 AS x0, (x1 - x0) * 1.2 AS dx, y0 - (y1 - y0) / 10 AS y0, (y1 - y0) * 1.2 AS dy FROM w)
       SELECT ship_id, work_type, round(least(100, greatest(0, (x - x0) / dx * 100)), 6) AS left_pct,
         round(least(100, greatest(0, (y - y0) / dy * 100)), 6) AS top_pct FROM p, d""",
+    "day_index": f"""{_T} SELECT dt, count(*) AS fixes, {_text("min(record_time)")} AS first_time,
+      {_text("max(record_time)")} AS last_time FROM t GROUP BY 1""",
+    "table_kpi_day": f"{_T}{_KPI} SELECT * FROM kpi",
+    "table_latest_position": f"{_T}{_POSITIONS} SELECT ship_id, {_r6('x', 'y')}, work_type, sea_area FROM p",
+    "table_latest_status": f"{_T}{_STATUS} SELECT * FROM s",
+    "table_abnormal_stop_today": f"{_T}{_SLOW} SELECT * FROM stops",
+    "table_area_violations_today": f"{_T}{_CROSS} SELECT ship_id, sea_area, {_r6('x', 'y')}, time FROM cross_today",
+    "table_gear_counts_today": f"{_T}{_GEAR_TODAY} SELECT name, value FROM gt",
+    "table_speed_by_gear_today": f"{_T}{_GEAR_TODAY} SELECT name AS type, speed AS value FROM gt",
+    "table_hour_hist_today": f"{_T}{_HOURS_TODAY} SELECT CAST(h AS VARCHAR) AS hour, value FROM ht",
+    "table_grid_density_today": f"{_T}{_GRID_TODAY} SELECT * FROM gr",
     "activity_rollup": f"""{_T} SELECT dt, CAST(hour(record_time) AS INTEGER) AS hour, vessel_id, operation_type, sea_area,
       count(*) AS fixes, count(speed) AS speeds, round(sum(speed), 6) AS speed_sum, round(min(speed), 6) AS speed_min,
       round(max(speed), 6) AS speed_max, {_text("min(record_time)")} AS first_time, {_text("max(record_time)")} AS last_time,
@@ -368,7 +379,7 @@ ORACLES: dict[str, str] = {
             _entry("max-distance-top20", "ship", "value", "range20"),
         ]
     ),
-    "stream_current_day": f"{_T}{_KPI}{_GEAR_TODAY}{_HOURS_TODAY}{_GRID_TODAY}{_CROSS} "
+    "stream_current_day": f"{_T}{_KPI}{_GEAR_TODAY}{_HOURS_TODAY}{_GRID_TODAY}{_CROSS}{_POSITIONS} "
     + " UNION ALL ".join(
         [_entry("summary", f"'{c}'", c, "kpi") for c in
          ("total_points", "total_ships", "avg_speed", "hot_grid_count", "abnormal_count")]
@@ -378,9 +389,24 @@ ORACLES: dict[str, str] = {
             _entry("peak-hour", "CAST(h AS VARCHAR)", "value", "ht"),
             _entry("sea-grid-heatmap", "x || '|' || y", "ship_cnt", "gr"),
             _entry("abnormal-stop-points", "ship_id || '|' || sea_area", "cnt", "stops"),
+            _entry("abnormal-stop-x", "ship_id || '|' || sea_area", "x", "stops"),
+            _entry("abnormal-stop-y", "ship_id || '|' || sea_area", "y", "stops"),
+            _entry("ship-locations-x", "ship_id || '|' || work_type || '|' || sea_area", "round(x, 6)", "p"),
+            _entry("ship-locations-y", "ship_id || '|' || work_type || '|' || sea_area", "round(y, 6)", "p"),
+            _entry("cross-border-y", "ship_id || '|' || sea_area || '|' || time", "round(y, 6)", "cross_today"),
             _entry("cross-border", "ship_id || '|' || sea_area || '|' || time", "round(x, 6)", "cross_today"),
         ]
     ),
     "stream_current_month": f"{_T}{_KPI} SELECT * FROM km",
     "stream_latest": f"{_T}{_STATUS} SELECT * FROM s",
+    "stream_progress": f"""{_T}, b AS (SELECT CAST(CASE WHEN point_id % 50 = 7 THEN 3 WHEN day(record_time) <= 10 THEN 0
+        WHEN day(record_time) <= 20 THEN 1 ELSE 2 END AS BIGINT) AS batch, record_time FROM t),
+      c AS (SELECT batch, count(*) AS fixes, {_text("min(record_time)")} AS first_time, {_text("max(record_time)")} AS last_time
+        FROM b GROUP BY 1)
+      SELECT batch, fixes, CAST(sum(fixes) OVER (ORDER BY batch) AS BIGINT) AS current, first_time, last_time,
+        (SELECT count(*) FROM t) AS total FROM c""",
+    "stream_daily_window": f"""{_T}, m AS (SELECT max(record_time) - INTERVAL 1 DAY AS mark FROM t WHERE point_id % 50 <> 7),
+      d AS (SELECT dt AS day, point_id % 50 = 7 AS late, date_trunc('day', record_time) + INTERVAL 1 DAY <= (SELECT mark FROM m) AS done
+        FROM t)
+      SELECT CASE WHEN late THEN 'late' ELSE 'closed' END AS kind, day, count(*) AS fixes FROM d WHERE done GROUP BY 1, 2""",
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from fleetlens import schema as S
 from fleetlens.functions import expressions as X
+from fleetlens.sources import days
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -44,14 +45,10 @@ def _laid_out(cleaned: DataFrame) -> DataFrame:
 
 
 def write_cleaned(cleaned: DataFrame, path: str) -> None:
-    """Replace the days present in `cleaned`; other days of the table stay as they are."""
-    (
-        _laid_out(cleaned)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
-    )
+    """Replace the days present in `cleaned`; other days of the table stay as they are. The day index follows."""
+    rows, seen = days.written_days(_laid_out(cleaned))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+    days.record(cleaned.sparkSession, path, seen)
 
 
 def insert_cleaned(cleaned: DataFrame, table: str) -> None:

@@ -12,8 +12,9 @@ from fleetlens.functions import expressions as X
 from fleetlens.operators import activity, alerts, density, duration, filters, gear, monitor, reach
 from fleetlens.plans import etl, payloads, results
 from fleetlens.plans import rollup as R
-from fleetlens.sources import catalog, cleaned, events, raw
-from fleetlens.streaming import replay, views
+from fleetlens.plans.today import Today
+from fleetlens.sources import catalog, cleaned, days, events, raw
+from fleetlens.streaming import replay, views, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,25 @@ def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.read_raw(spark, _landed(spark, sf_dir))
 
 
+def over_today(view: Callable[[Today], DataFrame], *, six_digits: tuple[str, ...] = ()) -> Query:
+    """A current-day view of the cleaned table, whose latest day the day index tells."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        result = view(Today(spark, _written_cleaned(spark, sf_dir)))
+        return result.withColumns({name: F.round(name, 6) for name in six_digits})
+
+    return _configured(query)
+
+
+def day_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index after a second write has replaced one of the days by itself."""
+    path = _written_cleaned(spark, sf_dir)
+    latest = days.latest_day(spark, path)
+    etl.write_cleaned(etl.clean(events.raw_fixes(spark, sf_dir)).where(F.col("dt") == latest.dt), path)
+    index = days.day_index(spark, path)
+    return index.withColumns({c: F.expr(X.time_text(c)) for c in ("first_time", "last_time")})
+
+
 def _written_cleaned(spark: SparkSession, sf_dir: str) -> str:
     path = session.scratch_path(spark, "cleaned")
     etl.write_cleaned(etl.clean(events.raw_fixes(spark, sf_dir)), path)
@@ -171,15 +191,24 @@ def over_undated(operator: Callable[[DataFrame], DataFrame], *, six_digits: tupl
 # --- streams -------------------------------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.event_stream(spark, f"{sf_dir}/events.parquet")
+# Four steps: the days up to the 10th, to the 20th, the rest, and last the late events of all days.
+STEP = "CASE WHEN event_id % 50 = 7 THEN 3 WHEN day(ts) <= 10 THEN 0 WHEN day(ts) <= 20 THEN 1 ELSE 2 END"
+STEPS = 4
+
+
+def _in_steps(spark: SparkSession, sf_dir: str, run: Callable[[Callable[[], DataFrame]], None]) -> None:
+    """Let the events come step by step; after each, `run` works off what its stream has found, from where it stopped."""
+    folder = session.scratch_path(spark, "steps")
+    for step in range(STEPS):
+        arriving = events.read_events(spark, sf_dir).where(f"{STEP} = {step}")
+        arriving.write.parquet(f"{folder}/step={step}")
+        run(lambda: replay.event_stream(spark, folder))
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = session.scratch_path(spark, "replayed")
-    stream = _stream(spark, sf_dir)
-    replay.run_to_end(replay.replay(stream, path))
-    return spark.read.schema(stream.schema).parquet(path)
+    _in_steps(spark, sf_dir, lambda stream: replay.run_to_end(replay.replay(stream(), path)))
+    return spark.read.schema(events.trajectories(spark, sf_dir).schema).parquet(path)
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +221,7 @@ def replay_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _maintained(spark: SparkSession, sf_dir: str, *parts: str) -> list[DataFrame]:
     path = session.scratch_path(spark, "views")
-    replay.run_to_end(views.maintain(_stream(spark, sf_dir), path, parts))
+    _in_steps(spark, sf_dir, lambda stream: replay.run_to_end(views.maintain(stream(), path, parts, merge_every=3)))
     return [views.read_part(spark, path, part) for part in parts]
 
 
@@ -220,11 +249,13 @@ def stream_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_current_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rollup, grid, violations = _maintained(spark, sf_dir, "activity", "grid", "violations")
+    rollup, grid, violations, latest = _maintained(spark, sf_dir, "activity", "grid", "violations", "latest")
     kpi = R.kpi_day(rollup, grid)
     figures = ", ".join(f"struct('{name}' AS name, CAST({name} AS DOUBLE) AS value)" for name in kpi.columns)
     ship_area = "concat_ws('|', ship_id, sea_area)"
     crossings = views.area_violations_today(violations, rollup)
+    stops, positions = R.abnormal_stop_today(rollup), views.latest_position(latest)
+    labels = "concat_ws('|', ship_id, work_type, sea_area)"
     return _stacked(
         [
             _entries(kpi.selectExpr(f"inline(array({figures}))"), "summary", "name", "value"),
@@ -232,7 +263,12 @@ def stream_current_day(spark: SparkSession, sf_dir: str) -> DataFrame:
             _entries(R.speed_by_gear_today(rollup), "avg-speed", "type", "value"),
             _entries(R.hour_hist_today(rollup), "peak-hour", "hour", "value"),
             _entries(R.grid_density_today(grid), "sea-grid-heatmap", "concat_ws('|', x, y)", "ship_cnt"),
-            _entries(R.abnormal_stop_today(rollup), "abnormal-stop-points", ship_area, "cnt"),
+            _entries(stops, "abnormal-stop-points", ship_area, "cnt"),
+            _entries(stops, "abnormal-stop-x", ship_area, "x"),
+            _entries(stops, "abnormal-stop-y", ship_area, "y"),
+            _entries(positions, "ship-locations-x", labels, "round(x, 6)"),
+            _entries(positions, "ship-locations-y", labels, "round(y, 6)"),
+            _entries(crossings, "cross-border-y", "concat_ws('|', ship_id, sea_area, time)", "round(y, 6)"),
             _entries(crossings, "cross-border", "concat_ws('|', ship_id, sea_area, time)", "round(x, 6)"),
         ]
     )
@@ -244,10 +280,28 @@ def stream_current_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = session.scratch_path(spark, "views")
-    replay.run_to_end(views.keep_latest(_stream(spark, sf_dir), path))
+    _in_steps(spark, sf_dir, lambda stream: replay.run_to_end(views.keep_latest(stream(), path)))
     return views.latest_status(views.read_part(spark, path, "latest"))
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each batch brought, as written while the stream ran, beside the total of the source."""
+    (rows,) = _maintained(spark, sf_dir, "progress")
+    texts = {c: F.expr(X.time_text(c)) for c in ("first_time", "last_time")}
+    total = filters.last(events.trajectories(spark, sf_dir), "count(*)")
+    return views.progress(rows).withColumn("total", total).withColumns(texts)
+
+
+def stream_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed days of the window with watermark, and the late fixes that no longer counted."""
+    path = session.scratch_path(spark, "windows")
+    _in_steps(spark, sf_dir, lambda stream: windows.run(stream, path))
+    fixes = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.trajectories(spark, sf_dir).schema)
+    late = windows.late_days(windows.late_rows(spark, path, fixes))
+    closed = windows.closed_days(spark, path).selectExpr("'closed' AS kind", "day", "fixes")
+    return closed.unionAll(late.selectExpr("'late' AS kind", "day", "fixes"))
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "raw_scan": _configured(raw_scan),
@@ -346,6 +400,17 @@ QUERIES: dict[str, Query] = {
     "speed_bands": _over_trajectories(lambda df: monitor.speed_bands(monitor.latest_status(df))),
     "map_positions": _over_trajectories(
         lambda df: monitor.map_positions(monitor.latest_position(df)), six_digits=("left_pct", "top_pct")),
+    # current-day views of the cleaned table
+    "day_index": _configured(day_index),
+    "table_kpi_day": over_today(Today.kpi),
+    "table_latest_position": over_today(Today.latest_position, six_digits=("x", "y")),
+    "table_latest_status": over_today(Today.latest_status),
+    "table_abnormal_stop_today": over_today(Today.abnormal_stops),
+    "table_area_violations_today": over_today(Today.area_violations, six_digits=("x", "y")),
+    "table_gear_counts_today": over_today(Today.gear_counts),
+    "table_speed_by_gear_today": over_today(Today.speed_by_gear),
+    "table_hour_hist_today": over_today(Today.hour_hist),
+    "table_grid_density_today": over_today(Today.grid_density),
     # summaries
     "activity_rollup": _over_trajectories(
         lambda df: R.activity_rollup(df).withColumns(
@@ -361,4 +426,6 @@ QUERIES: dict[str, Query] = {
     "stream_current_day": _configured(stream_current_day),
     "stream_current_month": _configured(stream_current_month),
     "stream_latest": _configured(stream_latest),
+    "stream_progress": _configured(stream_progress),
+    "stream_daily_window": _configured(stream_daily_window),
 }

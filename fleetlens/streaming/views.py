@@ -10,20 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions import expressions as X
-from fleetlens.operators import alerts, monitor, reach
+from fleetlens.operators import alerts, hull, monitor, reach
 from fleetlens.operators.filters import current_day, last
 from fleetlens.plans import rollup as R
-from fleetlens.session import checkpointed
+from fleetlens.streaming import generations
 
 GROUP = ("vessel_id", "dt")
 OF_GROUP = tuple(f"{key} AS of_{key}" for key in GROUP)
-LOW_HIGH = "struct(min(dt) AS low, max(dt) AS high) AS days"
 NEWEST = (
     "max_by(struct(record_time, point_id, x, y, speed, operation_type, sea_area, dt), struct(record_time, point_id))"
 )
@@ -44,17 +42,17 @@ SCHEMAS = {
         "vessel_id string, record_time timestamp, point_id bigint, x double, y double, speed double, "
         "operation_type string, sea_area string, dt string"
     ),
-    "points": "vessel_id string, record_time timestamp, point_id bigint, x double, y double, dt string",
     "reach": (
         "vessel_id string, origin struct<record_time: timestamp, point_id: bigint, x: double, y: double>, "
-        "dist double, dt string"
+        "x double, y double, dt string"
     ),
+    "progress": "batch bigint, fixes bigint, first_time timestamp, last_time timestamp, dt string",
 }
 
 
 def read_part(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """All batches of a part; without rows when no batch had any."""
-    return spark.read.schema(f"{SCHEMAS[name]}, batch_id string").parquet(f"{path}/{name}")
+    """All batches of a part, merged or not; without rows when no batch had any."""
+    return generations.read(spark, path, name, SCHEMAS[name])
 
 
 def _replace(df: DataFrame, path: str, name: str, batch_id: int, shuffled: bool = True) -> None:
@@ -63,20 +61,6 @@ def _replace(df: DataFrame, path: str, name: str, batch_id: int, shuffled: bool
     laid_out.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/{name}/batch_id={batch_id:08d}")
 
 
-def _before(spark: SparkSession, path: str, name: str, batch_id: int, days: Row) -> DataFrame | None:
-    """What earlier batches wrote for the days from `low` to `high`, or nothing yet.
-
-    A repeated batch does not see its own first attempt. Both conditions select folders.
-    """
-    try:
-        written = read_part(spark, path, name).where(F.col("batch_id").cast("long") < batch_id)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return written.where(F.col("dt").isNull() | F.col("dt").between(days["low"], days["high"])).drop("batch_id")
-
-
 # --- summaries, one writer per part --------------------------------------------------------------
 
 
@@ -99,40 +83,28 @@ def write_latest(batch: DataFrame, path: str, batch_id: int) -> None:
     _replace(newest.select("vessel_id", "fix.*"), path, "latest", batch_id)
 
 
+def _firsts(points: DataFrame, origin: str) -> DataFrame:
+    return points.groupBy(*X.exprs(*OF_GROUP)).agg(F.expr(f"min({origin}) AS origin"))
+
+
 def write_reach(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Distances of this batch's fixes from the first fix of their vessel-day.
+    """The first fix of each vessel-day of this batch, and the corners of the hull of its fixes.
 
-    A row carries the first fix it was measured from. When a late fix becomes the new first one, the
-    vessel-day's earlier fixes are measured again from it; readers keep the rows of the earliest first fix.
+    Wherever the first fix of all batches turns out to be, the farthest fix from it is such a corner. So a late first fix moves
+    the origin when the summaries are read; nothing written before is read or changed.
     """
     points = batch.where(X.HAS_POINT).select(*GROUP, "record_time", "point_id", "x", "y")
-    _replace(points, path, "points", batch_id, shuffled=False)
-    firsts = points.groupBy(*GROUP).agg(
-        *X.exprs("min(struct(record_time, point_id, x, y)) AS origin", "count(*) AS fixes")
-    )
-    days = points.selectExpr(LOW_HIGH).first()
-    earlier = _before(batch.sparkSession, path, "reach", batch_id, days["days"])
-    if earlier is None:
-        _replace(_measure(points, checkpointed(firsts)), path, "reach", batch_id)
-        return
-    known = earlier.groupBy(*X.exprs(*OF_GROUP)).agg(F.expr("min(origin) AS known"))
-    firsts = firsts.join(known, reach.same_group(firsts, known, GROUP), "left")
-    firsts = firsts.selectExpr(*GROUP, "least(origin, known) AS origin", "fixes", "known")
-    firsts = checkpointed(firsts)
-    measured = _measure(points, firsts)
-    moved = firsts.where("origin < known")
-    found = moved.selectExpr(LOW_HIGH, "count(*) AS n").first()
-    if found["n"]:
-        history = _before(batch.sparkSession, path, "points", batch_id, found["days"])
-        moved, sizes = moved.drop("fixes"), history.groupBy(*X.exprs(*OF_GROUP)).agg(F.expr("count(*) AS fixes"))
-        moved = moved.join(sizes, reach.same_group(moved, sizes, GROUP)).select(*GROUP, "origin", "fixes")
-        measured = measured.unionByName(_measure(history, checkpointed(moved)))
-    _replace(measured, path, "reach", batch_id)
-
-
-def _measure(points: DataFrame, firsts: DataFrame) -> DataFrame:
-    joined = reach.join_origins(points, firsts.select(*GROUP, "origin", "fixes"), GROUP)
-    return joined.groupBy(*GROUP, "origin").agg(F.expr(f"max({reach.AWAY_FROM_ORIGIN}) AS dist"))
+    firsts = _firsts(points, "struct(record_time, point_id, x, y)")
+    rows = hull.corner_points(points, GROUP)
+    rows = rows.join(firsts, reach.same_group(rows, firsts, GROUP)).select(*GROUP, "origin", "x", "y")
+    _replace(rows, path, "reach", batch_id)
+
+
+def write_progress(batch: DataFrame, path: str, batch_id: int) -> None:
+    """One row: what this batch brought."""
+    seen = batch.agg(*X.exprs("count(*) AS fixes", "min(record_time) AS first_time", "max(record_time) AS last_time"))
+    rows = seen.select(F.lit(batch_id).cast("bigint").alias("batch"), "*", F.lit(None).cast("string").alias("dt"))
+    _replace(rows, path, "progress", batch_id, shuffled=False)
 
 
 PARTS: dict[str, Callable[[DataFrame, str, int], None]] = {
@@ -141,16 +113,65 @@ PARTS: dict[str, Callable[[DataFrame, str, int], None]] = {
     "violations": write_violations,
     "latest": write_latest,
     "reach": write_reach,
+    "progress": write_progress,
+}
+
+
+# --- merging of what several batches wrote for a day -----------------------------------------------
+
+
+def merge_activity(rows: DataFrame) -> DataFrame:
+    sums = ("fixes", "speeds", "speed_sum", "slow_fixes", "slow_points", "slow_x_sum", "slow_y_sum")
+    ends = ("min(speed_min) AS speed_min", "max(speed_max) AS speed_max", "min(first_time) AS first_time", "max(last_time) AS last_time")
+    keys = ("dt", "hour", "text_hour", "vessel_id", "operation_type", "sea_area")
+    return rows.groupBy(*keys).agg(*X.exprs(*[f"sum({c}) AS {c}" for c in sums], *ends))
+
+
+def merge_grid(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("dt", "sea_area", "grid_x", "grid_y", "vessel_id").agg(F.expr("sum(fixes) AS fixes"))
+
+
+def merge_latest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("dt", "vessel_id").agg(F.expr(f"{NEWEST} AS fix")).select("vessel_id", "fix.*")
+
+
+def merge_reach(rows: DataFrame) -> DataFrame:
+    firsts, points = _firsts(rows, "origin"), hull.corner_points(rows, GROUP)
+    return points.join(firsts, reach.same_group(points, firsts, GROUP)).select(*GROUP, "origin", "x", "y")
+
+
+def as_they_are(rows: DataFrame) -> DataFrame:
+    return rows
+
+
+MERGES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "activity": merge_activity,
+    "grid": merge_grid,
+    "violations": as_they_are,
+    "latest": merge_latest,
+    "reach": merge_reach,
+    "progress": as_they_are,
 }
 
 
+def merge_part(spark: SparkSession, path: str, name: str, upto: int) -> int:
+    """Bring the days that batches up to `upto` touched to one generation each; see `generations`."""
+    return generations.merge(spark, path, name, SCHEMAS[name], upto, MERGES[name])
+
+
 def maintain(
-    stream: DataFrame, path: str, parts: Sequence[str] = tuple(PARTS), trigger: dict | None = None, cache: bool = False
+    stream: DataFrame,
+    path: str,
+    parts: Sequence[str] = tuple(PARTS),
+    trigger: dict | None = None,
+    cache: bool = False,
+    merge_every: int | None = None,
 ) -> StreamingQuery:
     """Start keeping the named summaries under `path`, or go on where an earlier query on it stopped.
 
     A file source is read once per part, each time only the columns the part needs. For a source that is
-    costly to read again, `cache` keeps the batch while its parts are written.
+    costly to read again, `cache` keeps the batch while its parts are written. After every `merge_every` batches
+    the days they touched are merged, so that a day has few files however many batches bring fixes of it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -160,6 +181,9 @@ def maintain(
             PARTS[part](batch, path, batch_id)
         if cache:
             batch.unpersist()
+        if merge_every and (batch_id + 1) % merge_every == 0:
+            for part in parts:
+                merge_part(batch.sparkSession, path, part, batch_id)
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -189,9 +213,16 @@ def keep_latest(stream: DataFrame, path: str, trigger: dict | None = None) -> St
 
 
 def vessel_day_range(reach_rows: DataFrame) -> DataFrame:
-    """Per vessel-day: among rows of the earliest first fix, the largest distance."""
-    best = reach_rows.groupBy(*GROUP).agg(F.expr("min(struct(origin, -dist AS nearness)) AS best"))
-    return best.selectExpr(*GROUP, "-best.nearness AS dist")
+    """Per vessel-day: the largest distance of a corner from the earliest first fix of all batches."""
+    corners, firsts = reach_rows.select(*GROUP, "x", "y"), _firsts(reach_rows, "origin")
+    joined = corners.join(firsts, reach.same_group(corners, firsts, GROUP))
+    return joined.groupBy(*GROUP).agg(F.expr(f"max({reach.AWAY_FROM_ORIGIN}) AS dist"))
+
+
+def progress(rows: DataFrame) -> DataFrame:
+    """One row per batch: its fixes, and those of all batches up to it. There are as many rows as batches."""
+    upto = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.select("batch", "fixes", F.sum("fixes").over(upto).alias("current"), "first_time", "last_time")
 
 
 def range_vessel_day(reach_rows: DataFrame, k: int = 20) -> DataFrame:
