@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 
 from fleetlens.operators import alerts, reach
 from fleetlens.plans import rollup as R
+from fleetlens.session import together
 
 RESULT_NAMES = tuple(f"ads_result{number:03d}" for number in range(1, 11))
 
@@ -42,7 +40,7 @@ def build_summaries(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
         laid_out = frames[name].hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt")
         laid_out.option("partitionOverwriteMode", "dynamic").parquet(f"{path}/{name}")
 
-    _together(write, frames)
+    together(write, frames)
     read = {name: df.sparkSession.read.schema(f.schema).parquet(f"{path}/{name}") for name, f in frames.items()}
     return read["activity"], read["grid"]
 
@@ -56,13 +54,7 @@ def write_results(results: dict[str, DataFrame], path: str) -> None:
     def write(name: str) -> None:
         results[name].write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
 
-    _together(write, results)
-
-
-def _together(action: Callable[[str], None], names: Iterable[str]) -> None:
-    """Submit independent Spark jobs at the same time; the first failure is raised."""
-    with ThreadPoolExecutor(max_workers=len(RESULT_NAMES)) as pool:
-        list(pool.map(action, names))
+    together(write, results)
 
 
 def run_offline(df: DataFrame, path: str) -> dict[str, DataFrame]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def together(action: Callable[[str], None], names: Iterable[str]) -> None:
+    """Submit independent Spark jobs at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=10) as pool:
+        list(pool.map(action, names))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder, where it outlives the executors that computed it."""
     shared_dir(df.sparkSession)

@@ -35,10 +35,10 @@ def manifest(spark: SparkSession, path: str, part: str) -> tuple[int, dict[str |
     stored = _found(lambda: spark.read.schema(MANIFEST).parquet(f"{path}/_merged/{part}"))
     if stored is None:
         return -1, {}
-    version = stored.agg(F.max("v")).first()[0]
-    if version is None:
-        return -1, {}
-    return version, {row.dt: row.gen for row in stored.where(F.col("v") == version).collect()}
+    # At most two versions are there.
+    rows = stored.collect()
+    version = max((row.v for row in rows), default=-1)
+    return version, {row.dt: row.gen for row in rows if row.v == version}
 
 
 def _days_of(generations: dict[str | None, int], test: Callable[[int], Column]) -> Column:
@@ -56,7 +56,10 @@ def _days_of(generations: dict[str | None, int], test: Callable[[int], Column])
 
 def read(spark: SparkSession, path: str, part: str, schema: str) -> DataFrame:
     """All rows of a part: merged generations, and the batches after them. `batch_id` is the batch, or the generation's last."""
-    _, generations = manifest(spark, path, part)
+    return _read(spark, path, part, schema, manifest(spark, path, part)[1])
+
+
+def _read(spark: SparkSession, path: str, part: str, schema: str, generations: dict[str | None, int]) -> DataFrame:
     number = F.col("batch_id").cast("long")
     batches = _found(lambda: spark.read.schema(f"{schema}, batch_id string").parquet(f"{path}/{part}"))
     later = None if batches is None else batches.where(~_days_of(generations, lambda gen: number <= gen))
@@ -81,7 +84,7 @@ def merge(spark: SparkSession, path: str, part: str, schema: str, upto: int, mer
     if not touched:
         return 0
     chosen = _days_of({dt: 0 for dt in touched}, lambda _: F.lit(True))
-    rows = read(spark, path, part, schema).where((number <= upto) & chosen).drop("batch_id")
+    rows = _read(spark, path, part, schema, generations).where((number <= upto) & chosen).drop("batch_id")
     merged(rows).hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{path}/_base/{part}/gen={upto:08d}")
     switched = [(dt, gen) for dt, gen in {**generations, **{dt: upto for dt in touched}}.items()]
     rows = spark.createDataFrame(switched, "dt string, gen bigint").coalesce(1)

@@ -18,6 +18,7 @@ from fleetlens.functions import expressions as X
 from fleetlens.operators import alerts, hull, monitor, reach
 from fleetlens.operators.filters import current_day, last
 from fleetlens.plans import rollup as R
+from fleetlens.session import together
 from fleetlens.streaming import generations
 
 GROUP = ("vessel_id", "dt")
@@ -177,13 +178,11 @@ def maintain(
     def write(batch: DataFrame, batch_id: int) -> None:
         if cache:
             batch.persist()
-        for part in parts:
-            PARTS[part](batch, path, batch_id)
+        together(lambda part: PARTS[part](batch, path, batch_id), parts)
         if cache:
             batch.unpersist()
         if merge_every and (batch_id + 1) % merge_every == 0:
-            for part in parts:
-                merge_part(batch.sparkSession, path, part, batch_id)
+            together(lambda part: merge_part(batch.sparkSession, path, part, batch_id), parts)
 
     return (
         stream.writeStream.foreachBatch(write)
