@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens import schema as S
 from fleetlens.functions import expressions as X
 from fleetlens.operators.filters import current_day, last
 
@@ -38,3 +39,23 @@ def grid_density_pivot(df: DataFrame) -> DataFrame:
     )
     counted = cells.where("grid_x IS NOT NULL AND grid_y IS NOT NULL").groupBy("sea_area", "grid_y", "grid_x")
     return counted.agg(F.expr("count(DISTINCT vessel_id) AS density"))
+
+
+# Columns of the matrix that one row holds at most.
+MATRIX_COLUMNS = 1024
+
+
+def grid_density_matrix(df: DataFrame, columns: int = MATRIX_COLUMNS) -> DataFrame:
+    """Per area, the whole matrix: rows are all `grid_y` of the area, columns all its `grid_x`, cells without vessels are 0.
+
+    One row per matrix row and block of columns, as two arrays: the columns of the block, in order, and their densities. A block
+    spans `columns` grid lines, so that no row grows with the spread of the coordinates.
+    """
+    width = int(S.GRID_KM) * columns
+    cells = grid_density_pivot(df).withColumn("block", F.expr(f"CAST(floor(grid_x / {width}D) AS INT)"))
+    axis = cells.groupBy("sea_area", "block").agg(F.sort_array(F.collect_set("grid_x")).alias("xs"))
+    rows = cells.select("sea_area", "grid_y").distinct()
+    filled = cells.groupBy("sea_area", "grid_y", "block").agg(F.map_from_entries(F.collect_list(F.struct("grid_x", "density"))).alias("held"))
+    # Every row of an area has every block of that area.
+    whole = rows.join(axis, "sea_area").join(filled, ["sea_area", "grid_y", "block"], "left")
+    return whole.selectExpr("sea_area", "grid_y", "xs AS grid_xs", "transform(xs, x -> coalesce(try_element_at(held, x), 0L)) AS densities")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions import expressions as X
@@ -112,3 +112,29 @@ def label_ranges(ranges: DataFrame, k: int = 20, *further: str) -> DataFrame:
 
 def range_vessel_day(df: DataFrame, k: int = 20, *further: str, **options: int) -> DataFrame:
     return label_ranges(vessel_day_range(df, **options), k, *further)
+
+
+# --- running form --------------------------------------------------------------------------------
+
+
+def running_range(df: DataFrame, **options: int) -> DataFrame:
+    """Per fix with coordinates: the largest distance from the day's first fix so far, in order of time and id.
+
+    A window per vessel-day would hold all its fixes in one task. Instead the fixes are sorted over all tasks, so that a vessel-day
+    with many fixes lies in several of them; each such block's maximum is carried on to the blocks after it, and the running
+    maximum is taken inside the blocks alone.
+    """
+    keys = ("vessel_id", "day")
+    points = df.where(X.HAS_POINT).withColumn("day", F.expr(X.DAY)).select(*keys, "record_time", "point_id", "x", "y")
+    measured = join_origins(points, stored(first_fixes(points, keys), "first-fixes"), keys, **options)
+    away = measured.select(*keys, "record_time", "point_id", F.expr(f"{AWAY_FROM_ORIGIN} AS dist"))
+    sorted_ = away.repartitionByRange(*keys, "record_time", "point_id")
+    blocks = stored(sorted_.withColumn("block", F.spark_partition_id()), "blocks")
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.groupBy(*keys, "block").agg(F.max("dist").alias("dist"))
+    carried = carried.withColumn("carried", F.max("dist").over(before)).where("carried IS NOT NULL")
+    carried = _renamed(carried, (*keys, "block"), "carried")
+    joined = blocks.join(carried, same_group(blocks, carried, (*keys, "block")), "left")
+    upto = Window.partitionBy(*keys, "block").orderBy("record_time", "point_id").rowsBetween(Window.unboundedPreceding, 0)
+    running = F.greatest(F.max("dist").over(upto), F.col("carried"))
+    return joined.select("vessel_id", F.col("day").cast("string").alias("day"), "record_time", "point_id", running.alias("running_dist"))

@@ -173,6 +173,53 @@ def _entry(result: str, label: str, value: str, source: str) -> str:
     return f"SELECT '{result}' AS result, {label} AS label, CAST({value} AS DOUBLE) AS value FROM {source}"
 
 
+# Rows of each result.
+_AUDIT = f""", c AS (SELECT
+        (SELECT count(*) FROM (SELECT DISTINCT sea_area, {_GX}, {_GY} FROM t WHERE {_VALID})) AS r1,
+        (SELECT count(*) FROM (SELECT DISTINCT operation_type FROM t)) AS r2,
+        (SELECT count(*) FROM (SELECT DISTINCT hour(record_time) FROM t)) AS r3,
+        (SELECT count(*) FROM (SELECT DISTINCT vessel_id, dt FROM t)) AS r4,
+        (SELECT count(DISTINCT vessel_id) FROM t) AS r5,
+        (SELECT count(*) FROM (SELECT DISTINCT operation_type FROM t)) AS r6,
+        (SELECT count(DISTINCT dt) FROM t) AS r7,
+        (SELECT count(DISTINCT vessel_id) FROM t WHERE {_VALID}) AS r8,
+        (SELECT count(*) FROM (SELECT 1 FROM t WHERE speed < 3 AND {_LOCATED}
+           GROUP BY vessel_id, coalesce(sea_area, '未知') HAVING count(*) >= 2)) AS r9,
+        (SELECT count(*) FROM t WHERE {_VALID} AND {_OUTSIDE}) AS r10)"""
+_RESULTS = "[" + ", ".join(f"'ads_result{k:03d}'" for k in range(1, 11)) + "]"
+
+
+def _values(result: int, source: str, label: list[str], *measures: str) -> str:
+    """Measures of a result as rows."""
+    text = " || '|' || ".join(f"coalesce(CAST({column} AS VARCHAR), 'NULL')" for column in label)
+    return " UNION ALL ".join(
+        f"SELECT 'ads_result{result:03d}' AS result, {text} AS label, '{m}' AS measure, {_r(m, 4)} AS value FROM ({source})"
+        for m in measures
+    )
+
+
+_VALUES = f"{_T}{_VESSEL_DAYS}{_ranges('vessel_id', _VALID)} " + " UNION ALL ".join(
+    [
+        _values(1, f"SELECT sea_area, {_GX} AS gx, {_GY} AS gy, count(DISTINCT vessel_id) AS density FROM t WHERE {_VALID} GROUP BY 1, 2, 3",
+                ["sea_area", "gx", "gy"], "density"),
+        _values(2, "SELECT operation_type, count(DISTINCT vessel_id) AS cnt FROM t GROUP BY 1", ["operation_type"], "cnt"),
+        _values(3, "SELECT hour(record_time) AS h, count(*) AS cnt FROM t GROUP BY 1", ["h"], "cnt"),
+        _values(4, "SELECT vessel_id, dt, seconds / CAST(3600 AS DOUBLE) AS work_hours FROM vd", ["vessel_id", "dt"], "work_hours"),
+        _values(5, "SELECT vessel_id, count(DISTINCT dt) AS days_at_sea FROM t GROUP BY 1", ["vessel_id"], "days_at_sea"),
+        _values(6, f"""SELECT operation_type, {_r("avg(speed)", 2)} AS avg_speed, {_r("max(speed)", 2)} AS max_speed,
+                {_r("min(speed)", 2)} AS min_speed, count(*) AS cnt FROM t GROUP BY 1""", ["operation_type"], "avg_speed", "max_speed", "min_speed", "cnt"),
+        _values(7, "SELECT dt, count(*) AS cnt FROM t GROUP BY 1", ["dt"], "cnt"),
+        _values(8, f"SELECT vessel_id, {_r('dist', 2)} AS max_dist FROM rng", ["vessel_id"], "max_dist"),
+        _values(9, f"""SELECT vessel_id, '' AS s, count(*) AS duration_hrs, avg(x) AS coord_x, avg(y) AS coord_y FROM t
+                WHERE speed < 3 AND {_LOCATED} GROUP BY vessel_id, coalesce(sea_area, '未知') HAVING count(*) >= 2""",
+                ["vessel_id", "s", "s"], "duration_hrs", "coord_x", "coord_y"),
+        _values(10, f"SELECT vessel_id, sea_area, {_TIME} AS ts, x AS coord_x, y AS coord_y FROM t WHERE {_VALID} AND {_OUTSIDE}",
+                ["vessel_id", "sea_area", "ts"], "coord_x", "coord_y"),
+    ]
+)
+
+_DISTINCT = f"count(DISTINCT vessel_id) AS vessels, count(DISTINCT CASE WHEN {_VALID} THEN {_GX} * 100000 + {_GY} END) AS cells"
+
 ORACLES: dict[str, str] = {
     "raw_scan": f"""{_T} SELECT vessel_id, CAST(x AS VARCHAR) AS x, CAST(y AS VARCHAR) AS y, CAST(speed AS VARCHAR) AS speed,
       CAST(direction AS VARCHAR) AS direction, {_TIME} AS record_time, operation_type, sea_area FROM f""",
@@ -181,25 +228,13 @@ ORACLES: dict[str, str] = {
     "clean_csv_scan": f"""{_T} SELECT vessel_id, x, y, round(CAST(CAST(speed AS FLOAT) AS DOUBLE), 4) AS speed,
       direction, {_TIME} AS record_time, operation_type, sea_area, dt FROM t""",
     "catalog_tables": f"""{_T} SELECT 'ais_trajectory_raw' AS table_name, count(*) AS row_count FROM f
-      UNION ALL SELECT 'ais_trajectory_cleaned', count(*) FROM t""",
+      UNION ALL SELECT 'ais_trajectory_cleaned', count(*) FROM t
+      UNION ALL SELECT * FROM (WITH {_AUDIT.lstrip(", ")} SELECT unnest({_RESULTS}), unnest([r1, r2, r3, r4, r5, r6, r7, r8, r9, r10]) FROM c)""",
     "etl_clean": f"""{_T} SELECT vessel_id, x, y, round(CAST(CAST(speed AS FLOAT) AS DOUBLE), 4) AS speed,
       direction, {_TIME} AS record_time, operation_type, sea_area, point_id, {_TIME} AS event_time, dt FROM t""",
     "etl_partition_write": f"""{_T} SELECT dt, count(*) AS row_count, count(DISTINCT vessel_id) AS vessels FROM t GROUP BY dt""",
-    "ads_sink": f"""{_T}, c AS (SELECT
-        (SELECT count(*) FROM (SELECT DISTINCT sea_area, {_GX}, {_GY} FROM t WHERE {_VALID})) AS r1,
-        (SELECT count(*) FROM (SELECT DISTINCT operation_type FROM t)) AS r2,
-        (SELECT count(*) FROM (SELECT DISTINCT hour(record_time) FROM t)) AS r3,
-        (SELECT count(*) FROM (SELECT DISTINCT vessel_id, dt FROM t)) AS r4,
-        (SELECT count(DISTINCT vessel_id) FROM t) AS r5,
-        (SELECT count(*) FROM (SELECT DISTINCT operation_type FROM t)) AS r6,
-        (SELECT count(DISTINCT dt) FROM t) AS r7,
-        (SELECT count(DISTINCT vessel_id) FROM t WHERE {_VALID}) AS r8,
-        (SELECT count(*) FROM (SELECT 1 FROM t WHERE speed < 3 AND {_LOCATED}
-           GROUP BY vessel_id, coalesce(sea_area, '未知') HAVING count(*) >= 2)) AS r9,
-        (SELECT count(*) FROM t WHERE {_VALID} AND {_OUTSIDE}) AS r10)
-      SELECT unnest(['ads_result001','ads_result002','ads_result003','ads_result004','ads_result005','ads_result006',
-        'ads_result007','ads_result008','ads_result009','ads_result010']) AS result,
-        unnest([r1, r2, r3, r4, r5, r6, r7, r8, r9, r10]) AS row_count FROM c""",
+    "ads_audit": f"""{_T}{_AUDIT} SELECT unnest({_RESULTS}) AS result, unnest([r1, r2, r3, r4, r5, r6, r7, r8, r9, r10]) AS row_count FROM c""",
+    "ads_sink": _VALUES,
     "ordered_extract": f"{_T} SELECT {_ROW} FROM t ORDER BY t.record_time, point_id",
     "load_audit": f"""{_T} SELECT count(*) AS row_count, {_text("min(record_time)")} AS first_time,
       {_text("max(record_time)")} AS last_time FROM t""",
@@ -249,6 +284,20 @@ ORACLES: dict[str, str] = {
     "grid_density_pivot": f"""{_T}, c AS (SELECT sea_area, {_GX} * 10 AS gx, {_GY} * 10 AS grid_y, vessel_id FROM t
         WHERE {_LOCATED} AND sea_area IS NOT NULL)
       SELECT sea_area, grid_y, gx AS grid_x, count(DISTINCT vessel_id) AS density FROM c GROUP BY 1, 2, 3""",
+    "grid_density_matrix": f"""{_T}, c AS (SELECT sea_area, {_GX} * 10 AS gx, {_GY} * 10 AS gy, vessel_id FROM t
+        WHERE {_LOCATED} AND sea_area IS NOT NULL),
+      d AS (SELECT sea_area, gy, gx, count(DISTINCT vessel_id) AS density FROM c GROUP BY 1, 2, 3),
+      w AS (SELECT * FROM (SELECT DISTINCT sea_area, gy FROM c) JOIN (SELECT DISTINCT sea_area, gx FROM c) USING (sea_area))
+      SELECT w.sea_area, w.gy AS grid_y, w.gx AS grid_x, coalesce(density, 0) AS density
+      FROM w LEFT JOIN d ON d.sea_area = w.sea_area AND d.gy = w.gy AND d.gx = w.gx""",
+    "running_range": f"""{_T}, o AS (SELECT *, first_value(x) OVER v AS x0, first_value(y) OVER v AS y0 FROM t WHERE {_LOCATED}
+        WINDOW v AS (PARTITION BY vessel_id, dt ORDER BY record_time, point_id))
+      SELECT vessel_id, dt AS day, {_TIME} AS record_time, point_id,
+        round(max(sqrt((x - x0) * (x - x0) + (y - y0) * (y - y0))) OVER (
+          PARTITION BY vessel_id, dt ORDER BY o.record_time, point_id ROWS UNBOUNDED PRECEDING), 6) AS running_dist FROM o""",
+    "distinct_by_month": f"{_T} SELECT substr(dt, 1, 7) AS month, {_DISTINCT} FROM t GROUP BY 1",
+    "distinct_of_weeks": f"""{_T} SELECT CAST(1 + 7 * ((day(record_time) - 1) // 7) AS INTEGER) AS first_day, {_DISTINCT} FROM t
+      WHERE day(record_time) <= 28 GROUP BY 1""",
     "grid_density_scaled": f"""{_T}, d AS (SELECT sea_area, {_GX} AS grid_x, {_GY} AS grid_y,
         count(DISTINCT vessel_id) AS density FROM t WHERE {_VALID} GROUP BY 1, 2, 3)
       SELECT *, max(density) OVER () AS scale_max FROM d""",

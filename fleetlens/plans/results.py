@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from fleetlens import schema as S
 from fleetlens.operators import alerts, reach
 from fleetlens.plans import rollup as R
 from fleetlens.session import together
+from fleetlens.sources import catalog
 
-RESULT_NAMES = tuple(f"ads_result{number:03d}" for number in range(1, 11))
+RESULT_NAMES = tuple(S.RESULT_TABLES)
 
 
 def ten_results(df: DataFrame, activity: DataFrame, grid: DataFrame) -> dict[str, DataFrame]:
@@ -76,3 +78,35 @@ def sink_audit(written: dict[str, DataFrame]) -> DataFrame:
     for count in counts[1:]:
         audit = audit.unionAll(count)
     return audit
+
+
+def publish(df: DataFrame, database: str, location: str) -> None:
+    """Replace the declared result tables with the ten results of the days in `df` and those summarised before under `location`."""
+    spark = df.sparkSession
+    catalog.create_result_tables(spark, database, location)
+    results = ten_results(df, *build_summaries(df, f"{location}/summary"))
+    together(lambda name: catalog.replace_result(spark, database, location, name, results[name]), results)
+
+
+# What identifies a row of each result; the other columns are its measures.
+LABELS = {
+    "ads_result001": ("sea_area", "grid_x", "grid_y"), "ads_result002": ("op_type",), "ads_result003": ("hour_val",),
+    "ads_result004": ("vessel_id", "work_date"), "ads_result005": ("vessel_id",), "ads_result006": ("op_type",),
+    "ads_result007": ("work_date",), "ads_result008": ("vessel_id",), "ads_result009": ("vessel_id", "start_time", "end_time"),
+    "ads_result010": ("vessel_id", "sea_area", "ts"),
+}
+
+
+def published_values(spark: SparkSession, database: str) -> DataFrame:
+    """All measures of the declared result tables: (result, label, measure, value), with NULL and empty labels told apart."""
+    frames = []
+    for name, keys in LABELS.items():
+        table = spark.table(f"{database}.{name}")
+        label = "concat_ws('|', " + ", ".join(f"coalesce(CAST({k} AS STRING), 'NULL')" for k in keys) + ")"
+        pairs = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in table.columns if c not in keys)
+        count = len(table.columns) - len(keys)
+        frames.append(table.selectExpr(f"'{name}' AS result", f"{label} AS label", f"stack({count}, {pairs}) AS (measure, value)"))
+    values = frames[0]
+    for frame in frames[1:]:
+        values = values.unionAll(frame)
+    return values

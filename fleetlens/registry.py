@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens import session
 from fleetlens.functions import expressions as X
 from fleetlens.operators import activity, alerts, density, duration, filters, gear, monitor, reach
-from fleetlens.plans import etl, payloads, results
+from fleetlens.plans import distinct, etl, payloads, results
 from fleetlens.plans import rollup as R
 from fleetlens.plans.today import Today
 from fleetlens.sources import catalog, cleaned, days, events, raw
@@ -19,6 +19,7 @@ from fleetlens.streaming import replay, views, windows
 Query = Callable[[SparkSession, str], DataFrame]
 
 DATABASE = "fleet"
+RESULTS = "fleet_results"
 
 
 def _as_text(df: DataFrame) -> DataFrame:
@@ -113,15 +114,24 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog.create_tables(spark, DATABASE, location, raw_path=_landed(spark, sf_dir))
     table = f"{DATABASE}.{catalog.CLEANED_TABLE}"
     etl.insert_cleaned(etl.clean(spark.table(f"{DATABASE}.{catalog.RAW_TABLE}")), table)
+    results.publish(cleaned.as_trajectory(spark.table(table)), DATABASE, session.scratch_path(spark, "published"))
     listed = catalog.list_tables(spark, DATABASE).select(F.col("tableName").alias("table_name"))
     counts = [
         spark.table(f"{DATABASE}.{name}").agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
-        for name in (catalog.RAW_TABLE, catalog.CLEANED_TABLE)
+        for name in (catalog.RAW_TABLE, catalog.CLEANED_TABLE, *results.RESULT_NAMES)
     ]
-    return listed.join(counts[0].unionAll(counts[1]), "table_name")
+    return listed.join(_stacked(counts), "table_name")
 
 
 def ads_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All values of the ten declared result tables, read back."""
+    location = session.scratch_path(spark, "published")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {RESULTS} LOCATION '{location}/database'")
+    results.publish(events.trajectories(spark, sf_dir), RESULTS, location)
+    return results.published_values(spark, RESULTS).withColumn("value", F.expr(X.half_up("value", 4)))
+
+
+def ads_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = session.scratch_path(spark, "results")
     return results.sink_audit(results.run_offline(events.trajectories(spark, sf_dir), path))
 
@@ -302,6 +312,26 @@ def stream_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed.unionAll(late.selectExpr("'late' AS kind", "day", "fixes"))
 
 
+def distinct_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months from day bitmaps that were written in two runs, the second with vessels and cells the first did not know."""
+    return distinct.counts_by_month(_bitmaps(spark, sf_dir))
+
+
+def distinct_of_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same bitmaps merged over other sets of days."""
+    bits = _bitmaps(spark, sf_dir)
+    weeks = [distinct.counts(bits.where(f"day(dt) BETWEEN {a} AND {a + 6}")).withColumn("first_day", F.lit(a)) for a in (1, 8, 15, 22)]
+    return _stacked(weeks)
+
+
+def _bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = session.scratch_path(spark, "distinct")
+    fixes = events.trajectories(spark, sf_dir)
+    for rows in (fixes.where("day(record_time) <= 12"), fixes.where("day(record_time) > 12")):
+        distinct.write(rows, path)
+    return distinct.read_bitmaps(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "raw_scan": _configured(raw_scan),
@@ -311,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "etl_clean": _configured(etl_clean),
     "etl_partition_write": _configured(etl_partition_write),
     "ads_sink": _configured(ads_sink),
+    "ads_audit": _configured(ads_audit),
     "ordered_extract": _over_trajectories(cleaned.ordered_extract, six_digits=("x", "y", "speed")),
     "load_audit": _over_trajectories(cleaned.load_audit),
     "payload_rows": _over_trajectories(lambda df: payloads.tagged(payloads.row_payloads(df))),
@@ -327,6 +358,9 @@ QUERIES: dict[str, Query] = {
     "grid_density": _over_trajectories(density.grid_density),
     "grid_density_today": _over_trajectories(density.grid_density_today),
     "grid_density_pivot": _over_trajectories(density.grid_density_pivot),
+    "grid_density_matrix": _over_trajectories(
+        lambda df: density.grid_density_matrix(df, 4).selectExpr("sea_area", "grid_y", "inline(arrays_zip(grid_xs, densities)) AS (grid_x, density)")
+    ),
     "grid_density_scaled": _over_trajectories(lambda df: density.with_scale(density.grid_density(df), "density")),
     # gear and speed
     "vessels_by_gear": _over_trajectories(gear.vessels_by_gear),
@@ -379,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "max_range": _over_trajectories(reach.max_range),
     "max_range_daily": _over_trajectories(reach.max_range_daily, six_digits=("max_dist",)),
     "top20_range": _over_trajectories(reach.top_range, six_digits=("max_dist",)),
+    "running_range": _over_trajectories(reach.running_range, six_digits=("running_dist",)),
     "range_vessel_day": _over_trajectories(reach.range_vessel_day),
     # alerts
     "abnormal_stop": _over_trajectories(alerts.abnormal_stop, six_digits=("avg_x", "avg_y")),
@@ -418,6 +453,8 @@ QUERIES: dict[str, Query] = {
         ),
         six_digits=("speed_sum", "speed_min", "speed_max", "slow_x_sum", "slow_y_sum"),
     ),
+    "distinct_by_month": _configured(distinct_by_month),
+    "distinct_of_weeks": _configured(distinct_of_weeks),
     "grid_rollup": _over_trajectories(R.grid_rollup),
     # streams
     "stream_replay": _configured(stream_replay),

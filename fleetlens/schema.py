@@ -43,6 +43,20 @@ TRAJECTORY_COLUMNS = (
     "dt",
 )
 
+# The ten result tables of the warehouse.
+RESULT_TABLES = {
+    "ads_result001": "sea_area STRING, grid_x INT, grid_y INT, density BIGINT",
+    "ads_result002": "op_type STRING, cnt BIGINT",
+    "ads_result003": "hour_val INT, cnt BIGINT",
+    "ads_result004": "vessel_id STRING, work_date STRING, work_hours DOUBLE",
+    "ads_result005": "vessel_id STRING, days_at_sea BIGINT",
+    "ads_result006": "op_type STRING, avg_speed DOUBLE, max_speed DOUBLE, min_speed DOUBLE, cnt BIGINT",
+    "ads_result007": "work_date STRING, cnt BIGINT",
+    "ads_result008": "vessel_id STRING, max_dist DOUBLE",
+    "ads_result009": "vessel_id STRING, start_time STRING, end_time STRING, duration_hrs DOUBLE, coord_x DOUBLE, coord_y DOUBLE",
+    "ads_result010": "vessel_id STRING, sea_area STRING, coord_x DOUBLE, coord_y DOUBLE, ts STRING",
+}
+
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
