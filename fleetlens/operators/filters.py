@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from fleetlens.functions import expressions as X
 
-# Groups of equal times up to this size are cut with a top-k; larger ones are narrowed down first.
-TIE_ROWS = 1_000_000
+# Ranges of ids that are counted at a time, where equal times are cut.
+ID_RANGES = 4096
 
 
 def valid_points(df: DataFrame) -> DataFrame:
@@ -59,25 +62,34 @@ def replay_prefix(df: DataFrame, n: int) -> DataFrame:
     return cut_prefix(df, n)
 
 
-def cut_prefix(df: DataFrame, n: int, tie_rows: int = TIE_ROWS) -> DataFrame:
+def cut_prefix(df: DataFrame, n: int, ranges: int = ID_RANGES) -> DataFrame:
     """Find the last row's time by counts per day, then per second inside one day.
 
     Each running total is over a table whose length the calendar bounds, whatever the number of fixes.
     """
     time = F.col("record_time")
-    cut = _first_reaching(df.groupBy(F.to_date(time).alias("step")).count(), n)
+
+    def seconds(date: date) -> DataFrame:
+        return df.where(F.to_date(time) == F.lit(date)).groupBy(time.alias("step")).count()
+
+    return cut_by_counts(df, n, df.groupBy(F.to_date(time).alias("step")).count(), seconds, ranges)
+
+
+def cut_by_counts(df: DataFrame, n: int, days: DataFrame, seconds: Callable[[date], DataFrame], ranges: int = ID_RANGES) -> DataFrame:
+    """The same, given the (step, count) of every date, NULL being that of rows without a time, and of the seconds of a date."""
+    time = F.col("record_time")
+    cut = _first_reaching(days, n)
     if cut is None:
         return df
-    date, needed, _ = cut
-    if date is None:
-        return _smallest_ids(df.where(time.isNull()), needed, tie_rows)
-    seconds = df.where(F.to_date(time) == F.lit(date)).groupBy(time.alias("step")).count()
-    second, needed, size = _first_reaching(seconds, needed)
+    day, needed, _ = cut
+    if day is None:
+        return _smallest_ids(df.where(time.isNull()), needed, ranges)
+    second, needed, size = _first_reaching(seconds(day), needed)
     # NULL times sort first, so they belong to every prefix that reaches a real time.
     if needed == size:
         return df.where(time.isNull() | (time <= F.lit(second)))
     before = df.where(time.isNull() | (time < F.lit(second)))
-    return before.unionAll(_smallest_ids(df.where(time == F.lit(second)), needed, tie_rows))
+    return before.unionAll(_smallest_ids(df.where(time == F.lit(second)), needed, ranges))
 
 
 def _first_reaching(counts: DataFrame, n: int):
@@ -89,23 +101,21 @@ def _first_reaching(counts: DataFrame, n: int):
     return None if row is None else (row["step"], n - (row["total"] - row["count"]), row["count"])
 
 
-def _smallest_ids(ties: DataFrame, n: int, tie_rows: int) -> DataFrame:
+def _smallest_ids(ties: DataFrame, n: int, ranges: int) -> DataFrame:
     """The `n` rows with the smallest ids among rows of equal time.
 
-    Ids are unique, so halving the id range a few thousandfold per step isolates the n-th id in a range
-    small enough for a top-k, however many rows share the time.
+    The range of ids in which the n-th lies is cut into `ranges` again and again, until it ends with that row or is a single id. The
+    result is a filter; rows of equal time and id cannot be told apart, and of these any will do.
     """
     low, high, size = ties.agg(F.min("point_id"), F.max("point_id"), F.count("*")).first()
-    if size <= n:
-        return ties
-    base, needed, steps = low, n, 4096
-    while size > tie_rows and high > low:
-        width = (high - low) // steps + 1
+    needed = n
+    while size > needed and high > low:
+        width = (high - low) // ranges + 1
         span = ties.where((F.col("point_id") >= low) & (F.col("point_id") <= high))
         slot = F.expr(f"(point_id - {low}L) div {width}L").alias("step")
         number, needed, size = _first_reaching(span.groupBy(slot).count(), needed)
         low = low + number * width
         high = min(high, low + width - 1)
-    below = ties.where((F.col("point_id") >= base) & (F.col("point_id") < low))
-    inside = ties.where((F.col("point_id") >= low) & (F.col("point_id") <= high))
-    return below.unionAll(inside.orderBy("point_id").limit(needed))
+    if size <= needed:
+        return ties.where(F.col("point_id") <= high) if size else ties
+    return ties.where(F.col("point_id") < low).unionAll(ties.where(F.col("point_id") == low).limit(needed))

@@ -400,6 +400,13 @@ ORACLES: dict[str, str] = {
         round(least(100, greatest(0, (y - y0) / dy * 100)), 6) AS top_pct FROM p, d""",
     "day_index": f"""{_T} SELECT dt, count(*) AS fixes, {_text("min(record_time)")} AS first_time,
       {_text("max(record_time)")} AS last_time FROM t GROUP BY 1""",
+    "table_prefix": f"""{_T}, n AS (SELECT *, row_number() OVER (ORDER BY record_time, point_id) AS rn FROM t)
+      SELECT point_id, vessel_id, {_r6("x", "y")}, round(CAST(CAST(speed AS FLOAT) AS DOUBLE), 4) AS speed, direction,
+        {_TIME} AS record_time, operation_type, sea_area, dt FROM n WHERE rn <= (SELECT count(*) // 2 FROM t)""",
+    "table_top20_vessels_prefix": f"{_PREFIX}{_TOP20} SELECT * FROM top20",
+    "table_last7_days_prefix": f"{_PREFIX}{_LAST7} SELECT * FROM last7",
+    "table_work_hours_buckets_prefix": f"{_PREFIX}{_BUCKETS} SELECT * FROM buckets",
+    "table_range_vessel_day_prefix": f"{_PREFIX}{_RANGE20} SELECT ship, value FROM range20",
     "table_kpi_day": f"{_T}{_KPI} SELECT * FROM kpi",
     "table_latest_position": f"{_T}{_POSITIONS} SELECT ship_id, {_r6('x', 'y')}, work_type, sea_area FROM p",
     "table_latest_status": f"{_T}{_STATUS} SELECT * FROM s",

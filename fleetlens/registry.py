@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens import session
 from fleetlens.functions import expressions as X
 from fleetlens.operators import activity, alerts, density, duration, filters, gear, monitor, reach
-from fleetlens.plans import distinct, etl, payloads, results
+from fleetlens.plans import distinct, etl, payloads, prefix, results
 from fleetlens.plans import rollup as R
 from fleetlens.plans.today import Today
 from fleetlens.sources import catalog, cleaned, days, events, raw
@@ -65,12 +65,25 @@ def over_today(view: Callable[[Today], DataFrame], *, six_digits: tuple[str, ...
     return _configured(query)
 
 
+def over_table_prefix(operator: Callable[[DataFrame], DataFrame], n: int = 2_500) -> Query:
+    """The operator over the first `n` fixes of the cleaned table, found by its index."""
+    return _configured(lambda spark, sf_dir: operator(prefix.table_prefix(spark, _written_cleaned(spark, sf_dir), n)))
+
+
+def table_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the cleaned table."""
+    path = _written_cleaned(spark, sf_dir)
+    half = days.day_index(spark, path).selectExpr("CAST(sum(fixes) div 2 AS INT)").first()[0]
+    rows = _as_text(prefix.table_prefix(spark, path, half)).drop("text_hour")
+    return rows.withColumns({"x": F.round("x", 6), "y": F.round("y", 6), "speed": F.round("speed", 4)})
+
+
 def day_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index after a second write has replaced one of the days by itself."""
     path = _written_cleaned(spark, sf_dir)
     latest = days.latest_day(spark, path)
     etl.write_cleaned(etl.clean(events.raw_fixes(spark, sf_dir)).where(F.col("dt") == latest.dt), path)
-    index = days.day_index(spark, path)
+    index = days.day_index(spark, path).drop("timed")
     return index.withColumns({c: F.expr(X.time_text(c)) for c in ("first_time", "last_time")})
 
 
@@ -437,6 +450,11 @@ QUERIES: dict[str, Query] = {
         lambda df: monitor.map_positions(monitor.latest_position(df)), six_digits=("left_pct", "top_pct")),
     # current-day views of the cleaned table
     "day_index": _configured(day_index),
+    "table_prefix": _configured(table_prefix),
+    "table_top20_vessels_prefix": over_table_prefix(activity.top_vessels),
+    "table_last7_days_prefix": over_table_prefix(activity.last_days),
+    "table_work_hours_buckets_prefix": over_table_prefix(duration.work_hours_buckets),
+    "table_range_vessel_day_prefix": over_table_prefix(reach.range_vessel_day),
     "table_kpi_day": over_today(Today.kpi),
     "table_latest_position": over_today(Today.latest_position, six_digits=("x", "y")),
     "table_latest_status": over_today(Today.latest_status),

@@ -1,7 +1,7 @@
 """The day index of the cleaned table: what each day holds, kept by the writer, so that no scan is needed to find the latest day.
 
-The index lies beside the table's days in a folder that readers of the table pass over. It has one row per day of the table; a write
-replaces the rows of the days it wrote, and of these alone.
+The index lies beside the table's days in folders that readers of the table pass over. It has one row per day, and one per second
+with fixes, by which the place of a fix in time order is found; a write replaces the rows of the days it wrote, and of these alone.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from fleetlens import schema as S
 from fleetlens.functions import expressions as X
 
-FOLDER = "_days"
-SCHEMA = "fixes bigint, first_time timestamp, last_time timestamp, dt string"
+FOLDER, SECONDS = "_days", "_seconds"
+SCHEMA = "fixes bigint, timed bigint, first_time timestamp, last_time timestamp, dt string"
 
 
 def written_days(frame: DataFrame) -> tuple[DataFrame, Observation]:
@@ -39,14 +39,29 @@ def rebuild(spark: SparkSession, path: str) -> None:
 
 
 def _write(rows: DataFrame, path: str) -> None:
-    days = rows.groupBy("dt").agg(*X.exprs("count(*) AS fixes", "min(event_time) AS first_time", "max(event_time) AS last_time"))
-    few = days.repartition(1, "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    few.partitionBy("dt").parquet(f"{path}/{FOLDER}")
+    """Seconds first, then the days from them."""
+    spark = rows.sparkSession
+
+    def replace(df: DataFrame, folder: str) -> None:
+        few = df.repartition("dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        few.partitionBy("dt").parquet(f"{path}/{folder}")
+
+    days = [row.dt for row in rows.select("dt").distinct().collect()]
+    replace(rows.groupBy("dt", "event_time").agg(F.count("*").alias("fixes")), SECONDS)
+    held = [dt for dt in days if dt is not None]
+    written = second_index(spark, path).where(F.col("dt").isin(held) | (F.col("dt").isNull() if None in days else F.lit(False)))
+    ends = X.exprs("sum(fixes) AS fixes", "coalesce(sum(fixes) FILTER (WHERE event_time IS NOT NULL), 0L) AS timed")
+    replace(written.groupBy("dt").agg(*ends, *X.exprs("min(event_time) AS first_time", "max(event_time) AS last_time")), FOLDER)
+
+
+def second_index(spark: SparkSession, path: str) -> DataFrame:
+    """(event_time, fixes, dt): how many fixes each second of a day has, at most 86,400 rows a day."""
+    return spark.read.schema("event_time timestamp, fixes bigint, dt string").parquet(f"{path}/{SECONDS}")
 
 
 def day_index(spark: SparkSession, path: str) -> DataFrame:
-    """(dt, fixes, first_time, last_time): one row per day of the table."""
-    return spark.read.schema(SCHEMA).parquet(f"{path}/{FOLDER}").select("dt", "fixes", "first_time", "last_time")
+    """(dt, fixes, timed, first_time, last_time): one row per day of the table; `timed` fixes have a time."""
+    return spark.read.schema(SCHEMA).parquet(f"{path}/{FOLDER}").select("dt", "fixes", "timed", "first_time", "last_time")
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,7 @@ import pytest
 from conftest import plan_of, rows
 
 from fleetlens.operators import alerts, monitor
-from fleetlens.plans import etl
+from fleetlens.plans import etl, prefix
 from fleetlens.plans.today import Today
 from fleetlens.session import scratch_path
 from fleetlens.sources import cleaned, days, events
@@ -66,3 +66,27 @@ def test_views_equal_the_operators(spark, table):
     assert rows(today.kpi()) == rows(monitor.kpi_day(df))
     assert rows(today.abnormal_stops()) == rows(alerts.abnormal_stop_today(df))
     assert rows(today.latest_status()) == rows(monitor.latest_status(df))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 20])
+def test_prefix_of_the_table_equals_sorting(spark, crowded, n):
+    every = cleaned.read_cleaned(spark, crowded)
+    want = every.orderBy("record_time", "point_id").limit(n)
+    assert rows(prefix.table_prefix(spark, crowded, n), "point_id") == rows(want, "point_id")
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """Equal seconds, fixes without a time on a later day, and on no day."""
+    path = scratch_path(spark, "cleaned")
+    times = ["2025-06-01 01:00:00"] * 3 + ["2025-06-02 04:00:00"] * 2 + ["2025-06-03 01", None, "2025-06-03 01:00:00", "garbage"]
+    frame = spark.createDataFrame([("a", "1", "1", "2", "1", t, "g", str(k)) for k, t in enumerate(times)], RAW)
+    etl.write_cleaned(etl.clean(frame), path)
+    return path
+
+
+def test_prefix_scans_the_days_up_to_its_last_fix(spark, table):
+    made = prefix.table_prefix(spark, table, 300)
+    last = max(r.dt for r in made.select("dt").distinct().collect())
+    assert last < days.latest_day(spark, table).dt
+    assert re.search(r"PartitionFilters: \[.*<= " + last, plan_of(made))
