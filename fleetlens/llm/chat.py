@@ -38,22 +38,35 @@ class Template:
         default_factory=lambda: {"start": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)}
     )
 
-    def escape(self, text: str) -> str:
-        return re.sub("|".join(map(re.escape, ("\\", *self.controls))), lambda m: "\\" + m[0], text)
+    @property
+    def special(self) -> tuple[str, ...]:
+        """What the escape character is put before: itself, the control strings, and the colon that ends a role's name."""
+        return ("\\", *self.controls, ":")
+
+    def escape(self, text: str, also: tuple[str, ...] = ()) -> str:
+        return re.sub("|".join(map(re.escape, ("\\", *self.controls, *also))), lambda m: "\\" + m[0], text)
 
     def unescape(self, text: str) -> str:
-        return re.sub(r"\\(" + "|".join(map(re.escape, ("\\", *self.controls))) + ")", lambda m: m[1], text)
+        return re.sub(r"\\(" + "|".join(map(re.escape, self.special)) + ")", lambda m: m[1], text)
 
     def header(self, role: str) -> str:
-        return self.headers.get(role) or self.other % self.escape(role)
-
-    def role(self, header: str) -> str:
-        """The role whose header this is."""
-        for role, known in self.headers.items():
-            if known == header:
-                return role
+        return self.headers.get(role) or self.other % self.escape(role, (":",))
+
+    def bare(self, text: str, mark: str) -> int:
+        """Where `mark` first stands in `text` without an escape character before it; -1 if nowhere."""
+        for m in re.finditer(r"\\(?:" + "|".join(map(re.escape, self.special)) + ")|" + re.escape(mark), text):
+            if m[0] == mark:
+                return m.start()
+        return -1
+
+    def read_turn(self, turn: str) -> tuple[str, str]:
+        """(role, text) of the formatted text of a turn, without its end."""
+        for role, header in self.headers.items():
+            if turn.startswith(header):
+                return role, self.unescape(turn[len(header) :])
         before, after = self.other.split("%s")
-        return self.unescape(header[len(before) : len(header) - len(after)])
+        end = self.bare(turn, after)
+        return self.unescape(turn[len(before) : end]), self.unescape(turn[end + len(after) :])
 
 
 def segments(conversations: DataFrame, template: Template = Template()) -> DataFrame:
@@ -84,7 +97,11 @@ def segments(conversations: DataFrame, template: Template = Template()) -> DataF
 
 
 def digests(made: DataFrame, template: Template = Template()) -> DataFrame:
-    """Per conversation, what its segments say when read back; the segments come in order, a conversation in one partition."""
+    """Per conversation, what its formatted text says when read back.
+
+    The segments of a conversation come in order, in one partition. Only their text, joined, and their loss flags are read: turns
+    are found by the control strings of the template that stand without an escape character. One turn is held at a time.
+    """
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,29 +115,32 @@ def digests(made: DataFrame, template: Template = Template()) -> DataFrame:
             return made
 
         def close() -> None:
-            if turns:
+            if open_:
                 for column, value in zip(out, (now, turns, every.hexdigest(), chars, masked.hexdigest(), size, good), strict=True):
                     column.append(value)
 
-        now, turns = None, 0
+        now, open_ = None, False
         for batch in batches:
-            for conv, kind, text, loss, ok in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4, 5)), strict=True):
-                if kind == "header" and (turns == 0 or conv != now):
+            for conv, text, loss, ok in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "text", "loss", "state_ok")), strict=True):
+                if not open_ or conv != now:
                     close()
-                    now, turns, every, masked, chars, size, good = conv, 0, hashlib.sha256(), hashlib.sha256(), 0, 0, True
+                    now, open_, pending, turns, every, masked, chars, size, good = conv, True, "", 0, hashlib.sha256(), hashlib.sha256(), 0, 0, True
                 size += len(text)
-                if kind == "header":
-                    turns += 1
-                    good = good and ok
-                    every.update(template.role(text).encode() + b"\n")
-                elif kind == "text":
+                good = good and ok
+                if loss:
                     plain = template.unescape(text)
-                    every.update(plain.encode() + b"\n")
-                    if loss:
-                        chars += len(plain)
-                        masked.update(plain.encode())
+                    chars += len(plain)
+                    masked.update(plain.encode())
+                pending += text
+                while template.end in pending and (end := template.bare(pending, template.end)) >= 0:
+                    role, told = template.read_turn(pending[:end])
+                    every.update(f"{role}\n{told}\n".encode())
+                    turns += 1
+                    pending = pending[end + len(template.end) :]
             yield ready()
         close()
         yield ready()
 
-    return made.mapInArrow(run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, valid boolean")
+    return made.select("conv_id", "text", "loss", "state_ok").mapInArrow(
+        run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, valid boolean"
+    )
