@@ -8,8 +8,6 @@ from fleetlens import schema as S
 from fleetlens.functions import expressions as X
 from fleetlens.sources import days
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
 
 def clean(raw: DataFrame) -> DataFrame:
     """Type the text columns and keep 0 < speed < 20. Values that do not parse become NULL.
@@ -52,13 +50,7 @@ def write_cleaned(cleaned: DataFrame, path: str) -> None:
 
 
 def insert_cleaned(cleaned: DataFrame, table: str) -> None:
-    """The same into a declared table. An insert takes the overwrite mode from the session, not from the writer."""
-    spark = cleaned.sparkSession
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        columns = [field.name for field in S.CLEANED_SCHEMA]
-        _laid_out(cleaned.select(*columns)).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
-    spark.sql(f"REFRESH TABLE {table}")
+    """The same into a declared table, whose declaration says that an insert replaces the days it brings, and no others."""
+    columns = [field.name for field in S.CLEANED_SCHEMA]
+    _laid_out(cleaned.select(*columns)).write.insertInto(table, overwrite=True)
+    cleaned.sparkSession.sql(f"REFRESH TABLE {table}")

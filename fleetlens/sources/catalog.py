@@ -27,7 +27,7 @@ def create_tables(spark: SparkSession, database: str, location: str, raw_path: s
     cleaned_columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.CLEANED_SCHEMA)
     spark.sql(
         f"CREATE TABLE {database}.{CLEANED_TABLE} ({cleaned_columns}) USING parquet "
-        f"PARTITIONED BY (dt) LOCATION '{location}/cleaned'"
+        f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (dt) LOCATION '{location}/cleaned'"
     )
 
 

@@ -3,42 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fleetlens.operators.filters import last
 from fleetlens.sources import events as E
 
-# Rows per step and the pause between steps of the replay.
-REPLAY_ROWS = 50
-REPLAY_PAUSE = "2 seconds"
 # A long backlog is worked off in micro-batches of this size.
 BACKLOG_BYTES = 256 * 1024**3
 
 
-def replay_steps(rows: int) -> int:
-    """Steps of a replay at the fixed pace."""
-    return max(1, -(-rows // REPLAY_ROWS))
-
-
-def write_replay_files(df: DataFrame, path: str, steps: int, time: str = "record_time") -> None:
-    """Write `df` as `steps` folders of about equal size in time order, one after the other.
-
-    The file source takes files by modification time, so the writing order is the replay order. Rows without a time come first.
-    """
-    shares = [F.lit(step / steps) for step in range(1, steps)]
-    cuts = df.agg(F.percentile_approx(time, F.array(*shares)).alias("cuts")).first()["cuts"] or [] if shares else []
-    for step, (low, high) in enumerate(zip([None, *cuts], [*cuts, None], strict=True)):
-        part = df
-        if low is not None:
-            part = part.where(F.col(time) > F.lit(low))
-        if high is not None:
-            early = F.col(time) <= F.lit(high)
-            part = part.where(early | F.col(time).isNull() if low is None else early)
-        part.write.parquet(f"{path}/step={step:05d}")
-
-
 def read_replay(
     spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -64,7 +38,7 @@ def run_to_end(query: StreamingQuery) -> None:
 def replay(stream: DataFrame, path: str, trigger: dict | None = None) -> StreamingQuery:
     """Append the replayed fixes to a table partitioned by day, going on where an earlier replay into it stopped.
 
-    `trigger` defaults to everything available now; `{"processingTime": REPLAY_PAUSE}` paces a live replay.
+    `trigger` defaults to everything available now; `{"processingTime": "2 seconds"}` paces a live one.
     """
     return (
         stream.writeStream.format("parquet")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fleetlens.session import scratch_path
-from fleetlens.streaming import replay
+from replaying import write_replay_files
 
 
 def test_rows_without_a_time_are_in_the_first_step(spark):
@@ -11,7 +11,7 @@ def test_rows_without_a_time_are_in_the_first_step(spark):
     df = spark.createDataFrame(rows, "id int, time string").selectExpr("id", "CAST(time AS TIMESTAMP) AS record_time")
     for part in (df, df.where("record_time IS NULL")):
         path = scratch_path(spark, "steps")
-        replay.write_replay_files(part, path, 3)
+        write_replay_files(part, path, 3)
         read = spark.read.option("recursiveFileLookup", True).schema(df.schema)
         assert sorted(r.id for r in read.parquet(path).collect()) == sorted(r.id for r in part.collect())
         first = {r.id for r in read.parquet(f"{path}/step=00000").collect()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows
+from replaying import replay_steps, write_replay_files
 
 from fleetlens.operators import activity, alerts, duration, filters, monitor, reach
 from fleetlens.plans import rollup as R
@@ -25,7 +26,7 @@ def df(spark):
 def files(spark):
     path = scratch_path(spark, "replay")
     recent = events.read_events(spark, SF_DIR).where(f"ts >= '{FIRST_DAY}'")
-    replay.write_replay_files(recent, path, STEPS, time="ts")
+    write_replay_files(recent, path, STEPS, time="ts")
     return path
 
 
@@ -132,7 +133,7 @@ def test_replay_appends_every_row_once(spark, files, df):
 
 
 def test_pace_of_the_replay():
-    assert [replay.replay_steps(n) for n in (0, 50, 51, 9896)] == [1, 1, 2, 198]
+    assert [replay_steps(n) for n in (0, 50, 51, 9896)] == [1, 1, 2, 198]
 
 
 def test_latest_state_over_several_batches(spark, files, df):
