@@ -110,5 +110,12 @@ def time_text(timestamp: str) -> str:
     return f"date_format({timestamp}, '{S.TIME_FORMAT}')"
 
 
+# A fix without a time comes before all others.
+NO_TIME = -(10**17)
+_MICROS = f"CAST(coalesce(unix_micros(CAST(record_time AS TIMESTAMP)), {NO_TIME}L) AS DECIMAL(20,0))"
+# Time and id as one number, in the order of (record_time, point_id): as a struct they would rule out aggregation by hash.
+TIME_RANK = f"CAST({_MICROS} * CAST(18446744073709551616 AS DECIMAL(20,0)) + coalesce(point_id, -9223372036854775807L) AS DECIMAL(38,0))"
+
+
 def seconds_between(start: str, end: str) -> str:
     return f"(unix_timestamp({end}) - unix_timestamp({start}))"

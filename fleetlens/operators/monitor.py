@@ -46,11 +46,23 @@ def kpi_month(df: DataFrame, as_of: str | None = None) -> DataFrame:
     return _figures(current_month(df, as_of), *names)
 
 
+def newest(df: DataFrame, keys: tuple[str, ...], numbers: tuple[str, ...]) -> DataFrame:
+    """The last fix per `keys` by (record_time, point_id): keys, `numbers`, and the texts of the fix; from one scan, by hash.
+
+    An aggregation by hash keeps numbers alone. So the texts are first among its keys, of which a vessel has few: what is left
+    then is a row per vessel and pair of texts, and only those rows are sorted.
+    """
+    texts = ("operation_type", "sea_area")
+    ranked = df.selectExpr(*keys, *texts, *numbers, f"{X.TIME_RANK} AS time_rank")
+    last_of = [f"max_by({number}, time_rank) AS {number}" for number in numbers]
+    by_texts = ranked.groupBy(*keys, *texts).agg(*X.exprs(*last_of, "max(time_rank) AS time_rank"))
+    fix = f"max_by(struct({', '.join((*numbers, *texts))}), time_rank) AS fix"
+    return by_texts.groupBy(*keys).agg(F.expr(fix)).select(*keys, "fix.*")
+
+
 def latest_fix(df: DataFrame) -> DataFrame:
-    """The last fix per vessel by (record_time, point_id). One candidate per vessel leaves each map task."""
-    fix = "struct(record_time, x, y, speed, operation_type, sea_area)"
-    newest = df.groupBy("vessel_id").agg(F.expr(f"max_by({fix}, struct(record_time, point_id)) AS fix"))
-    return newest.select("vessel_id", "fix.*")
+    """The last fix per vessel by (record_time, point_id)."""
+    return newest(df, ("vessel_id",), ("record_time", "x", "y", "speed"))
 
 
 def position_rows(latest: DataFrame, k: int = 500) -> DataFrame:

@@ -21,18 +21,11 @@ from fleetlens.session import stored
 ROWS_PER_SPLIT = 5_000_000
 # The limit grows with the table, so that fewer than this many groups can exceed it: their list is broadcast.
 MOST_LARGE_GROUPS = 100_000
-# A fix without a time comes before all others.
-NO_TIME = -(10**17)
 
 
 def first_fixes(points: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Earliest fix and number of fixes per group; equal times are ordered by id.
-
-    Time and id make one number, since a struct as key would rule out aggregation by hash.
-    """
-    time = f"CAST(coalesce(unix_micros(CAST(record_time AS TIMESTAMP)), {NO_TIME}L) AS DECIMAL(20,0))"
-    rank = f"CAST({time} * CAST(18446744073709551616 AS DECIMAL(20,0)) + coalesce(point_id, -9223372036854775807L) AS DECIMAL(38,0))"
-    ranked = points.selectExpr("*", f"{rank} AS time_rank")
+    """Earliest fix and number of fixes per group; equal times are ordered by id."""
+    ranked = points.selectExpr("*", f"{X.TIME_RANK} AS time_rank")
     firsts = ranked.groupBy(*keys).agg(
         *X.exprs("min_by(x, time_rank) AS first_x", "min_by(y, time_rank) AS first_y", "count(*) AS fixes")
     )

@@ -23,6 +23,7 @@ from fleetlens.streaming import generations
 
 GROUP = ("vessel_id", "dt")
 OF_GROUP = tuple(f"{key} AS of_{key}" for key in GROUP)
+# In one streaming aggregation the texts of a fix must be among its values; the state is one row per vessel.
 NEWEST = (
     "max_by(struct(record_time, point_id, x, y, speed, operation_type, sea_area, dt), struct(record_time, point_id))"
 )
@@ -80,8 +81,7 @@ def write_violations(batch: DataFrame, path: str, batch_id: int) -> None:
 
 def write_latest(batch: DataFrame, path: str, batch_id: int) -> None:
     """Latest fix per vessel and day of this batch."""
-    newest = batch.groupBy("dt", "vessel_id").agg(F.expr(f"{NEWEST} AS fix"))
-    _replace(newest.select("vessel_id", "fix.*"), path, "latest", batch_id)
+    _replace(merge_latest(batch), path, "latest", batch_id)
 
 
 def _firsts(points: DataFrame, origin: str) -> DataFrame:
@@ -133,7 +133,7 @@ def merge_grid(rows: DataFrame) -> DataFrame:
 
 
 def merge_latest(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("dt", "vessel_id").agg(F.expr(f"{NEWEST} AS fix")).select("vessel_id", "fix.*")
+    return monitor.newest(rows, ("dt", "vessel_id"), ("record_time", "point_id", "x", "y", "speed"))
 
 
 def merge_reach(rows: DataFrame) -> DataFrame:

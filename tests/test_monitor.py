@@ -6,7 +6,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from conftest import rows
+from conftest import plan_of, rows
 
 from fleetlens.operators import monitor
 from fleetlens.plans import payloads
@@ -50,6 +50,37 @@ def test_latest_fix_ties_status_and_defaults(fixes):
     assert rows(monitor.speed_bands(status)) == [("a", 5.0, "low"), ("b", 12.5, "high")]
 
 
+def test_latest_fix_of_repeated_ids_times_and_texts(fixes):
+    """Against a plain loop: several texts per vessel, NULL times, ids and texts, and a fix that is given twice."""
+    given = [
+        {"vessel_id": v, "record_time": t, "point_id": p, "x": float(k), "y": None if k % 5 == 0 else float(-k), "speed": k / 7, "operation_type": g, "sea_area": a}
+        for k, (v, t, p, g, a) in enumerate(
+            (v, t, p, g, a)
+            for v in ("a", "b", None)
+            for t in (None, "2025-06-01 03:00:00", "2025-06-01 03:00:01")
+            for p, g, a in ((1, "拖网", None), (None, "刺网", "渤海湾"), (3, None, ""), (2, "拖网", "渤海湾"))
+            if (v, t) != ("b", "2025-06-01 03:00:01")
+        )
+    ]
+    df = fixes(*given, given[0])
+    wanted = {}
+    for r in df.collect():
+        rank = (r.record_time is not None, r.record_time, r.point_id is not None, r.point_id)
+        if r.vessel_id not in wanted or rank > wanted[r.vessel_id][0]:
+            wanted[r.vessel_id] = (rank, (r.vessel_id, r.record_time, r.x, r.y, r.speed, r.operation_type, r.sea_area))
+    got = monitor.latest_fix(df)
+    assert {tuple(r) for r in got.collect()} == {fix for _, fix in wanted.values()}
+    assert len(wanted) == got.count() == 3
+
+
+def test_latest_fix_sorts_no_fixes(fixes):
+    plan = plan_of(monitor.latest_fix(fixes({}, {"vessel_id": "b"})))
+    tree = plan.split("\n\n")[0]
+    # From the scan up, the first two aggregations and the shuffle between them are by hash.
+    steps = [line for line in reversed(tree.splitlines()) if "Aggregate" in line or "Exchange" in line]
+    assert ["HashAggregate" in steps[0], "Exchange" in steps[1], "HashAggregate" in steps[2]] == [True] * 3
+
+
 def positions(spark, *points):
     data = [(f"s{i}", float(x), float(y), "拖网") for i, (x, y) in enumerate(points)]
     return spark.createDataFrame(data, "ship_id string, x double, y double, work_type string")
