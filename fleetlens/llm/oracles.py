@@ -127,35 +127,47 @@ FROM steps GROUP BY conv_id
 """
 
 OP7 = rf"""
-WITH texts AS (
-    SELECT doc_id, NULL AS item_id, regexp_extract_all(text, '[\p{{L}}\p{{N}}]+') AS w FROM documents WHERE doc_id IS NOT NULL
-    UNION ALL
-    SELECT NULL, item_id, regexp_extract_all(text, '[\p{{L}}\p{{N}}]+') FROM benchmark WHERE item_id IS NOT NULL
-), marked AS (
-    SELECT *, list_transform(w, lambda x: CASE WHEN x >= '0' AND x < ':' THEN '#' WHEN lower(x) <> x THEN '@'
+WITH spaced AS (
+    SELECT doc_id, NULL AS item_id, text FROM documents WHERE doc_id IS NOT NULL UNION ALL SELECT NULL, item_id, text FROM benchmark WHERE item_id IS NOT NULL
+), texts AS (
+    SELECT doc_id, item_id, regexp_extract_all(regexp_replace(text, '([\p{{Han}}\p{{Hiragana}}\p{{Katakana}}\p{{Thai}}\p{{Lao}}\p{{Khmer}}\p{{Myanmar}}])', ' \1 ', 'g'),
+        '[\p{{L}}\p{{N}}]+') AS w FROM spaced WHERE text IS NOT NULL
+), marked AS MATERIALIZED (
+    SELECT doc_id, item_id, list_transform(w, lambda x: replace(lower(upper(x)), 'ß', 'ss')) AS w,
+        list_transform(w, lambda x: CASE WHEN x >= '0' AND x < ':' THEN '#' WHEN lower(x) <> x THEN '@'
         WHEN x IN ({", ".join(f"'{u}'" for u in UNITS)}) THEN '%' ELSE x END) AS c
-    FROM texts WHERE len(w) >= 5
+    FROM texts
 ), windows AS MATERIALIZED (
-    SELECT doc_id, item_id, pos, w[pos + 1 : pos + 5] AS w, c[pos + 1 : pos + 5] AS c, array_to_string(c[pos + 1 : pos + 5], ' ') AS key
-    FROM (SELECT *, unnest(range(len(w) - 4)) AS pos FROM marked)
+    SELECT doc_id, item_id, pos, w[pos + 1 : pos + 5] AS w, c[pos + 1 : pos + 5] AS c, array_to_string(c[pos + 1 : pos + 5], ' ') AS key, array_to_string(w[pos + 1 : pos + 5], ' ') AS said
+    FROM (SELECT *, unnest(range(len(w) - 4)) AS pos FROM marked WHERE len(w) >= 5)
 ), items AS MATERIALIZED (
-    SELECT item_id, pos, w, key FROM windows WHERE item_id IS NOT NULL AND len(list_filter(c, lambda x: x NOT IN ('#', '@', '%'))) > 0
+    SELECT item_id, pos, w, key, said FROM windows WHERE item_id IS NOT NULL AND len(list_filter(c, lambda x: x NOT IN ('#', '@', '%'))) > 0
 ), matched AS MATERIALIZED (
     SELECT d.doc_id, i.item_id, i.pos AS item_pos, d.pos - i.pos AS diagonal, d.c, d.w AS told, i.w AS asked
     FROM windows d JOIN items i ON d.key = i.key WHERE d.doc_id IS NOT NULL
 ), slots AS (
-    SELECT doc_id, item_id, diagonal, lower(asked[k]) AS asked, lower(told[k]) AS told
+    SELECT doc_id, item_id, diagonal, asked[k] AS asked, told[k] AS told
     FROM (SELECT *, unnest(range(1, 6)) AS k FROM matched) WHERE c[k] IN ('#', '@', '%')
 ), torn AS (
     SELECT DISTINCT doc_id, item_id, diagonal FROM (
         SELECT doc_id, item_id, diagonal FROM slots GROUP BY doc_id, item_id, diagonal, asked HAVING count(DISTINCT told) > 1)
+), verbatim AS (
+    SELECT d.doc_id, i.item_id, i.pos AS item_pos FROM windows d JOIN items i ON d.said = i.said WHERE d.doc_id IS NOT NULL
 ), covered AS (
-    SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_matched FROM matched ANTI JOIN torn USING (doc_id, item_id, diagonal) GROUP BY doc_id, item_id
+    SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_matched
+    FROM (SELECT doc_id, item_id, item_pos FROM matched ANTI JOIN torn USING (doc_id, item_id, diagonal) UNION ALL FROM verbatim) GROUP BY doc_id, item_id
 ), sizes AS (
     SELECT item_id, count(DISTINCT pos) AS n_windows FROM items GROUP BY item_id
+), short AS (
+    SELECT item_id, len(w) AS n, array_to_string(w, ' ') AS said FROM marked
+    WHERE item_id IS NOT NULL AND len(w) BETWEEN 1 AND 4 AND len(list_filter(c, lambda x: x NOT IN ('#', '@', '%'))) > 0 AND item_id NOT IN (SELECT item_id FROM sizes)
+), pieces AS (
+    SELECT doc_id, n, array_to_string(w[pos + 1 : pos + n], ' ') AS said
+    FROM (SELECT doc_id, n, w, unnest(range(len(w) - n + 1)) AS pos FROM marked, (SELECT DISTINCT n FROM short) WHERE doc_id IS NOT NULL AND len(w) >= n AND (n > 1 OR len(w) = 1))
 )
 SELECT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS share
 FROM covered JOIN sizes USING (item_id) WHERE n_matched >= CAST(0.8 AS DOUBLE) * n_windows
+UNION ALL SELECT DISTINCT doc_id, item_id, 1, 1, 1.0 FROM pieces JOIN short USING (n, said)
 """
 
 # Every anchor against every row: the windows without blocks, strips and thresholds.
