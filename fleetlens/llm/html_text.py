@@ -1,7 +1,8 @@
 """HTML extraction: each page is compared with the page of the nearest URL on its host; lines that both have are template.
 
 Method. The markup gives text blocks in page order, each in a zone: article (inside `article` or `main`), frame (inside `nav`,
-`header`, `footer`, `aside`, forms and the like, or an element whose class or id says so), or open (neither). Pages are sorted by
+`header`, `footer`, `aside`, forms and the like, or an element whose class or id says so; the headings of an
+article's own header are article), or open (neither). Pages are sorted by
 host and path; of the page before and the page after, the one with the longer common beginning of the path is the pair. The blocks
 of both are aligned by a longest common subsequence, and the common ones are shared lines.
 
@@ -17,6 +18,7 @@ row at each side.
 Defined cases. NULL or empty html gives an empty text. NULL URLs have an empty host and path and are paired among themselves.
 Equal rows are compared once and get equal results; a page without a neighbour on its host has no shared lines. Broken markup:
 paragraphs and items end with the next one, other unclosed elements with the page; a tag cut off at the end is dropped.
+Pages of any length are used whole.
 """
 
 from __future__ import annotations
@@ -48,6 +50,12 @@ FRAME_WORDS = frozenset(
     "header login masthead menu modal nav navbar navigation newsletter notice popup promo promotion related replies reply share sharing "
     "sidebar signup social sponsor sponsored subscribe toolbar widget alert complementary contentinfo search".split()
 )
+# What a class name may end with, without changing what it names: the share bar and the comment list are frames, the notice board is not.
+TAILS = frozenset(
+    "area bar bars block blocks body bottom box boxes button buttons container content group icons inner item items left link links list message "
+    "outer panel posts right row section slot small large stories text thread title top unit widgets wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE = frozenset("article main".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub "
@@ -59,15 +67,27 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 OPEN, ARTICLE_ZONE, FRAME_ZONE = 0, 1, 2
 
 
-def is_frame(tag: str, attributes: str) -> bool:
+def says_frame(name: str) -> bool:
+    """Whether a class, id or role names a frame: by its last part that is no number and no general ending."""
+    parts = [part for part in re.split(r"[_-]+", name) if part]
+    while len(parts) > 1 and (parts[-1] in TAILS or parts[-1].isdigit()):
+        parts.pop()
+    return bool(parts) and parts[-1] in FRAME_WORDS
+
+
+def is_frame(tag: str, attributes: str, inside: int = OPEN) -> bool:
+    """Whether an element in zone `inside` is a frame. The page's own article is none whatever its class; one inside it may be a comment."""
     if tag in FRAME:
         return True
-    if tag in ("html", "body", *ARTICLE) or "=" not in attributes:
+    if tag in ("html", "body") or tag in ARTICLE and inside == OPEN or "=" not in attributes:
         return False
-    for values in NAMES.findall(attributes):
-        if not FRAME_WORDS.isdisjoint(re.split(r"[\s_-]+", "".join(values).lower())):
-            return True
-    return False
+    return any(says_frame(name) for values in NAMES.findall(attributes) for name in "".join(values).lower().split())
+
+
+def heads_article(opened: list[tuple[str, int]]) -> bool:
+    """Whether the frame that is open is the `header` of an article, and no other frame inside it."""
+    frames = [(tag, outside) for tag, outside in opened if tag in FRAME or outside == FRAME_ZONE]
+    return bool(frames) and frames[0] == ("header", ARTICLE_ZONE) and not any(tag in FRAME for tag, _ in frames[1:])
 
 
 def blocks(page: str | None) -> list[tuple[str, int]]:
@@ -77,6 +97,8 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
     text: list[str] = []
     opened: list[tuple[str, int]] = []  # element, zone outside it
     zone, at = OPEN, 0
+    hidden: tuple[str, int] | None = None  # an open inline frame, and how much of the block comes before it
+    depth = 0
 
     def flush() -> None:
         line = SPACE.sub(" ", html.unescape("".join(text))).strip()
@@ -94,9 +116,23 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in INLINE and not (opened and closing and any(t == tag for t, _ in opened)) and not (not closing and is_frame(tag, attributes)):
+        if tag in INLINE and not (closing and any(t == tag for t, _ in opened)):
+            # An inline frame goes, and the text around it stays one block.
+            if hidden and tag == hidden[0]:
+                depth += -1 if closing else 1
+                if not depth:
+                    del text[hidden[1] :]
+                    hidden = None
+            elif not hidden and not closing and tag not in VOID and zone != FRAME_ZONE and not attributes.endswith("/") and is_frame(tag, attributes, zone):
+                hidden, depth = (tag, len(text)), 1
             continue
+        if hidden:
+            del text[hidden[1] :]
         flush()
+        if hidden:
+            # Blocks inside an inline frame are of the frame, up to its end.
+            opened.append((hidden[0], zone))
+            zone, hidden = FRAME_ZONE, None
         if closing:
             if any(t == tag for t, _ in opened):
                 while True:
@@ -111,11 +147,15 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if tag in VOID or attributes.endswith("/") or tag in ("p", "li", "tr", "td", "th", "dd", "dt", "option") and not is_frame(tag, attributes):
+        if tag in VOID or attributes.endswith("/") or tag in ("p", "li", "tr", "td", "th", "dd", "dt", "option") and not is_frame(tag, attributes, zone):
             continue
         opened.append((tag, zone))
-        if zone != FRAME_ZONE:
-            zone = FRAME_ZONE if is_frame(tag, attributes) else ARTICLE_ZONE if tag in ARTICLE else zone
+        if zone == FRAME_ZONE:
+            zone = ARTICLE_ZONE if tag in HEADINGS and heads_article(opened[:-1]) else FRAME_ZONE
+        else:
+            zone = FRAME_ZONE if is_frame(tag, attributes, zone) else ARTICLE_ZONE if tag in ARTICLE else zone
+    if hidden:
+        del text[hidden[1] :]
     flush()
     return out
 
