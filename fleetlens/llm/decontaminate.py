@@ -31,7 +31,8 @@ from fleetlens.llm.common import bit_table, marked, stored
 WINDOW = 5
 SHARE = 0.8
 BIT_WORDS = 1 << 16
-# Scripts that are written without spaces between words.
+# Scripts that are written without spaces between words; all lie in the range, which is cheaper to test.
+BEYOND = r"[\x{0E00}-\x{10FFFF}]"
 UNSPACED = "".join(rf"\p{{Is{script}}}" for script in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 
 # Units of measure that are replaced by a placeholder.
@@ -58,7 +59,7 @@ def folded(word: Column) -> Column:
 def worded_texts(df: DataFrame, key: str) -> DataFrame:
     """(key, w, c): the words of every text, case-folded and as placeholders."""
     apart = F.regexp_replace("text", f"([{UNSPACED}])", " $1 ")
-    text = F.when(F.col("text").rlike(f"[{UNSPACED}]"), apart).otherwise(F.col("text"))
+    text = F.when(F.col("text").rlike(BEYOND), apart).otherwise(F.col("text"))
     words = df.where(f"{key} IS NOT NULL AND text IS NOT NULL").select(key, F.array_remove(F.split(text, r"[^\p{L}\p{N}]+"), "").alias("w"))
     return words.select(key, F.transform("w", folded).alias("w"), F.transform("w", canonical).alias("c"))
 
