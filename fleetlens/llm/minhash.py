@@ -13,6 +13,10 @@ differ by no more than the allowed distance (the triangle inequality of the Jacc
 in blocks of bounded size that are spread over the tasks; a block returns only links that join components. So no link found by a
 bucket is lost, whatever its size.
 
+Copies stay outside the graph: labels spread over distinct sets alone, and each document then looks up its set's label. Sets with
+more than a ten-thousandth of all documents, at most ten thousand of them, are looked up in a broadcast list, so no task gets the
+copies of one set.
+
 At a similarity of 0.85, the chance that a link meets in none of the 42 bands of 7 is (1 - 0.85^7)^42, about 9e-8.
 
 Defined cases. Texts with fewer words than a shingle have one shingle, the whole sequence. NULL texts and texts without words have
@@ -26,7 +30,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -35,6 +38,11 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import Words, bit_table, in_slices, marked, mix, seed, stored, texts_of, window_hashes
 
 
+# A key with more than one in so many rows is frequent; there are at most so many such keys.
+FREQUENT = 10_000
+SET = ["set_a", "set_b", "n"]
+
+
 @dataclass(frozen=True)
 class Rule:
     """Shingles of `words` words are linked from `percent` hundredths of Jaccard similarity; sketches have bands * rows coordinates."""
@@ -255,30 +263,47 @@ def candidates(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return likely.join(ids, F.col("doc_id") == F.col("node"), "left_semi")
 
 
+def looked_up(rows: DataFrame, values: DataFrame, key: list[str], frequent: DataFrame) -> DataFrame:
+    """`rows` with the columns of `values`, which has one row per key; the keys of `frequent`, FREQUENT at most, are broadcast."""
+    few, many = (values.join(F.broadcast(frequent), key, how) for how in ("left_semi", "left_anti"))
+    rest = rows.join(F.broadcast(frequent), key, "left_anti")
+    return rows.join(F.broadcast(few), key).unionByName(rest.join(many, key))
+
+
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row per row of `docs`."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     made = stored(sketches(docs, rule), "sketches")
     known = made.where("doc_id IS NOT NULL AND n > 0")
-    # Equal sets: every document to the smallest id of its set.
-    firsts = known.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("first"))
-    same = known.select("doc_id", "set_a", "set_b", "n").join(firsts, ["set_a", "set_b", "n"]).where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    # Combined in the map tasks, so that a set with a third of all documents sends one row a task.
-    nodes = known.groupBy("set_a", "set_b", "n").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("node"))
-    banded = stored(nodes.select("node", "n", F.explode("bands").alias("band")), "bands")
+    # Equal sets are one node, the smallest id. Combined in the map tasks: a set with a third of all documents sends one row a task.
+    nodes = stored(known.groupBy(*SET).agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("node"), F.count("*").alias("copies")), "nodes")
+    frequent = stored(nodes.where(F.col("copies") * FREQUENT > known.count()).select("node", *SET), "frequent")
+    placed = stored(looked_up(known.select("doc_id", *SET), nodes.select(*SET, "node"), SET, frequent.select(*SET)).select("doc_id", "n", "node"), "placed")
+    banded = nodes.select("node", "n", F.explode("bands").alias("band"))
     pivots = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("c")).where("c > 1").select("band", "pivot")
     pairs = stored(banded.join(pivots, "band").where("node != pivot").select("node", "pivot", "n").distinct(), "pairs")
     texts = stored(candidates(docs, stored(pairs.select("node").union(pairs.select("pivot")).distinct(), "ids")), "candidates")
     compared = stored(compare_to_pivot(texts, pairs, rule), "compared")
     star = compared.where(f"100 * shared >= {rule.percent} * (n + pivot_n - shared)").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    # An id with several sets links their nodes.
+    several = placed.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("doc_id", "low")
+    same = placed.join(several, "doc_id").where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))
     edges = stored(star.unionByName(same).distinct(), "links")
     labels = components(edges)
     more = stored(compare_blocks(texts, open_blocks(compared, labels, rule), rule), "more")
     if not more.isEmpty():
         labels = components(edges.unionByName(more))
-    joined = made.select("doc_id", "n").join(labels, F.col("doc_id") == F.col("node"), "left")
+    label = nodes.select("node").distinct().join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    found = stored(looked_up(placed, label, ["node"], frequent.select("node").distinct()).select("doc_id", "n", "component"), "found")
+    # Empty sets have the component of their id's other texts, if there are any.
+    by_id = found.groupBy("doc_id").agg(F.min("component").alias("component"))
+    empty = made.where("doc_id IS NOT NULL AND n = 0").select("doc_id", "n").join(by_id, "doc_id", "left")
+    unnamed = made.where("doc_id IS NULL").select("doc_id", "n", F.lit(None).cast("bigint").alias("component"))
     component = F.coalesce("component", "doc_id")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return (
+        found.unionByName(empty).unionByName(unnamed)
+        .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    )
 
 
 def one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
