@@ -5,6 +5,7 @@ The fitted models, the quantised tries, the page extraction and the packing have
 
 from __future__ import annotations
 
+from fleetlens.llm import licenses
 from fleetlens.llm.decontaminate import UNITS
 
 
@@ -60,25 +61,21 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
-# Templates as patterns over words, each followed by one space.
-LICENCES = {
-    "apache-2.0": "licensed under the apache license version 2 0 ",
-    "cc-by-4.0": "licensed under (a (creative commons )?)?cc by 4 0 ",
-    "cc-by-nc-4.0": "licensed under (a )?cc by nc 4 0 ",
-    "cc-by-sa-4.0": "licensed under (a )?cc by sa 4 0 ",
-    "gpl-2.0": "licensed under the (terms of the )?gnu general public license (either )?version 2 ",
-    "gpl-3.0": "licensed under the (terms of the )?gnu general public license (either )?version 3 ",
-    "mit-notice": "released under the (terms of the )?mit license ",
-    "mit-text": (
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and (to any )?associated "
-        "documentation files the ([a-z]+ ){1,8}to deal in the ([a-z]+ ){1,8}without restriction "
-    ),
-    "bsd": (
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
-        "conditions are met "
-    ),
-    "copyright": "copyright (c )?([0-9]{4} ){1,8}([^ ]+ ){1,8}all rights reserved ",
-}
+def as_pattern(template: str) -> str:
+    """A template as a pattern over words, each followed by one space; a replaceable region is any number of words that fit."""
+    out = []
+    for k, part in enumerate(licenses.MARK.split(template)):
+        if k % 2 == 0:
+            out += [f"{w} " for w in licenses.words_of(part) if w]
+        elif part.endswith("Optional"):
+            out.append("(" if part.startswith("begin") else ")?")
+        else:
+            fits = part.split('"')[1]
+            out.append(f"({'[^ ]+' if fits == '.+' else fits} )+")
+    return "".join(out)
+
+
+LICENCES = {label: as_pattern(template) for label, template in licenses.TEMPLATES.items()}
 BASE = {"gnu general public license ": "gpl", "apache license ": "apache", "cc by ": "cc-by", "mit license ": "mit"}
 
 OP5 = rf"""
@@ -88,7 +85,8 @@ WITH words AS MATERIALIZED (
     SELECT r, w, unnest(list_filter(range(len(w)), lambda i: w[i + 1] IN (
         'gnu', 'apache', 'cc', 'mit', 'licensed', 'released', 'permission', 'redistribution', 'copyright'))) AS k FROM words
 ), heads AS (
-    SELECT r, k, array_to_string(w[k + 1 : k + 80], ' ') || ' ' AS head FROM places
+    SELECT r, k, array_to_string(w[k + 1 : CASE WHEN w[k + 1] IN ('permission', 'redistribution', 'copyright') THEN len(w) ELSE k + 20 END], ' ') || ' ' AS head
+    FROM places
 ), found AS (
     SELECT r, k, CASE {" ".join(f"WHEN prefix(head, '{p}') THEN '{label}'" for p, label in BASE.items())} END AS base,
            CASE {" ".join(f"WHEN regexp_matches(head, '^{p}') THEN '{label}'" for label, p in LICENCES.items())} END AS own
