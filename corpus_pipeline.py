@@ -1,4 +1,12 @@
-"""The corpus pipeline: quality rules, quality classifier, near-duplicates, benchmark decontamination, packing."""
+"""The corpus pipeline: quality rules, quality classifier, near-duplicates, benchmark decontamination, packing.
+
+Defined cases. Stages read `doc_id` and `text` alone and carry every other column along, whatever its name, up to packing, which returns
+pieces. NULL, empty and very short texts fail the base rule of the quality rules and go there. Very long texts are used whole.
+Rows with the same id and text are one document after the near-duplicates; of a group the smallest id stays, so ties do not
+depend on order. Rows without an id are linked with nothing and kept until packing. Without labels the models keep what
+the base rules keep, and the classifier's score is 0.5; without benchmark items nothing is contaminated; without documents the result is
+empty, with its columns.
+"""
 
 from __future__ import annotations
 
