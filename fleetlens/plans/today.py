@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.operators import activity, alerts, density, gear, monitor
+from fleetlens.operators.filters import current_day
 from fleetlens.sources import days
-from fleetlens.sources.cleaned import read_cleaned
+from fleetlens.sources.cleaned import read_cleaned, speed_as_written
 
 
 class Today:
@@ -19,13 +20,13 @@ class Today:
         self.fixes = read_cleaned(spark, path, self.dt)
 
     def kpi(self) -> DataFrame:
-        return monitor.kpi_day(self.fixes, self.dt)
+        return monitor.kpi_day(speed_as_written(self.fixes), self.dt)
 
     def latest_position(self, k: int = 500) -> DataFrame:
         return monitor.latest_position(self.fixes, k, self.dt)
 
     def latest_status(self) -> DataFrame:
-        return monitor.latest_status(self.fixes, self.dt)
+        return monitor.status_rows(speed_as_written(monitor.latest_fix(current_day(self.fixes, self.dt))))
 
     def abnormal_stops(self, k: int = 30) -> DataFrame:
         """The day's latest time is known from the index, too."""
@@ -38,7 +39,7 @@ class Today:
         return gear.gear_counts_today(self.fixes, self.dt)
 
     def speed_by_gear(self) -> DataFrame:
-        return gear.speed_by_gear_today(self.fixes, self.dt)
+        return gear.speed_by_gear_today(speed_as_written(self.fixes), self.dt)
 
     def hour_hist(self) -> DataFrame:
         return activity.hour_hist_today(self.fixes, self.dt)

@@ -16,6 +16,14 @@ def as_trajectory(cleaned: DataFrame) -> DataFrame:
     return cleaned.selectExpr(*columns, f"{X.hour_of_text('record_time')} AS text_hour")
 
 
+def speed_as_written(df: DataFrame) -> DataFrame:
+    """The speed as its text named it, for results that round it: 18.05, not 18.0499992, which is what the column's FLOAT becomes as a DOUBLE.
+
+    The shortest text of a FLOAT gives back every number of up to six digits. A filter on this speed does not reach the files.
+    """
+    return df.withColumn("speed", F.expr("CAST(CAST(CAST(speed AS FLOAT) AS STRING) AS DOUBLE)"))
+
+
 def read_cleaned(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
     """Scan the cleaned table; `dt` prunes the scan to one day's folder."""
     df = spark.read.schema(S.CLEANED_SCHEMA).parquet(path)

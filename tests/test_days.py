@@ -44,6 +44,30 @@ def test_index_follows_writes(spark):
     assert rows(days.day_index(spark, path)) == before
 
 
+def test_speeds_of_the_day_round_as_their_text(spark):
+    """As a FLOAT, 18.05 is 18.0499992, which rounds to 18.0."""
+    texts = {f"v{k}": f"{k}.05" for k in (0, 3, 16, 17, 18, 19)} | {"w": "16.55", "u": "0.000123", "x": "17.005"}
+    path = scratch_path(spark, "cleaned")
+    data = [(v, "1", "1", speed, "1", "2025-06-01 01:00:00", v, "s") for v, speed in texts.items()]
+    etl.write_cleaned(etl.clean(spark.createDataFrame(data, RAW)), path)
+    today = Today(spark, path)
+    want = [("u", 0.0), ("v0", 0.1), ("v16", 16.1), ("v17", 17.1), ("v18", 18.1), ("v19", 19.1), ("v3", 3.1), ("w", 16.6), ("x", 17.0)]
+    assert rows(today.latest_status(), "ship", "speed") == want
+    of_gear = {**{v: float(text) for v, text in texts.items()}, "u": 0.0, "x": 17.01}
+    assert rows(today.speed_by_gear(), "type", "value") == sorted(of_gear.items())
+    one = scratch_path(spark, "cleaned")
+    etl.write_cleaned(etl.clean(spark.createDataFrame([r for r in data if r[0] == "v18"], RAW)), one)
+    assert rows(Today(spark, one).kpi(), "avg_speed") == [(18.1,)]
+
+
+def test_written_speeds_are_the_numbers_of_their_texts(spark):
+    """All speeds of up to three decimals, and small ones of six digits."""
+    texts = spark.range(1, 20_000).selectExpr("CAST(id / 1000 AS DECIMAL(20,3)) AS d").union(spark.range(1, 1_000_000, 7).selectExpr("CAST(id / 100000 AS DECIMAL(20,5))"))
+    read = cleaned.speed_as_written(texts.selectExpr("CAST(d AS DOUBLE) AS want", "CAST(CAST(CAST(d AS STRING) AS FLOAT) AS DOUBLE) AS speed"))
+    assert read.where("speed <> want OR speed IS NULL").count() == 0
+    assert rows(cleaned.speed_as_written(spark.sql("SELECT CAST(NULL AS DOUBLE) AS speed"))) == [(None,)]
+
+
 def test_tables_without_a_date(spark):
     path = scratch_path(spark, "cleaned")
     etl.write_cleaned(landed(spark, "garbage"), path)
