@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fleetlens.llm.common import Words, per_process, slices, texts_of
+from fleetlens.llm.common import Words, leaving_nothing, per_process, slices, texts_of
 from fleetlens.llm.word_memory import WordMemory, gathered
 
 END_ID = 1
@@ -248,4 +248,4 @@ def pack(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), silent: str
         packer.end()
         yield ready()
 
-    return docs.select("doc_id", "text", *([silent] if silent else [])).mapInArrow(run, fields)
+    return docs.select("doc_id", "text", *([silent] if silent else [])).mapInArrow(leaving_nothing(run, keeps=True), fields)
