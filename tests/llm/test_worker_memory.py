@@ -51,5 +51,5 @@ def test_free_memory_is_given_back_after_a_task():
 
     before = held()
     batch = pa.record_batch({"n": [1]})
-    assert list(common.leaving_nothing(run, keeps=True)(iter([batch]))) == [batch]
+    assert list(common.leaving_nothing(run)(iter([batch]))) == [batch]
     assert held() < before + 60
